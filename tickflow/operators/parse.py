@@ -6,11 +6,30 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow import schemas
 from tickflow.functions import event_instant, number, strict_number, utf8
 
-_MALFORMED = "_malformed"
+_MALFORMED = "malformed"
+
+
+def open_json(
+    rows: DataFrame, text: Column, layout: T.StructType, prefix: str, flag: bool = False
+) -> DataFrame:
+    """Add the fields of a JSON object as columns named ``prefix`` + field.
+
+    With ``flag``, the text of anything but a well-formed object comes as ``prefix`` +
+    ``malformed``. The parse sits in a generator because filters stop above one: a filter on
+    a plain ``from_json`` column is pushed below it and parses every message a second time.
+    """
+    options = {}
+    if flag:
+        layout = T.StructType([*layout.fields, T.StructField(_MALFORMED, T.StringType())])
+        options["columnNameOfCorruptRecord"] = _MALFORMED
+    names = [f"{prefix}{name}" for name in layout.fieldNames()]
+    parsed = F.array(F.from_json(text, layout, options))
+    return rows.select("*", F.inline(parsed).alias(*names))
 
 
 def unwrap(messages: DataFrame) -> DataFrame:
@@ -19,13 +38,14 @@ def unwrap(messages: DataFrame) -> DataFrame:
     The payload text keeps every field of the trade for republishing, whatever the schema of
     ``trade`` covers.
     """
-    envelope = F.from_json(utf8(F.col("value")), schemas.ENVELOPE)
-    return (
-        messages.withColumn("envelope", envelope)
-        .withColumn("stream", F.col("envelope.stream"))
-        .withColumn("payload", F.col("envelope.data"))
-        .drop("envelope")
-        .withColumn("trade", F.from_json("payload", schemas.FEED_TRADE))
+    opened = open_json(messages, utf8(F.col("value")), schemas.ENVELOPE, "envelope_")
+    typed = open_json(opened, F.col("envelope_data"), schemas.FEED_TRADE, "trade_")
+    fields = schemas.FEED_TRADE.fieldNames()
+    return typed.select(
+        *messages.columns,
+        F.col("envelope_stream").alias("stream"),
+        F.col("envelope_data").alias("payload"),
+        F.struct(*(F.col(f"trade_{name}").alias(name) for name in fields)).alias("trade"),
     )
 
 
@@ -71,15 +91,13 @@ def parse_trades(
     because it gives the arrival order that first and last prices need.
     """
     to_number = strict_number if strict else number
-    price, quantity = to_number(F.col("raw.p")), to_number(F.col("raw.q"))
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.RAW_TRADE).alias("raw"), *carry
-    )
+    text = F.col("value").cast("string")
+    parsed = open_json(messages.select("value", *carry), text, schemas.RAW_TRADE, "raw_")
     return parsed.select(
-        F.col("raw.s").alias("symbol"),
-        event_instant(F.col("raw.E")).alias("event_time"),
-        price.alias("price"),
-        quantity.alias("quantity"),
+        F.col("raw_s").alias("symbol"),
+        event_instant(F.col("raw_E")).alias("event_time"),
+        to_number(F.col("raw_p")).alias("price"),
+        to_number(F.col("raw_q")).alias("quantity"),
         *carry,
     ).select(
         "symbol",
@@ -97,21 +115,19 @@ def quarantine(messages: DataFrame) -> DataFrame:
     A side output: ``parse_trades`` still passes these rows on with NULLs.
     """
     text = utf8(F.col("value"))
-    raw = F.from_json(
-        text,
-        f"{schemas.RAW_TRADE}, {_MALFORMED} STRING",
-        {"columnNameOfCorruptRecord": _MALFORMED},
-    )
-    inspected = messages.withColumn("raw", raw).withColumn(
-        "reason",
+    inspected = open_json(messages, text, schemas.RAW_TRADE, "raw_", flag=True)
+    no_symbol = F.col("raw_s").isNull()
+    reason = (
         F.when(text.isNull(), "no text")
-        .when(F.col("raw.s").isNull() & F.col(f"raw.{_MALFORMED}").isNotNull(), "malformed")
-        .when(F.col("raw.s").isNull(), "no symbol")
-        .when(event_instant(F.col("raw.E")).isNull(), "no event time")
-        .when(number(F.col("raw.p")).isNull(), "price is no number")
-        .when(number(F.col("raw.q")).isNull(), "quantity is no number"),
+        .when(no_symbol & F.col(f"raw_{_MALFORMED}").isNotNull(), "malformed")
+        .when(no_symbol, "no symbol")
+        .when(event_instant(F.col("raw_E")).isNull(), "no event time")
+        .when(number(F.col("raw_p")).isNull(), "price is no number")
+        .when(number(F.col("raw_q")).isNull(), "quantity is no number")
+    )
+    return inspected.select(*messages.columns, reason.alias("reason")).filter(
+        F.col("reason").isNotNull()
     )
-    return inspected.filter(F.col("reason").isNotNull()).drop("raw")
 
 
 def decode_payload(
@@ -122,23 +138,21 @@ def decode_payload(
     Absent fields are NULL. Messages without a value, with bytes that are not UTF-8 or with
     anything but a JSON object are dropped one by one.
     """
-    layout = ", ".join(f"`{name}` STRING" for name in (*fields, _MALFORMED))
-    decoded = messages.select(
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    texts = messages.select(
         utf8(F.col("value")).alias("text"),
         F.col("key").isNull().alias("keyless"),
         utf8(F.col("key")).alias("key"),
         *carry,
-    ).withColumn(
-        "payload",
-        F.from_json("text", layout, {"columnNameOfCorruptRecord": _MALFORMED}),
     )
+    decoded = open_json(texts, F.col("text"), layout, "payload_", flag=True)
     readable = (
         F.ltrim("text").startswith("{")
-        & F.col(f"payload.{_MALFORMED}").isNull()
+        & F.col(f"payload_{_MALFORMED}").isNull()
         & (F.col("keyless") | F.col("key").isNotNull())
     )
     return decoded.filter(readable).select(
-        *(F.col(f"payload.{name}").alias(name) for name in fields),
+        *(F.col(f"payload_{name}").alias(name) for name in fields),
         F.nullif("key", F.lit("")).alias("key"),
         *carry,
     )

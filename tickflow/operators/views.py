@@ -44,9 +44,13 @@ def keep_last(rows: DataFrame, arrival: str, keys: Sequence[str] = _KEY) -> Data
 
 
 def upsert(rows: DataFrame, arrival: str) -> DataFrame:
-    """``keep_last`` on decoded rows before coercion: ``window_end`` counts as raw text."""
+    """``keep_last`` where ``window_end`` counts as the raw text of the message.
+
+    Takes decoded rows whose numbers are coerced and whose window end is not: one window
+    end written in two ways makes two rows, which ``keep_last`` on timestamps would merge.
+    """
     if dict(rows.dtypes)["window_end"] != "string":
-        raise ValueError("upsert works on the undecoded text of window_end; see keep_last")
+        raise ValueError("upsert works on the raw text of window_end; see keep_last")
     return keep_last(rows, arrival)
 
 

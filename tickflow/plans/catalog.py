@@ -263,7 +263,8 @@ def upsert_metrics(spark, sf_dir):
         to_messages(ticks), F.get_json_object("value", "$.arrival").cast("bigint")
     )
     decoded = pa.decode_payload(log, schemas.METRIC_COLUMNS, carry=["offset"]).drop("key")
-    return pa.coerce_metrics(vi.upsert(decoded, "offset"))
+    typed = pa.coerce(decoded, numbers=["vwap", "total_volume"])
+    return pa.coerce(vi.upsert(typed, "offset"), times=["window_end"])
 
 
 def latest_per_symbol(spark, sf_dir):

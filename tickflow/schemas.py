@@ -31,11 +31,20 @@ MESSAGE = T.StructType(
 )
 
 # Trade JSON: event time in Unix milliseconds, symbol, price and quantity as text.
-RAW_TRADE = "E BIGINT, s STRING, p STRING, q STRING"
+RAW_TRADE = T.StructType(
+    [
+        T.StructField("E", T.LongType()),
+        T.StructField("s", T.StringType()),
+        T.StructField("p", T.StringType()),
+        T.StructField("q", T.StringType()),
+    ]
+)
 # The feed also carries a trade id, which only the log line of a trade shows.
-FEED_TRADE = "E BIGINT, s STRING, t STRING, p STRING, q STRING"
+FEED_TRADE = T.StructType([*RAW_TRADE.fields, T.StructField("t", T.StringType())])
 # The payload stays JSON text here, so fields outside the schema survive republishing.
-ENVELOPE = "stream STRING, data STRING"
+ENVELOPE = T.StructType(
+    [T.StructField("stream", T.StringType()), T.StructField("data", T.StringType())]
+)
 
 METRIC_COLUMNS = ("window_end", "symbol", "vwap", "total_volume")
 ALERT_COLUMNS = (
