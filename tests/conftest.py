@@ -84,3 +84,11 @@ def messages(spark):
 def rows_of(frame, *columns):
     chosen = frame.select(*columns) if columns else frame
     return [tuple(row) for row in chosen.collect()]
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    path = Path("/root/testdata/sf0.001")
+    if not path.is_dir():
+        pytest.skip("the given tables are not here")
+    return str(path)
