@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from conftest import TRADE_DDL, at, ms, naive, rows_of
 from pyspark.sql import functions as F
@@ -80,7 +82,21 @@ def test_late_trades_within_the_delay_count(trade_feed, trades, tmp_path):
     assert totals == {naive(at(10)): 10.0, naive(at(60)): 1.0}
 
 
-def test_restart_resumes_from_the_checkpoint(trade_feed, trades, tmp_path):
+STORES = "org.apache.spark.sql.execution.streaming.state."
+
+
+@pytest.mark.parametrize("store", ["HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider"])
+def test_restart_resumes_from_the_checkpoint(spark, trade_feed, trades, tmp_path, store):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, STORES + store)
+    try:
+        check_restart(trade_feed, trades, tmp_path)
+    finally:
+        spark.conf.set(name, before)
+
+
+def check_restart(trade_feed, trades, tmp_path):
     first = [("A", i, float(i), 1.0) for i in range(0, 100, 3)]
     second = [("A", i, float(i), 1.0) for i in range(100, 300, 3)]
     trade_feed.add(trades(*first))
@@ -244,6 +260,25 @@ def test_result_stream_types_metrics(spark, messages):
     ]
 
 
+def test_log_keeps_the_last_delivery(spark, messages, tmp_path):
+    def metric(day, vwap):
+        return {"window_end": f"2024-01-0{day}T00:00:10Z", "symbol": "A", "vwap": vwap}
+
+    batch = messages(
+        metric(1, 1.0), metric(2, 2.0), metric(1, 3.0), {"symbol": "A"}, keys=["A"] * 4
+    )
+    feed = Feed(spark, tmp_path / "metrics", batch.schema)
+    feed.add(batch)
+    path, checkpoint = str(tmp_path / "log"), str(tmp_path / "c")
+    rows = serving.result_stream(feed.stream(), schemas.METRIC_COLUMNS)
+    drain(serving.start_log(rows, path, checkpoint, drain=True))
+    whole = serving.read_log(spark, path, schemas.METRIC_COLUMNS)
+    assert sorted(rows_of(whole, "vwap"), key=str) == [(2.0,), (3.0,), (None,)]
+    recent = serving.read_log(spark, path, schemas.METRIC_COLUMNS, dt.date(2024, 1, 2))
+    assert rows_of(recent, "vwap") == [(2.0,)]
+    assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().toString()
+
+
 def raw_messages(spark, rows):
     """Kafka-shaped trade messages from (symbol, seconds, price, quantity)."""
     frame = spark.createDataFrame(

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickflow import schemas
+
 # Range of epoch milliseconds that fits Spark's microsecond timestamps.
 _MAX_MILLIS = 9_223_372_036_854_775
-# Texts that stand for a missing value in alert keys and alert lines.
-MISSING_SYMBOL_KEY = "None"
-MISSING_TIME_KEY = "NaT"
-MISSING_SYMBOL = "UNKNOWN"
-MISSING_VALUE = "N/A"
 
 
 def utf8(binary: Column) -> Column:
@@ -70,8 +67,8 @@ def alert_key(symbol: Column, window_end: Column) -> Column:
     """Text identity of an alert: symbol, underscore, ISO window end."""
     return F.concat_ws(
         "_",
-        F.coalesce(symbol, F.lit(MISSING_SYMBOL_KEY)),
-        F.coalesce(_moment_text(window_end, "'T'"), F.lit(MISSING_TIME_KEY)),
+        F.coalesce(symbol, F.lit(schemas.MISSING_SYMBOL_IN_KEY)),
+        F.coalesce(_moment_text(window_end, "'T'"), F.lit(schemas.MISSING_TIME_IN_KEY)),
     )
 
 
@@ -92,12 +89,12 @@ def alert_line(
     ``format_number`` rounds the exact binary value half-even, which is what two-decimal
     formatting does elsewhere; ``format_string('%.2f')`` rounds the shortest decimal half-up.
     """
-    missing = F.lit(MISSING_VALUE)
+    missing = F.lit(schemas.MISSING_VALUE)
     two_places = F.call_function(
         "format_number", F.coalesce(change, F.lit(0.0)), F.lit("0.00")
     )
     return F.concat(
-        F.coalesce(symbol, F.lit(MISSING_SYMBOL)),
+        F.coalesce(symbol, F.lit(schemas.MISSING_SYMBOL)),
         F.lit(": "),
         two_places,
         F.lit("% change ("),

@@ -65,13 +65,11 @@ def rejected(unwrapped: DataFrame) -> DataFrame:
 
 def trade_summary(unwrapped: DataFrame) -> DataFrame:
     """What a log line of a trade shows, missing fields replaced by their defaults."""
-    # The defaults shown for fields a trade does not carry.
-    defaults = {"trade_id": ("t", "N/A"), "symbol": ("s", "N/A")}
-    defaults.update({"price": ("p", "-1"), "quantity": ("q", "-1")})
+    fields = {"trade_id": "t", "symbol": "s", "price": "p", "quantity": "q"}
     return unwrapped.select(
         *(
-            F.coalesce(F.col(f"trade.{source}"), F.lit(default)).alias(name)
-            for name, (source, default) in defaults.items()
+            F.coalesce(F.col(f"trade.{fields[name]}"), F.lit(default)).alias(name)
+            for name, default in schemas.TRADE_DEFAULTS.items()
         )
     )
 

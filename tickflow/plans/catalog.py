@@ -398,7 +398,7 @@ def _in_utc(query: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return plain_times(query(spark, sf_dir))
+        return plain_times(query(spark, str(sf_dir).rstrip("/")))
 
     run.__name__, run.__doc__ = query.__name__, query.__doc__
     return run

@@ -152,6 +152,21 @@ def stream_fan_out(spark, sf_dir):
     return messages.select(F.from_json("value", layout).alias("v")).select("v.*")
 
 
+def stream_results_log(spark, sf_dir):
+    """Metric messages delivered twice, logged by day, read back once per window."""
+    trades = tables.event_trades(tables.read_table(spark, sf_dir, "events"))
+    metrics = me.vwap(trades, "1 hour", "1 hour", exact=True)
+    base = scratch_path(spark, "results-log")
+    for delivery in range(2):
+        arrival = F.lit(delivery).cast("bigint")
+        log = tables.result_messages(to_messages(metrics), arrival)
+        log.write.mode("append").parquet(f"{base}/messages")
+    messages = messages_from_files(spark, f"{base}/messages", True, schema=log.schema)
+    decoded = serving.result_stream(messages, schemas.METRIC_COLUMNS)
+    _finish(serving.start_log(decoded, f"{base}/log", f"{base}/checkpoint", drain=True))
+    return serving.read_log(spark, f"{base}/log", schemas.METRIC_COLUMNS)
+
+
 STREAMS = {
     query.__name__: query
     for query in (
@@ -163,5 +178,6 @@ STREAMS = {
         stream_raw_trades,
         stream_new_alerts,
         stream_fan_out,
+        stream_results_log,
     )
 }

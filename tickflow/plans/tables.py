@@ -24,8 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of files."""
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _quantity():

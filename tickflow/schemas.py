@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Topics, symbols, window sizes and thresholds that users of an
-# existing deployment expect. Every one is only a default and can be overridden.
+# Topics, symbols, window sizes, thresholds and stand-ins for missing values
+# that users of an existing deployment expect. All but the stand-ins are only defaults.
 RAW_TOPIC = "raw_trades"
 METRICS_TOPIC = "processed_metrics"
 ALERTS_TOPIC = "alerts"
@@ -16,6 +16,16 @@ ALERT_LENGTH = "10 seconds"
 ALERT_THRESHOLD = 1.0
 WATERMARK_DELAY = "1 minute"
 REFRESH_INTERVAL = "5 seconds"
+POLL_MESSAGES = 200
+SERVERS_VARIABLE = "KAFKA_BOOTSTRAP_SERVERS"
+ALERT_LENGTH_VARIABLE = "VOLATILITY_WINDOW"
+ALERT_THRESHOLD_VARIABLE = "VOLATILITY_THRESHOLD"
+DEFAULT_SERVERS = "kafka:9092"
+TRADE_DEFAULTS = {"trade_id": "N/A", "symbol": "N/A", "price": "-1", "quantity": "-1"}
+MISSING_SYMBOL_IN_KEY = "None"
+MISSING_TIME_IN_KEY = "NaT"
+MISSING_SYMBOL = "UNKNOWN"
+MISSING_VALUE = "N/A"
 
 # Rows as the Kafka source delivers them; file sources use the same shape.
 MESSAGE = T.StructType(

@@ -19,14 +19,18 @@ class Settings:
     """Deployment settings; the environment variables keep their usual names."""
 
     servers: str = field(
-        default_factory=lambda: os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "kafka:9092")
+        default_factory=lambda: os.environ.get(
+            schemas.SERVERS_VARIABLE, schemas.DEFAULT_SERVERS
+        )
     )
     alert_length: str = field(
-        default_factory=lambda: os.environ.get("VOLATILITY_WINDOW", schemas.ALERT_LENGTH)
+        default_factory=lambda: os.environ.get(
+            schemas.ALERT_LENGTH_VARIABLE, schemas.ALERT_LENGTH
+        )
     )
     alert_threshold: float = field(
         default_factory=lambda: float(
-            os.environ.get("VOLATILITY_THRESHOLD", schemas.ALERT_THRESHOLD)
+            os.environ.get(schemas.ALERT_THRESHOLD_VARIABLE, schemas.ALERT_THRESHOLD)
         )
     )
     vwap_length: str = schemas.VWAP_LENGTH

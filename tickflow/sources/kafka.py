@@ -66,7 +66,7 @@ def read_messages(
 
 
 def metrics_and_alerts(
-    spark: SparkSession, servers: str, max_messages: int = 200, **options
+    spark: SparkSession, servers: str, max_messages: int = schemas.POLL_MESSAGES, **options
 ) -> tuple[DataFrame, DataFrame]:
     """The two result topics as bounded-per-refresh streams: (metrics, alerts)."""
     return (

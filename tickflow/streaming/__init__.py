@@ -1,5 +1,12 @@
 from tickflow.streaming.job import start_ingest, start_job
-from tickflow.streaming.serving import new_alert_stream, observed_counts, result_stream
+from tickflow.streaming.serving import (
+    new_alert_stream,
+    observed_counts,
+    read_counts,
+    read_log,
+    result_stream,
+    start_log,
+)
 from tickflow.streaming.sinks import (
     append_files,
     await_any,
@@ -18,6 +25,8 @@ __all__ = [
     "new_alert_stream",
     "observed_counts",
     "publish",
+    "read_counts",
+    "read_log",
     "replace_files",
     "result_stream",
     "start_console",
@@ -26,5 +35,6 @@ __all__ = [
     "start_ingest",
     "start_job",
     "start_kafka",
+    "start_log",
     "write_kafka",
 ]

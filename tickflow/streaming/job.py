@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import argparse
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -65,11 +66,23 @@ def start_ingest(envelopes: DataFrame, start: Start) -> StreamingQuery:
     return start(republish(accepted(unwrap(envelopes))), schemas.RAW_TOPIC)
 
 
-def main() -> None:
+def main(arguments: Sequence[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Metrics and alerts from a topic of trades.")
+    parser.add_argument("--starting", default="latest", help="where a first run begins")
+    parser.add_argument("--max-messages", type=int, help="messages per refresh at most")
+    parser.add_argument("--min-partitions", type=int, help="tasks per read at least")
+    parser.add_argument("--console", action="store_true", help="print interim results too")
+    chosen = parser.parse_args(arguments)
     settings = Settings()
     spark = build_session("tickflow")
-    messages = stream_messages(spark, settings.servers)
-    start_job(messages, kafka_starter(spark, settings))
+    messages = stream_messages(
+        spark,
+        settings.servers,
+        starting=chosen.starting,
+        max_messages=chosen.max_messages,
+        min_partitions=chosen.min_partitions,
+    )
+    start_job(messages, kafka_starter(spark, settings), settings, chosen.console)
     await_any(spark)
 
 

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow import schemas
 from tickflow.operators.parse import coerce_alerts, coerce_metrics, decode_payload
+from tickflow.operators.views import keep_last
+from tickflow.streaming.sinks import start_files
+
+_DAY = "day"
 
 
 def result_stream(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,3 +49,35 @@ def read_counts(query: StreamingQuery, name: str = "new_alerts") -> list[int]:
         if observed is not None:
             counts.append(observed["records"])
     return counts
+
+
+def start_log(
+    results: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = schemas.REFRESH_INTERVAL,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Keep the rows of a ``result_stream`` in files by day of the window end.
+
+    The log takes the place of state that a display would hold in memory: it outlives the
+    display, and each refresh only appends. Repeated deliveries stay in it and are left out
+    when it is read.
+    """
+    dated = results.drop("key").withColumn(_DAY, F.to_date("window_end"))
+    return start_files(dated, path, checkpoint, every, drain, partition_by=[_DAY])
+
+
+def read_log(
+    spark: SparkSession, path: str, columns: Sequence[str], since: date | None = None
+) -> DataFrame:
+    """The log with the last delivery per symbol and window end, as the views take it.
+
+    ``since`` leaves out older days before any file is opened, so a display of recent
+    windows costs the same however long the log is. Rows without a window end have no day
+    and are only part of the whole log.
+    """
+    log = spark.read.parquet(path)
+    if since is not None:
+        log = log.filter(F.col(_DAY) >= F.lit(since))
+    return keep_last(log.drop(_DAY), "offset").select(*columns)
