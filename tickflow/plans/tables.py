@@ -23,8 +23,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of files."""
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    """The events table as a stream of files.
+
+    The pattern in the path lets it be a single file as well as a folder of files.
+    """
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events}}.parquet")
 
 
 def _quantity():
