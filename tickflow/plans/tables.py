@@ -6,20 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns that queries use, so that reading a table needs no look into its files first.
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
         T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("props", T.StringType()),
     ]
 )
+LINEITEM = T.StructType(
+    [
+        T.StructField("l_returnflag", T.StringType()),
+        T.StructField("l_linestatus", T.StringType()),
+        T.StructField("l_shipdate", T.TimestampNTZType()),
+        T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_quantity", T.DoubleType()),
+    ]
+)
+ORDERS = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_orderpriority", T.StringType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+    ]
+)
+DOCUMENTS = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
+)
+_TABLES = {
+    "events": EVENTS,
+    "lineitem": LINEITEM,
+    "orders": ORDERS,
+    "documents": DOCUMENTS,
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
