@@ -120,7 +120,14 @@ def test_sorting_puts_missing_windows_last(metrics, alerts):
     ]
 
 
-def test_wide_series(metrics):
+@pytest.fixture(params=["few", "many"])
+def many_symbols(request, monkeypatch):
+    """Runs a test on both ways of widening."""
+    if request.param == "many":
+        monkeypatch.setattr(vi, "_FEW_SYMBOLS", 0)
+
+
+def test_wide_series(metrics, many_symbols):
     rows = metrics(
         (10, "A", 1.0, 5.0), (10, "B", 2.0, 6.0), (20, "B", None, 7.0), (None, "A", 3.0, 3.0)
     )
@@ -131,7 +138,7 @@ def test_wide_series(metrics):
     assert rows_of(chosen) == [(shown(10), 6.0, None), (shown(20), 7.0, None)]
 
 
-def test_wide_series_refuses_two_values_per_cell(metrics):
+def test_wide_series_refuses_two_values_per_cell(metrics, many_symbols):
     rows = metrics((10, "A", 1.0, 5.0), (10, "A", 2.0, 6.0))
     with pytest.raises(Exception, match="several vwap values"):
         vi.wide_series(rows, "vwap").collect()

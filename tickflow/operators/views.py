@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow import schemas
@@ -104,25 +104,38 @@ def known_symbols(metrics: DataFrame) -> list[str]:
     return sorted(symbols)
 
 
+# Up to here one conditional aggregate per symbol is cheaper than the second shuffle of
+# ``pivot``; beyond it, evaluating every condition for every row is not.
+_FEW_SYMBOLS = 50
+
+
 def wide_series(
     metrics: DataFrame, value: str, symbols: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
     """One row per window end and one column per symbol, missing cells NULL.
 
-    One aggregation with a conditional ``max`` per symbol, where ``pivot`` takes two. Two
-    metrics for one cell are an error; ``strict=False`` takes the larger. On streams this
-    needs explicit ``symbols`` and complete mode.
+    Two metrics for one cell are an error; ``strict=False`` takes the larger. On streams
+    this needs explicit ``symbols``, at most fifty, and complete mode.
     """
     names = known_symbols(metrics) if symbols is None else list(symbols)
-    cells = []
-    for name in names:
-        here = F.col("symbol") == name
-        cell = F.max(F.when(here, F.col(value)))
-        if strict:
-            twice = F.raise_error(F.lit(f"several {value} values in one cell of {name}"))
-            cell = F.when(F.count_if(here) > 1, twice).otherwise(cell)
-        cells.append(cell.alias(name))
-    return drop_missing_window(metrics).groupBy("window_end").agg(*cells)
+    dated = drop_missing_window(metrics)
+    if len(names) <= _FEW_SYMBOLS or metrics.isStreaming:
+        cells = []
+        for name in names:
+            here = F.col("symbol") == name
+            cell = F.max(F.when(here, F.col(value)))
+            cells.append((_only(cell, F.count_if(here), value) if strict else cell).alias(name))
+        return dated.groupBy("window_end").agg(*cells)
+    cell = F.max(value)
+    if strict:
+        cell = _only(cell, F.count(F.lit(1)), value)
+    single = dated.groupBy("window_end", "symbol").agg(cell.alias(value))
+    return single.groupBy("window_end").pivot("symbol", names).agg(F.first(value))
+
+
+def _only(cell: Column, rows: Column, value: str) -> Column:
+    twice = F.raise_error(F.lit(f"several {value} values for one window and symbol"))
+    return F.when(rows > 1, twice).otherwise(cell)
 
 
 def recent_alerts(alerts: DataFrame) -> DataFrame:
