@@ -71,7 +71,8 @@ def test_stream_and_batch_reads():
 
 def test_serving_reads_are_bounded():
     recorder = Recorder()
-    kafka.metrics_and_alerts(recorder, "host:1", max_messages=50)
+    kafka.metrics_and_alerts(recorder, "host:1", 50, metrics_group="m", alerts_group="a")
+    assert recorder.asked["kafka.group.id"] == "a"
     assert recorder.asked["maxOffsetsPerTrigger"] == "50"
     assert recorder.asked["subscribe"] == schemas.ALERTS_TOPIC
 

@@ -279,6 +279,21 @@ def test_log_keeps_the_last_delivery(spark, messages, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().toString()
 
 
+def test_display_shows_new_alerts_once(spark, trades):
+    rows = trades(*(("AB"[i % 2], i * 3, 100.0 + i * 7 % 19, 1.0) for i in range(40)))
+    metrics, alerts = me.vwap(rows), al.volatility(rows)
+    first = serving.display(metrics, alerts, alerts.filter("false"))
+    second = serving.display(metrics, alerts, first["seen"])
+    total = alerts.count()
+    assert rows_of(first["alert_count"]) == rows_of(first["new_alert_count"]) == [(total,)]
+    assert first["new_alert_lines"].count() == total > 0
+    assert rows_of(second["new_alert_count"]) == [(0,)]
+    assert rows_of(first["latest_rows"], "symbol") == [("A",), ("B",)]
+    assert first["vwap_series"].columns == ["window_end", "A", "B"]
+    ends = rows_of(first["volume_series"], "window_end")
+    assert ends == sorted(ends)
+
+
 def raw_messages(spark, rows):
     """Kafka-shaped trade messages from (symbol, seconds, price, quantity)."""
     frame = spark.createDataFrame(

@@ -207,6 +207,11 @@ SELECT * FROM a WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 m
 SELECT symbol AS key, date_trunc('milliseconds', ts) AS event_time, price, quantity
 FROM t WHERE symbol <> 'error'""",
     "stream_new_alerts": f"WITH {_alerts(_HOUR, 1.0)} SELECT * FROM a",
+    "stream_to_latest": f"""WITH {_vwap(
+        _HALF, _TEN, where="symbol <> 'error'", having=_PASSED.format(_HALF).replace(
+            "FROM events", "FROM events WHERE event_type <> 'error'"))}
+SELECT symbol, vwap, total_volume, window_end FROM m
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1""",
     "stream_results_log": f"WITH {_vwap(_HOUR, _HOUR)} SELECT {_METRIC} FROM m",
     "stream_fan_out": f"""WITH {_vwap(_HALF, _TEN, having=_PASSED.format(_HALF))}
 SELECT {_METRIC} FROM m""",

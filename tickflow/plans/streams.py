@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow import schemas
 from tickflow.operators import alerts as al
@@ -167,6 +168,27 @@ def stream_results_log(spark, sf_dir):
     return serving.read_log(spark, f"{base}/log", schemas.METRIC_COLUMNS)
 
 
+def stream_to_latest(spark, sf_dir):
+    """The whole way: envelopes, raw trades, metrics, log, latest metric per symbol."""
+    base = scratch_path(spark, "to-latest")
+
+    def through_files(rows: DataFrame, step: str, schema: T.StructType) -> DataFrame:
+        """Run a step to its end and read its messages as a stream again."""
+        path = f"{base}/{step}"
+        _finish(sinks.start_files(rows, path, f"{path}-checkpoint", drain=True))
+        stored = messages_from_files(spark, path, streaming=True, schema=schema)
+        return tables.result_messages(stored, F.lit(0).cast("bigint"))
+
+    envelopes = tables.event_envelopes(tables.stream_events(spark, sf_dir))
+    raw = pa.republish(pa.accepted(pa.unwrap(envelopes)))
+    trades = pa.parse_trades(through_files(raw, "raw", raw.schema))
+    metrics = to_messages(me.vwap(trades, "30 minutes", "10 minutes", exact=True))
+    sent = through_files(metrics, "metrics", metrics.schema)
+    rows = serving.result_stream(sent, schemas.METRIC_COLUMNS)
+    _finish(serving.start_log(rows, f"{base}/log", f"{base}/log-checkpoint", drain=True))
+    return vi.latest_rows(serving.read_log(spark, f"{base}/log", schemas.METRIC_COLUMNS))
+
+
 STREAMS = {
     query.__name__: query
     for query in (
@@ -179,5 +201,6 @@ STREAMS = {
         stream_new_alerts,
         stream_fan_out,
         stream_results_log,
+        stream_to_latest,
     )
 }

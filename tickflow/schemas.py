@@ -20,6 +20,8 @@ POLL_MESSAGES = 200
 SERVERS_VARIABLE = "KAFKA_BOOTSTRAP_SERVERS"
 ALERT_LENGTH_VARIABLE = "VOLATILITY_WINDOW"
 ALERT_THRESHOLD_VARIABLE = "VOLATILITY_THRESHOLD"
+METRICS_GROUP_VARIABLE = "KAFKA_DASHBOARD_GROUP_ID"
+ALERTS_GROUP_VARIABLE = "KAFKA_ALERTS_GROUP_ID"
 DEFAULT_SERVERS = "kafka:9092"
 TRADE_DEFAULTS = {"trade_id": "N/A", "symbol": "N/A", "price": "-1", "quantity": "-1"}
 MISSING_SYMBOL_IN_KEY = "None"

@@ -33,6 +33,12 @@ class Settings:
             os.environ.get(schemas.ALERT_THRESHOLD_VARIABLE, schemas.ALERT_THRESHOLD)
         )
     )
+    metrics_group: str | None = field(
+        default_factory=lambda: os.environ.get(schemas.METRICS_GROUP_VARIABLE)
+    )
+    alerts_group: str | None = field(
+        default_factory=lambda: os.environ.get(schemas.ALERTS_GROUP_VARIABLE)
+    )
     vwap_length: str = schemas.VWAP_LENGTH
     vwap_slide: str = schemas.VWAP_SLIDE
     delay: str = schemas.WATERMARK_DELAY

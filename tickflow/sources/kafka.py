@@ -66,14 +66,19 @@ def read_messages(
 
 
 def metrics_and_alerts(
-    spark: SparkSession, servers: str, max_messages: int = schemas.POLL_MESSAGES, **options
+    spark: SparkSession,
+    servers: str,
+    max_messages: int = schemas.POLL_MESSAGES,
+    metrics_group: str | None = None,
+    alerts_group: str | None = None,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """The two result topics as bounded-per-refresh streams: (metrics, alerts)."""
-    return (
-        stream_messages(
-            spark, servers, schemas.METRICS_TOPIC, max_messages=max_messages, **options
-        ),
+    topics = {schemas.METRICS_TOPIC: metrics_group, schemas.ALERTS_TOPIC: alerts_group}
+    metrics, alerts = (
         stream_messages(
-            spark, servers, schemas.ALERTS_TOPIC, max_messages=max_messages, **options
-        ),
+            spark, servers, topic, group_id=group, max_messages=max_messages, **options
+        )
+        for topic, group in topics.items()
     )
+    return metrics, alerts

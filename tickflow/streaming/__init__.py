@@ -1,5 +1,6 @@
 from tickflow.streaming.job import start_ingest, start_job
 from tickflow.streaming.serving import (
+    display,
     new_alert_stream,
     observed_counts,
     read_counts,
@@ -22,6 +23,7 @@ from tickflow.streaming.sinks import (
 __all__ = [
     "append_files",
     "await_any",
+    "display",
     "new_alert_stream",
     "observed_counts",
     "publish",

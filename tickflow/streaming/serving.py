@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow import schemas
+from tickflow.operators import views
 from tickflow.operators.parse import coerce_alerts, coerce_metrics, decode_payload
-from tickflow.operators.views import keep_last
 from tickflow.streaming.sinks import start_files
 
 _DAY = "day"
@@ -80,4 +80,23 @@ def read_log(
     log = spark.read.parquet(path)
     if since is not None:
         log = log.filter(F.col(_DAY) >= F.lit(since))
-    return keep_last(log.drop(_DAY), "offset").select(*columns)
+    return views.keep_last(log.drop(_DAY), "offset").select(*columns)
+
+
+def display(
+    metrics: DataFrame, alerts: DataFrame, seen: DataFrame, symbols: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Everything a display shows at one refresh, from two logs and the alerts shown before."""
+    new = views.new_alerts(alerts, seen)
+    return {
+        "latest_rows": views.latest_rows(metrics),
+        "latest_values": views.latest_values(metrics),
+        "vwap_series": views.wide_series(metrics, "vwap", symbols).orderBy("window_end"),
+        "volume_series": views.wide_series(metrics, "total_volume", symbols).orderBy("window_end"),
+        "metric_count": views.record_count(metrics),
+        "recent_alerts": views.recent_alerts(alerts),
+        "alert_count": views.record_count(alerts),
+        "new_alert_lines": views.alert_lines(new),
+        "new_alert_count": views.record_count(new),
+        "seen": views.remember(seen, alerts),
+    }
