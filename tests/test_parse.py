@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import at, ms, naive, rows_of
 from pyspark.errors import PySparkException
@@ -135,12 +137,57 @@ def test_decode_payload_drops_only_bad_rows(messages):
     ]
 
 
+LOOSE = [
+    '{"symbol":"A"} x',
+    '{"symbol":"A"}}',
+    '{"symbol":"A"}{"symbol":"B"}',
+    '{"symbol":"A"},{"symbol":"B"}',
+    '{"symbol":"A"},"vwap":1',
+    "{'symbol':'A'}",
+    '{"symbol":"A",}',
+    '{"symbol":/*c*/"A"}',
+    '{"symbol":"A\n"}',
+    '{"symbol":01}',
+    '"{}"',
+    "[{}]",
+    "",
+    " ",
+    "{",
+]
+STRICT = ["{}", ' {"symbol":"A"} ', '{"symbol":"A","symbol":"B"}', '{"symbol":{"deep":[1]}}',
+          '{"symbol":null}', '{"vwap":1e5}', '{"symbol":"\\u0041 \u00fc ]}"}', '{"other":[[1]]}']
+
+
+@pytest.mark.parametrize("text", LOOSE + STRICT)
+def test_decode_accepts_exactly_one_json_object(messages, text):
+    try:
+        expected = int(isinstance(json.loads(text), dict))
+    except ValueError:
+        expected = 0
+    assert expected == (text in STRICT)
+    assert pa.decode_payload(messages(text.encode()), ["symbol", "vwap"]).count() == expected
+
+
+def test_decoded_text(messages):
+    decoded = pa.decode_payload(messages(*STRICT), ["symbol", "vwap"], carry=["offset"])
+    by_offset = {row.offset: row.symbol for row in decoded.collect()}
+    assert by_offset == {
+        0: None, 1: "A", 2: "B", 3: '{"deep":[1]}', 4: None, 5: None, 6: "A \u00fc ]}", 7: None
+    }
+
+
+def test_envelopes_are_as_strict(messages):
+    good = '{"stream":"x","data":{"s":"A"}}'
+    opened = pa.unwrap(messages(good, good + " x", good.replace('"', "'"), good + "," + good))
+    assert rows_of(pa.accepted(opened), "offset") == [(0,)]
+    assert rows_of(pa.rejected(opened), "stream", "payload") == [(None, None)] * 3
+
+
 def test_coerce(spark):
     texts = ["1.5", "1e3", " 2 ", "abc", "", "1.5d", "2f", "NaN", "inf", None]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, vwap STRING")
     values = [v for _, v in sorted(rows_of(pa.coerce(rows, numbers=["vwap", "absent"])))]
-    assert values[:7] == [1.5, 1000.0, 2.0, None, None, None, None]
-    assert values[7] != values[7] and values[8] == float("inf") and values[9] is None
+    assert values == [1.5, 1000.0, 2.0, None, None, None, None, None, float("inf"), None]
 
 
 def test_coerce_times_and_missing_window(spark):

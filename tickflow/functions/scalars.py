@@ -47,13 +47,12 @@ def order_key(event_time: Column, arrival: Column) -> Column:
     """(event_time, arrival) as one sortable DECIMAL.
 
     ``min_by``/``max_by`` over a struct cannot use hash aggregation and would sort every
-    input row first; a decimal keeps the map-side combine a hash aggregation. Arrival
-    numbers are 64-bit, so 20 digits below the microseconds hold any of them.
+    input row first; a decimal keeps the map-side combine a hash aggregation. Microseconds
+    are 10^20 apart, which leaves room for any 64-bit arrival number, negative ones included.
     """
-    slots = F.lit(str(10**20)).cast("decimal(21,0)")
-    shift = F.lit(str(2**63)).cast("decimal(20,0)")
-    position = F.coalesce(arrival, F.lit(-(2**63))).cast("decimal(20,0)") + shift
-    return F.unix_micros(event_time).cast("decimal(18,0)") * slots + position
+    micros = F.unix_micros(event_time).cast("decimal(18,0)")
+    apart = F.lit(str(10**20)).cast("decimal(21,0)")
+    return micros * apart + F.coalesce(arrival, F.lit(-(2**63))).cast("decimal(20,0)")
 
 
 def _moment_text(moment: Column, separator: str) -> Column:

@@ -15,15 +15,19 @@ _MALFORMED = "malformed"
 
 
 def open_json(
-    rows: DataFrame, text: Column, layout: T.StructType, prefix: str, flag: bool = False
+    rows: DataFrame,
+    text: Column,
+    layout: T.StructType,
+    prefix: str,
+    flag: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Add the fields of a JSON object as columns named ``prefix`` + field.
 
-    With ``flag``, the text of anything but a well-formed object comes as ``prefix`` +
-    ``malformed``. The parse sits in a generator because filters stop above one: a filter on
-    a plain ``from_json`` column is pushed below it and parses every message a second time.
+    With ``flag``, text that does not fit the layout comes as ``prefix`` + ``malformed``.
+    The parse sits in a generator because filters stop above one: a filter on a plain
+    ``from_json`` column is pushed below it and parses every message a second time.
     """
-    options = {}
     if flag:
         layout = T.StructType([*layout.fields, T.StructField(_MALFORMED, T.StringType())])
         options["columnNameOfCorruptRecord"] = _MALFORMED
@@ -32,19 +36,43 @@ def open_json(
     return rows.select("*", F.inline(parsed).alias(*names))
 
 
+def open_object(rows: DataFrame, text: Column, fields: Sequence[str], prefix: str) -> DataFrame:
+    """Add the fields of a JSON object as text, and whether it is one as ``prefix`` + ``ok``.
+
+    Strict: the text must be one object and nothing else. It is parsed as the only entry of
+    a list, because a parse of the text itself ignores whatever follows the first object.
+    """
+    entry = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    layout = T.StructType([T.StructField("list", T.ArrayType(entry))])
+    listed = F.concat(F.lit('{"list":['), text, F.lit("]}"))
+    opened = open_json(rows, listed, layout, prefix, flag=True, allowSingleQuotes="false")
+    entries = F.col(f"{prefix}list")
+    only = F.get(entries, 0)
+    one_object = (
+        F.col(f"{prefix}{_MALFORMED}").isNull() & (F.size(entries) == 1) & only.isNotNull()
+    )
+    return opened.select(
+        *rows.columns, *(only[name].alias(f"{prefix}{name}") for name in fields),
+        F.coalesce(one_object, F.lit(False)).alias(f"{prefix}ok"),
+    )
+
+
 def unwrap(messages: DataFrame) -> DataFrame:
     """Open feed envelopes: adds ``stream``, ``payload`` (JSON text) and ``trade`` (struct).
 
     The payload text keeps every field of the trade for republishing, whatever the schema of
-    ``trade`` covers.
+    ``trade`` covers. All three are empty where the message is no JSON object.
     """
-    opened = open_json(messages, utf8(F.col("value")), schemas.ENVELOPE, "envelope_")
-    typed = open_json(opened, F.col("envelope_data"), schemas.FEED_TRADE, "trade_")
+    opened = open_object(messages, utf8(F.col("value")), ["stream", "data"], "envelope_")
+    payload = F.when(F.col("envelope_ok"), F.col("envelope_data"))
+    typed = open_json(
+        opened.withColumn("payload", payload), F.col("payload"), schemas.FEED_TRADE, "trade_"
+    )
     fields = schemas.FEED_TRADE.fieldNames()
     return typed.select(
         *messages.columns,
-        F.col("envelope_stream").alias("stream"),
-        F.col("envelope_data").alias("payload"),
+        F.when(F.col("envelope_ok"), F.col("envelope_stream")).alias("stream"),
+        "payload",
         F.struct(*(F.col(f"trade_{name}").alias(name) for name in fields)).alias("trade"),
     )
 
@@ -136,19 +164,14 @@ def decode_payload(
     Absent fields are NULL. Messages without a value, with bytes that are not UTF-8 or with
     anything but a JSON object are dropped one by one.
     """
-    layout = T.StructType([T.StructField(name, T.StringType()) for name in fields])
     texts = messages.select(
         utf8(F.col("value")).alias("text"),
         F.col("key").isNull().alias("keyless"),
         utf8(F.col("key")).alias("key"),
         *carry,
     )
-    decoded = open_json(texts, F.col("text"), layout, "payload_", flag=True)
-    readable = (
-        F.ltrim("text").startswith("{")
-        & F.col(f"payload_{_MALFORMED}").isNull()
-        & (F.col("keyless") | F.col("key").isNotNull())
-    )
+    decoded = open_object(texts, F.col("text"), fields, "payload_")
+    readable = F.col("payload_ok") & (F.col("keyless") | F.col("key").isNotNull())
     return decoded.filter(readable).select(
         *(F.col(f"payload_{name}").alias(name) for name in fields),
         F.nullif("key", F.lit("")).alias("key"),
@@ -163,14 +186,16 @@ _JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
 def coerce(rows: DataFrame, times: Iterable[str] = (), numbers: Iterable[str] = ()) -> DataFrame:
     """Turn text columns into timestamps and doubles; text that is neither becomes NULL.
 
-    Columns that the input does not have are skipped.
+    So does NaN, which stands for a missing number here. Columns that the input does not
+    have are skipped.
     """
     present = set(rows.columns)
     typed = {name: F.try_to_timestamp(F.col(name)) for name in times if name in present}
     for name in numbers:
         if name in present:
             text = F.col(name).cast("string")
-            typed[name] = F.when(~text.rlike(_JAVA_SUFFIX), number(text))
+            value = number(text)
+            typed[name] = F.when(~text.rlike(_JAVA_SUFFIX) & ~F.isnan(value), value)
     return rows.withColumns(typed) if typed else rows
 
 

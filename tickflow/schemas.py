@@ -53,10 +53,6 @@ RAW_TRADE = T.StructType(
 )
 # The feed also carries a trade id, which only the log line of a trade shows.
 FEED_TRADE = T.StructType([*RAW_TRADE.fields, T.StructField("t", T.StringType())])
-# The payload stays JSON text here, so fields outside the schema survive republishing.
-ENVELOPE = T.StructType(
-    [T.StructField("stream", T.StringType()), T.StructField("data", T.StringType())]
-)
 
 METRIC_COLUMNS = ("window_end", "symbol", "vwap", "total_volume")
 ALERT_COLUMNS = (
