@@ -126,3 +126,21 @@ def test_files_have_the_shape_of_messages(spark, tmp_path):
     read = messages_from_files(spark, path, glob="*.parquet")
     assert read.schema == schemas.MESSAGE
     assert rows_of(read, "offset") == [(1,)]
+
+
+def test_job_arguments_reach_the_source(monkeypatch):
+    from tickflow.streaming import job
+
+    asked = {}
+    monkeypatch.setattr(job, "build_session", lambda name: "session")
+    monkeypatch.setattr(job, "stream_messages", lambda *a, **options: asked.update(options))
+    monkeypatch.setattr(job, "start_job", lambda *a: asked.update(console=a[-1]))
+    monkeypatch.setattr(job, "await_any", lambda session: asked.update(waited=session))
+    job.main(["--max-messages", "1000", "--min-partitions", "64", "--console"])
+    assert asked == {
+        "starting": "latest",
+        "max_messages": 1000,
+        "min_partitions": 64,
+        "console": True,
+        "waited": "session",
+    }

@@ -99,7 +99,7 @@ def vwap(
     VWAP is NULL where the volume is zero. A trade with a price of NULL adds to the volume
     only, unless ``valid_only`` leaves it out. Sums are doubles, whose last digits depend on
     the order of addition; ``exact`` sums decimals with 8 places instead, for values below
-    1e10, and fails on larger ones rather than rounding.
+    1e10, and under ANSI mode, Spark's default, fails on larger ones rather than rounding.
 
     Batch input is summed into panes first and the panes into windows, so the trades are
     not multiplied by length / slide. A stream keeps one aggregation, which serves every

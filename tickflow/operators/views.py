@@ -38,7 +38,7 @@ def append_batches(*batches: DataFrame) -> DataFrame:
 def keep_last(rows: DataFrame, arrival: str, keys: Sequence[str] = _KEY) -> DataFrame:
     """The row that arrived last per key; NULL keys equal each other.
 
-    ``arrival`` must be distinct among the rows of one key.
+    ``arrival`` must be set, and distinct among the rows of one key.
     """
     return _pick(rows, list(keys), arrival, F.max_by)
 
@@ -95,7 +95,10 @@ def metric_listing(metrics: DataFrame) -> DataFrame:
 
 
 def known_symbols(metrics: DataFrame) -> list[str]:
-    """The symbols in sorted order; more than ``spark.sql.pivotMaxValues`` is an error."""
+    """The symbols in sorted order; more than ``spark.sql.pivotMaxValues`` is an error.
+
+    This runs ``metrics`` once, so store or cache them first unless they are cheap.
+    """
     bound = int(metrics.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     named = metrics.select("symbol").filter(F.col("symbol").isNotNull()).distinct()
     symbols = [row.symbol for row in named.limit(bound + 1).collect()]
@@ -171,7 +174,10 @@ def new_alerts(alerts: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def remember(seen: DataFrame, alerts: DataFrame) -> DataFrame:
-    """The seen set after showing ``alerts``."""
+    """The seen set after showing ``alerts``.
+
+    Write it to a table or ``checkpoint`` it between refreshes, or its plan grows with each.
+    """
     return seen.select(*_KEY).union(alerts.select(*_KEY)).distinct()
 
 

@@ -75,6 +75,22 @@ def vwap_lineitem(spark, sf_dir):
     return me.vwap(trades, "30 days", "10 days", exact=True)
 
 
+def _in_cents(trades: DataFrame) -> DataFrame:
+    """Prices as whole cents: double sums of whole numbers are the same in any order."""
+    cents = trades.withColumn("price", F.round(F.col("price") * 100))
+    return cents.withColumn("volume_price", F.col("price") * F.col("quantity"))
+
+
+def vwap_cents(spark, sf_dir):
+    """Default windows and default arithmetic."""
+    return me.vwap(_in_cents(_trades(spark, sf_dir)))
+
+
+def vwap_lineitem_cents(spark, sf_dir):
+    trades = tables.lineitem_trades(tables.read_table(spark, sf_dir, "lineitem"))
+    return me.vwap(_in_cents(trades), "30 days", "10 days")
+
+
 def symbol_subset_vwap(spark, sf_dir):
     trades = pa.only_symbols(_trades(spark, sf_dir), ["click", "purchase"])
     return me.vwap(trades, "30 minutes", "10 minutes", exact=True)
@@ -351,6 +367,8 @@ BATCH: dict[str, Query] = {
         vwap_valid_trades,
         vwap_from_json,
         vwap_lineitem,
+        vwap_cents,
+        vwap_lineitem_cents,
         symbol_subset_vwap,
         volume_tumbling,
         first_last_price,

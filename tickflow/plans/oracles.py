@@ -14,14 +14,23 @@ def _start(seconds: int, column: str = "ts") -> str:
     return f"time_bucket(INTERVAL '{seconds} seconds', {column}, {_EPOCH})"
 
 
+def _cents(trades: str, price: str) -> str:
+    return trades.replace(f"{price} AS price", f"round({price} * 100) AS price")
+
+
 def _vwap(
-    length: int, slide: int, trades: str = _TRADES, where: str = "TRUE", having: str = "TRUE"
+    length: int,
+    slide: int,
+    trades: str = _TRADES,
+    where: str = "TRUE",
+    having: str = "TRUE",
+    number: str = "DECIMAL(18,4)",
 ) -> str:
     """A chain of CTEs ending in m(window_end, symbol, vwap, total_volume)."""
     steps = -(-length // slide)
     return f"""{trades},
 x AS (
-  SELECT symbol, ts, CAST(price AS DECIMAL(18,4)) AS p, CAST(quantity AS DECIMAL(18,4)) AS q,
+  SELECT symbol, ts, CAST(price AS {number}) AS p, CAST(quantity AS {number}) AS q,
          {_start(slide)} - i.k * INTERVAL '{slide} seconds' AS ws
   FROM t, (SELECT unnest(range({steps})) AS k) i
   WHERE {where}),
@@ -101,6 +110,11 @@ _SQL: dict[str, str] = {
     "vwap_valid_trades": f"WITH {_vwap(_HOUR, _HOUR, where='price <> 0')} SELECT {_METRIC} FROM m",
     "vwap_from_json": f"WITH {_vwap(30, 10)} SELECT {_METRIC} FROM m",
     "vwap_lineitem": f"WITH {_vwap(30 * 86400, 10 * 86400, _LINEITEM)} SELECT {_METRIC} FROM m",
+    "vwap_cents": f"WITH {_vwap(30, 10, _cents(_TRADES, 'value'), number='DOUBLE')} "
+    f"SELECT {_METRIC} FROM m",
+    "vwap_lineitem_cents": f"WITH {_vwap(
+        30 * 86400, 10 * 86400, _cents(_LINEITEM, 'l_extendedprice'), number='DOUBLE')} "
+    f"SELECT {_METRIC} FROM m",
     "symbol_subset_vwap": f"""WITH {_vwap(_HALF, _TEN, where="symbol IN ('click', 'purchase')")}
 SELECT {_METRIC} FROM m""",
     "volume_tumbling": f"WITH {_vwap(10, 10)} SELECT window_end, symbol, total_volume FROM m",

@@ -86,7 +86,11 @@ def read_log(
 def display(
     metrics: DataFrame, alerts: DataFrame, seen: DataFrame, symbols: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Everything a display shows at one refresh, from two logs and the alerts shown before."""
+    """Everything a display shows at one refresh, from two logs and the alerts shown before.
+
+    Each view is a query of its own over its input. Without ``symbols``, the metrics are read
+    twice more to find them.
+    """
     new = views.new_alerts(alerts, seen)
     return {
         "latest_rows": views.latest_rows(metrics),
