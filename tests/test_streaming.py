@@ -236,7 +236,7 @@ def test_new_alert_stream_counts_per_refresh(spark, tmp_path):
     feed.add(alert_log(spark, (10, "A"), (20, "A"), (20, "B")))
     feed.add(alert_log(spark, (20, "A"), (20, "B")))
     feed.add(alert_log(spark, (20, "B"), (30, "A")))
-    decoded = serving.result_stream(feed.stream(), schemas.ALERT_COLUMNS)
+    decoded = serving.result_stream(feed.stream(), schemas.ALERT)
     shown = serving.observed_counts(serving.new_alert_stream(decoded))
     out, query = to_files(shown, tmp_path)
     assert sorted(rows_of(out, "window_end", "symbol")) == [
@@ -253,7 +253,7 @@ def test_result_stream_types_metrics(spark, messages):
         {"window_end": "soon", "symbol": "A", "vwap": "abc"},
         keys=["A", "A"],
     )
-    typed = serving.result_stream(log, schemas.METRIC_COLUMNS)
+    typed = serving.result_stream(log, schemas.METRIC)
     assert rows_of(typed, *schemas.METRIC_COLUMNS, "offset") == [
         (naive(at(10)), "A", None, 2.5, 0),
         (None, "A", None, None, 1),
@@ -270,15 +270,27 @@ def test_log_keeps_the_last_delivery(spark, messages, tmp_path):
     feed = Feed(spark, tmp_path / "metrics", batch.schema)
     feed.add(batch)
     path, checkpoint = str(tmp_path / "log"), str(tmp_path / "c")
-    rows = serving.result_stream(feed.stream(), schemas.METRIC_COLUMNS)
+    rows = serving.result_stream(feed.stream(), schemas.METRIC)
     drain(serving.start_log(rows, path, checkpoint, drain=True))
-    whole = serving.read_log(spark, path, schemas.METRIC_COLUMNS)
+    whole = serving.read_log(spark, path, schemas.METRIC)
     assert sorted(rows_of(whole, "vwap"), key=str) == [(2.0,), (3.0,), (None,)]
-    recent = serving.read_log(spark, path, schemas.METRIC_COLUMNS, dt.date(2024, 1, 2))
+    recent = serving.read_log(spark, path, schemas.METRIC, dt.date(2024, 1, 2))
     assert rows_of(recent, "vwap") == [(2.0,)]
     assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().toString()
 
 
+def test_a_log_may_be_empty(spark, messages, tmp_path):
+    batch = messages("not json")
+    feed = Feed(spark, tmp_path / "metrics", batch.schema)
+    feed.add(batch)
+    for result in (schemas.METRIC, schemas.ALERT):
+        path = str(tmp_path / "-".join(result.fieldNames()))
+        rows = serving.result_stream(feed.stream(), result)
+        drain(serving.start_log(rows, path, f"{path}-checkpoint", drain=True))
+        log = serving.read_log(spark, path, result)
+        assert log.schema == result and log.isEmpty()
+
+
 def test_display_shows_new_alerts_once(spark, trades):
     rows = trades(*(("AB"[i % 2], i * 3, 100.0 + i * 7 % 19, 1.0) for i in range(40)))
     metrics, alerts = me.vwap(rows), al.volatility(rows)
@@ -330,9 +342,9 @@ def test_job_writes_both_result_topics(spark, tmp_path):
     assert started == {name: ["key", "value"] for name in ("processed_metrics", "alerts")}
     expected = results(batch, settings)
     limit = F.col("window_end") <= F.lit(at(198 - 60))
-    for topic, columns, rows_expected in zip(
+    for topic, result, rows_expected in zip(
         ("processed_metrics", "alerts"),
-        (schemas.METRIC_COLUMNS, schemas.ALERT_COLUMNS),
+        (schemas.METRIC, schemas.ALERT),
         expected,
         strict=True,
     ):
@@ -341,7 +353,7 @@ def test_job_writes_both_result_topics(spark, tmp_path):
             F.col("value").cast("binary").alias("value"),
             F.lit(0).cast("bigint").alias("offset"),
         )
-        found = serving.result_stream(log, columns).select(*columns)
+        found = serving.result_stream(log, result).select(*result.fieldNames())
         assert sorted(rows_of(found)) == sorted(rows_of(rows_expected.filter(limit))) != []
 
 

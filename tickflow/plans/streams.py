@@ -92,7 +92,7 @@ def stream_pivot_complete(spark, sf_dir):
     path = f"{scratch_path(spark, 'pivot-complete')}/messages"
     log.repartition(3, "key").write.parquet(path)
     messages = messages_from_files(spark, path, True, max_files=1, schema=log.schema)
-    decoded = serving.result_stream(messages, schemas.METRIC_COLUMNS)
+    decoded = serving.result_stream(messages, schemas.METRIC)
     kinds = ("click", "error", "purchase", "signup", "view")
     wide = vi.wide_series(decoded, "total_volume", kinds)
     out = _drain_batches(wide, spark, "pivot-complete", "complete", sinks.replace_files)
@@ -127,7 +127,7 @@ def stream_new_alerts(spark, sf_dir):
     log.coalesce(1).write.parquet(path)
     log.coalesce(1).write.mode("append").parquet(path)
     messages = messages_from_files(spark, path, True, max_files=1, schema=log.schema)
-    decoded = serving.result_stream(messages, schemas.ALERT_COLUMNS).drop("key", "offset")
+    decoded = serving.result_stream(messages, schemas.ALERT).drop("key", "offset")
     shown = serving.new_alert_stream(decoded, delay=_WHOLE_INPUT)
     return _drain_to_files(shown, spark, "new-alerts")
 
@@ -163,9 +163,9 @@ def stream_results_log(spark, sf_dir):
         log = tables.result_messages(to_messages(metrics), arrival)
         log.write.mode("append").parquet(f"{base}/messages")
     messages = messages_from_files(spark, f"{base}/messages", True, schema=log.schema)
-    decoded = serving.result_stream(messages, schemas.METRIC_COLUMNS)
+    decoded = serving.result_stream(messages, schemas.METRIC)
     _finish(serving.start_log(decoded, f"{base}/log", f"{base}/checkpoint", drain=True))
-    return serving.read_log(spark, f"{base}/log", schemas.METRIC_COLUMNS)
+    return serving.read_log(spark, f"{base}/log", schemas.METRIC)
 
 
 def stream_to_latest(spark, sf_dir):
@@ -184,9 +184,9 @@ def stream_to_latest(spark, sf_dir):
     trades = pa.parse_trades(through_files(raw, "raw", raw.schema))
     metrics = to_messages(me.vwap(trades, "30 minutes", "10 minutes", exact=True))
     sent = through_files(metrics, "metrics", metrics.schema)
-    rows = serving.result_stream(sent, schemas.METRIC_COLUMNS)
+    rows = serving.result_stream(sent, schemas.METRIC)
     _finish(serving.start_log(rows, f"{base}/log", f"{base}/log-checkpoint", drain=True))
-    return vi.latest_rows(serving.read_log(spark, f"{base}/log", schemas.METRIC_COLUMNS))
+    return vi.latest_rows(serving.read_log(spark, f"{base}/log", schemas.METRIC))
 
 
 STREAMS = {

@@ -54,13 +54,23 @@ RAW_TRADE = T.StructType(
 # The feed also carries a trade id, which only the log line of a trade shows.
 FEED_TRADE = T.StructType([*RAW_TRADE.fields, T.StructField("t", T.StringType())])
 
-METRIC_COLUMNS = ("window_end", "symbol", "vwap", "total_volume")
-ALERT_COLUMNS = (
-    "window_start",
-    "window_end",
-    "symbol",
-    "first_price",
-    "last_price",
-    "percent_change",
+METRIC = T.StructType(
+    [
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("vwap", T.DoubleType()),
+        T.StructField("total_volume", T.DoubleType()),
+    ]
+)
+ALERT = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("first_price", T.DoubleType()),
+        T.StructField("last_price", T.DoubleType()),
+        T.StructField("percent_change", T.DoubleType()),
+    ]
 )
+METRIC_COLUMNS = tuple(METRIC.fieldNames())
 RESULT_KEY = ("symbol", "window_end")

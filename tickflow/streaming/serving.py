@@ -7,24 +7,29 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickflow import schemas
 from tickflow.operators import views
-from tickflow.operators.parse import coerce_alerts, coerce_metrics, decode_payload
+from tickflow.operators.parse import coerce, decode_payload
 from tickflow.streaming.sinks import start_files
 
 _DAY = "day"
 
 
-def result_stream(messages: DataFrame, columns: Sequence[str]) -> DataFrame:
+def result_stream(messages: DataFrame, result: T.StructType) -> DataFrame:
     """Messages of a result topic as typed rows, for batch and stream alike.
 
-    ``columns`` is ``schemas.METRIC_COLUMNS`` or ``schemas.ALERT_COLUMNS``. The offset stays
-    as arrival order for ``views.keep_last``.
+    ``result`` is ``schemas.METRIC`` or ``schemas.ALERT``. The key stays, and the offset as
+    arrival order for ``views.keep_last``.
     """
-    rows = decode_payload(messages, columns, carry=["offset"])
-    return coerce_alerts(rows) if "percent_change" in columns else coerce_metrics(rows)
+    rows = decode_payload(messages, result.fieldNames(), carry=["offset"])
+    return coerce(
+        rows,
+        times=[f.name for f in result if isinstance(f.dataType, T.TimestampType)],
+        numbers=[f.name for f in result if isinstance(f.dataType, T.DoubleType)],
+    )
 
 
 def new_alert_stream(alerts: DataFrame, delay: str = schemas.WATERMARK_DELAY) -> DataFrame:
@@ -69,7 +74,7 @@ def start_log(
 
 
 def read_log(
-    spark: SparkSession, path: str, columns: Sequence[str], since: date | None = None
+    spark: SparkSession, path: str, result: T.StructType, since: date | None = None
 ) -> DataFrame:
     """The log with the last delivery per symbol and window end, as the views take it.
 
@@ -77,10 +82,11 @@ def read_log(
     windows costs the same however long the log is. Rows without a window end have no day
     and are only part of the whole log.
     """
-    log = spark.read.parquet(path)
+    arrival, day = T.StructField("offset", T.LongType()), T.StructField(_DAY, T.DateType())
+    log = spark.read.schema(T.StructType([*result.fields, arrival, day])).parquet(path)
     if since is not None:
         log = log.filter(F.col(_DAY) >= F.lit(since))
-    return views.keep_last(log.drop(_DAY), "offset").select(*columns)
+    return views.keep_last(log.drop(_DAY), "offset").select(*result.fieldNames())
 
 
 def display(
