@@ -43,7 +43,8 @@ def test_zero_volume_gives_null(trades):
 
 def test_null_price_counts_as_volume_unless_valid_only(trades):
     rows = trades(("A", 1, None, 1.0), ("A", 2, 10.0, 1.0))
-    assert rows_of(me.vwap(rows, "10 seconds", "10 seconds"), "vwap", "total_volume") == [(5.0, 2.0)]
+    metric = me.vwap(rows, "10 seconds", "10 seconds")
+    assert rows_of(metric, "vwap", "total_volume") == [(5.0, 2.0)]
     valid = me.vwap(rows, "10 seconds", "10 seconds", valid_only=True)
     assert rows_of(valid, "vwap", "total_volume") == [(10.0, 1.0)]
 

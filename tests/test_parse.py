@@ -65,12 +65,20 @@ def test_unwrap_and_validate(messages):
         envelope(s=None),
         {"result": None, "id": 1},
         {"stream": "x", "data": "text"},
+        {"stream": "x", "data": json.dumps({"s": "BTC"})},
+        {"stream": "x", "data": [{"s": "BTC"}]},
         "not json",
         None,
     )
     opened = pa.unwrap(feed)
     assert rows_of(pa.accepted(opened), "offset", "stream", "trade.s") == [(0, "btc@trade", "BTC")]
-    assert sorted(rows_of(pa.rejected(opened), "offset")) == [(i,) for i in range(1, 8)]
+    assert sorted(rows_of(pa.rejected(opened), "offset")) == [(i,) for i in range(1, 10)]
+
+
+def test_mistyped_fields_of_a_trade_are_null(messages):
+    opened = pa.unwrap(messages(envelope(E="soon", s="BTC", p=1.5, t=[1])))
+    trade_fields = [f"trade.{name}" for name in "Espqt"]
+    assert rows_of(pa.accepted(opened), *trade_fields) == [(None, "BTC", "1.5", None, "[1]")]
 
 
 def test_republish_keeps_unknown_fields(messages):

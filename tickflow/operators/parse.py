@@ -52,7 +52,8 @@ def open_object(rows: DataFrame, text: Column, fields: Sequence[str], prefix: st
         F.col(f"{prefix}{_MALFORMED}").isNull() & (F.size(entries) == 1) & only.isNotNull()
     )
     return opened.select(
-        *rows.columns, *(only[name].alias(f"{prefix}{name}") for name in fields),
+        *rows.columns,
+        *(only[name].alias(f"{prefix}{name}") for name in fields),
         F.coalesce(one_object, F.lit(False)).alias(f"{prefix}ok"),
     )
 
@@ -63,17 +64,17 @@ def unwrap(messages: DataFrame) -> DataFrame:
     The payload text keeps every field of the trade for republishing, whatever the schema of
     ``trade`` covers. All three are empty where the message is no JSON object.
     """
-    opened = open_object(messages, utf8(F.col("value")), ["stream", "data"], "envelope_")
-    payload = F.when(F.col("envelope_ok"), F.col("envelope_data"))
-    typed = open_json(
-        opened.withColumn("payload", payload), F.col("payload"), schemas.FEED_TRADE, "trade_"
-    )
-    fields = schemas.FEED_TRADE.fieldNames()
+    texts = messages.withColumn("envelope_text", utf8(F.col("value")))
+    text = F.col("envelope_text")
+    opened = open_object(texts, text, ["stream", "data"], "envelope_")
+    # Typed from the envelope, not from the payload text: that text looks the same whether
+    # ``data`` is an object or a string that quotes one.
+    only_data = T.StructType([T.StructField("data", schemas.FEED_TRADE)])
+    typed = open_json(opened, text, only_data, "typed_")
+    parts = {"stream": "envelope_stream", "payload": "envelope_data", "trade": "typed_data"}
     return typed.select(
         *messages.columns,
-        F.when(F.col("envelope_ok"), F.col("envelope_stream")).alias("stream"),
-        "payload",
-        F.struct(*(F.col(f"trade_{name}").alias(name) for name in fields)).alias("trade"),
+        *(F.when(F.col("envelope_ok"), F.col(c)).alias(name) for name, c in parts.items()),
     )
 
 

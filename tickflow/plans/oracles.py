@@ -103,18 +103,26 @@ SELECT window_end, symbol, arg_max(vwap, arrival) AS vwap,
        arg_max(total_volume, arrival) AS total_volume{{extra}}
 FROM k GROUP BY window_end, symbol"""
 
+_MONTH, _THIRD = 30 * 86400, 10 * 86400
+_CENTS = _vwap(30, 10, _cents(_TRADES, "value"), number="DOUBLE")
+_LINEITEM_CENTS = _vwap(_MONTH, _THIRD, _cents(_LINEITEM, "l_extendedprice"), number="DOUBLE")
+# Error events carry no symbol in the feed, so the watermark does not see them either.
+_NAMED_PASSED = _vwap(
+    _HALF,
+    _TEN,
+    where="symbol <> 'error'",
+    having=_PASSED.format(_HALF).replace("events", "events WHERE event_type <> 'error'"),
+)
+
 _SQL: dict[str, str] = {
     "vwap_sliding_default": f"WITH {_vwap(30, 10)} SELECT {_METRIC} FROM m",
     "vwap_sliding_30m": f"WITH {_vwap(_HALF, _TEN)} SELECT {_METRIC} FROM m",
     "vwap_uneven_windows": f"WITH {_vwap(1500, _TEN)} SELECT {_METRIC} FROM m",
     "vwap_valid_trades": f"WITH {_vwap(_HOUR, _HOUR, where='price <> 0')} SELECT {_METRIC} FROM m",
     "vwap_from_json": f"WITH {_vwap(30, 10)} SELECT {_METRIC} FROM m",
-    "vwap_lineitem": f"WITH {_vwap(30 * 86400, 10 * 86400, _LINEITEM)} SELECT {_METRIC} FROM m",
-    "vwap_cents": f"WITH {_vwap(30, 10, _cents(_TRADES, 'value'), number='DOUBLE')} "
-    f"SELECT {_METRIC} FROM m",
-    "vwap_lineitem_cents": f"WITH {_vwap(
-        30 * 86400, 10 * 86400, _cents(_LINEITEM, 'l_extendedprice'), number='DOUBLE')} "
-    f"SELECT {_METRIC} FROM m",
+    "vwap_lineitem": f"WITH {_vwap(_MONTH, _THIRD, _LINEITEM)} SELECT {_METRIC} FROM m",
+    "vwap_cents": f"WITH {_CENTS} SELECT {_METRIC} FROM m",
+    "vwap_lineitem_cents": f"WITH {_LINEITEM_CENTS} SELECT {_METRIC} FROM m",
     "symbol_subset_vwap": f"""WITH {_vwap(_HALF, _TEN, where="symbol IN ('click', 'purchase')")}
 SELECT {_METRIC} FROM m""",
     "volume_tumbling": f"WITH {_vwap(10, 10)} SELECT window_end, symbol, total_volume FROM m",
@@ -221,9 +229,7 @@ SELECT * FROM a WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 m
 SELECT symbol AS key, date_trunc('milliseconds', ts) AS event_time, price, quantity
 FROM t WHERE symbol <> 'error'""",
     "stream_new_alerts": f"WITH {_alerts(_HOUR, 1.0)} SELECT * FROM a",
-    "stream_to_latest": f"""WITH {_vwap(
-        _HALF, _TEN, where="symbol <> 'error'", having=_PASSED.format(_HALF).replace(
-            "FROM events", "FROM events WHERE event_type <> 'error'"))}
+    "stream_to_latest": f"""WITH {_NAMED_PASSED}
 SELECT symbol, vwap, total_volume, window_end FROM m
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1""",
     "stream_results_log": f"WITH {_vwap(_HOUR, _HOUR)} SELECT {_METRIC} FROM m",
