@@ -17,10 +17,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.all_queries()) == set(driver.all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.all_queries()))
 def test_query_matches_sql(spark, con, sf_dir, name):
     good, note = check.compare(spark, con, sf_dir, name)
     assert good, note
