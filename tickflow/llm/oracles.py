@@ -33,3 +33,33 @@ SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(f.label, d.doc_id) AS
     d.doc_id = coalesce(f.label, d.doc_id) AS kept
 FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s AND len(d.s) > 0 LEFT JOIN found f ON f.node = c.rep
 """
+
+DECONTAMINATION = rf"""
+WITH dw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), iw AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size,
+        unnest([array_to_string(w[i:i + 9], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) AS t
+    FROM iw WHERE len(w) > 0
+), places AS (
+    SELECT doc_id, size,
+        unnest([{{'i': i, 't': array_to_string(w[i:i + size - 1], ' ')}} for i in range(1, len(w) - size + 2)]) AS p
+    FROM dw, (SELECT DISTINCT size FROM win) WHERE len(w) >= size
+), spans AS (
+    SELECT DISTINCT doc_id, p.i AS i, places.size AS size, item_id
+    FROM places JOIN win ON p.t = win.t AND places.size = win.size
+), hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM spans) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM spans) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import oracles
+from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.near_dup import near_duplicates
+from tickflow.llm.quality import quality_rules
 from tickflow.llm.tables import read
 
 
@@ -15,9 +17,23 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+_QUERIES = (op7_minhash_near_dedup, op8_benchmark_decontamination, op10_quality_rules)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op7_minhash_near_dedup,)}
+    return {query.__name__: query for query in _QUERIES}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_minhash_near_dedup": oracles.NEAR_DUPLICATES}
+    return {
+        "op7_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+        "op8_benchmark_decontamination": oracles.DECONTAMINATION,
+    }
