@@ -11,6 +11,20 @@ from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
 from tickflow.llm.tables import read
+from tickflow.llm.token_files import token_files
+from tickflow.llm.toxicity import toxicity
+from tickflow.settings import scratch_path
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +35,16 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    return token_files(read(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op7_minhash_near_dedup, op8_benchmark_decontamination, op10_quality_rules)
+_QUERIES = (op3_toxicity, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
