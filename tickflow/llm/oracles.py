@@ -63,3 +63,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL
+    SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS place,
+        length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length(regexp_replace(
+            replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*)\|', '<\1\\|', 'g'
+        )) + 24 AS chars
+    FROM turns
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS said,
+        coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss
+    FROM ordered GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, formatted_chars
+FROM joined
+"""

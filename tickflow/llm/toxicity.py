@@ -149,8 +149,11 @@ def train(positive: Side, unlabelled: Side, size: int, prior: float, seed: int)
 
 
 def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
-    """Train on the rows that are not held out; ``prior`` is the share of toxic documents,
-    by default their share among those rows' labels."""
+    """Train on the rows that are not held out.
+
+    ``prior`` is the share of toxic documents; by default the share among those rows' labels
+    less one standard error, as too large a prior makes the risk call clean texts toxic.
+    """
     known = labels.select(F.col("doc_id").cast("long"), "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.filter(~held_out())
     order = F.xxhash64("doc_id")
@@ -158,7 +161,8 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     numbers = docs.select(F.col("doc_id").cast("long")).filter("doc_id IS NOT NULL").filter(~held_out())
     mixture = numbers.distinct().orderBy(order, "doc_id").limit(UNLABELLED)
     if prior is None:
-        prior = known.agg(F.avg(F.when(F.col("toxic") == 1, 1.0).otherwise(0.0))).head()[0]
+        share, size = known.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count("*")).head()
+        prior = max(share - (share * (1 - share) / size) ** 0.5, share / 2) if size else 0.0
     picked = settle(
         toxic.withColumn("positive", F.lit(True)).join(mixture.withColumn("unlabelled", F.lit(True)), "doc_id", "full"),
         "picked",
