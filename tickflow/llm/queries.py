@@ -11,6 +11,7 @@ from tickflow.llm.chat import chat_digest, format_chats
 from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
+from tickflow.llm.sharding import lookup_table, place
 from tickflow.llm.tables import read
 from tickflow.llm.token_files import token_files
 from tickflow.llm.toxicity import toxicity
@@ -24,6 +25,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+SHARDS = [f"shard-{number:03d}" for number in range(64)]
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard; keyed by document, so that no hot source fills one."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return place(documents, ["doc_id"], lookup_table(spark, SHARDS))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -57,7 +67,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op3_toxicity, op4_chat_formatting, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
+_QUERIES = (op2_sharding, op3_toxicity, op4_chat_formatting, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
