@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickflow.llm import oracles
 from tickflow.llm.chat import chat_digest, format_chats
 from tickflow.llm.decontaminate import decontaminate
+from tickflow.llm.extract import extract_main_text
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
 from tickflow.llm.sharding import lookup_table, place
@@ -50,6 +51,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(stored.union(spark.sql(_FORGED))))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -67,7 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op2_sharding, op3_toxicity, op4_chat_formatting, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
+_QUERIES = (op2_sharding, op3_toxicity, op4_chat_formatting, op5_html_extraction, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
