@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickflow.llm import oracles
 from tickflow.llm.chat import chat_digest, format_chats
@@ -12,6 +13,7 @@ from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.extract import extract_main_text
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
+from tickflow.llm.sentence_pieces import decode, encode
 from tickflow.llm.sharding import lookup_table, place
 from tickflow.llm.tables import read
 from tickflow.llm.token_files import token_files
@@ -26,6 +28,23 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def sentence_pieces(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """Piece ids of documents and what they decode to."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    decoded = decode(encode(documents, model, scanned=True), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        F.char_length("decoded").cast("long").alias("decoded_chars"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces(spark, read(spark, sf_dir, "documents"))
+
+
 SHARDS = [f"shard-{number:03d}" for number in range(64)]
 
 
@@ -72,7 +91,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op2_sharding, op3_toxicity, op4_chat_formatting, op5_html_extraction, op7_minhash_near_dedup, op8_benchmark_decontamination, op9_token_files, op10_quality_rules)
+_QUERIES = (
+    op1_sentencepiece,
+    op2_sharding,
+    op3_toxicity,
+    op4_chat_formatting,
+    op5_html_extraction,
+    op7_minhash_near_dedup,
+    op8_benchmark_decontamination,
+    op9_token_files,
+    op10_quality_rules,
+)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
