@@ -44,9 +44,10 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = ids.astype(np.uint64)
     chosen = _selectors(ids)
     jump = (np.arange(len(ids)) + _COUNTS[chosen]).tolist()
-    heads, at = [], 0
-    while at < len(jump):
-        heads.append(at)
+    heads, at, size = [], 0, len(jump)
+    take = heads.append
+    while at < size:
+        take(at)
         at = jump[at]
     heads = np.array(heads, dtype=np.int64)
     selectors = chosen[heads].astype(np.uint64)

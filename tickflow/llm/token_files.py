@@ -8,67 +8,117 @@ its block's offset plus its place in the block.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickflow.llm import simple8b
+from tickflow.llm import simple8b, words
 
 END_ID = 0
 BLOCK_IDS = 1 << 16
 """A block ends with the document that reaches this many ids."""
-CACHE_CHUNKS = 1_000_000
-"""Encoded chunks of text that a Python worker remembers at most."""
+CACHE_UNITS = 1_000_000
+"""Encoded units of text that a Python worker remembers, before it starts anew."""
+_SLICE_BYTES = 1 << 22
 
 _BLOCKS = "shard int, block int, first long, n_ids long, n_docs long, payload binary"
-# A single blank between two characters that are no white space begins a new token in the
-# byte-level pre-tokenizer, so what lies between such blanks is encoded on its own.
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _workers: dict[str, _Encoder] = {}
 
 
+def _flags(characters: bytes) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(characters)] = True
+    return table
+
+
+_LETTER = _flags(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_MARK = _flags(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
+# First bytes of characters some of which are white space.
+_DOUBTFUL_2, _DOUBTFUL_3 = _flags(b"\xc2"), _flags(b"\xe1\xe2\xe3")
+
+
+def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts can be cut without changing their tokens, their own starts included.
+
+    The byte-level pre-tokenizer begins a new word at a single blank between two characters
+    that are no white space, and wherever an ASCII letter meets an ASCII mark other than the
+    apostrophe. Where a neighbour might be white space beyond ASCII, nothing is cut.
+    """
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    if len(data) > 2:
+        solid = data > 0x20
+        blank = (data[1:-1] == 0x20) & solid[:-2] & solid[2:]
+        blank &= ~(_DOUBTFUL_2[data[2:]] | _DOUBTFUL_3[data[2:]])
+        blank[1:] &= ~_DOUBTFUL_2[data[:-3]]
+        blank[2:] &= ~_DOUBTFUL_3[data[:-4]] if len(data) > 4 else True
+        cut[1 : len(data) - 1] |= blank
+    letter, mark = _LETTER[data], _MARK[data]
+    cut[1 : len(data)] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    cut[offsets[:-1]] = True
+    return np.flatnonzero(cut[: len(data)])
+
+
 class _Encoder:
-    """Ids of texts by a byte-level BPE tokenizer, remembering what chunks became."""
+    """Ids of texts by a byte-level BPE tokenizer, remembering what units became."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
-
-    def _learn(self, chunks: set[str], known: dict[str, bytes], prefix: str) -> None:
-        new = chunks - known.keys()
-        # A full stop or comma right after a letter is a token of its own.
-        tails = {c for c in new if len(c) > 1 and c[-1] in ".," and c[-2].isascii() and c[-2].isalpha()}
-        bare = (new - tails) | ({c[:-1] for c in tails} - known.keys())
-        listed = list(bare)
-        known.update(zip(listed, self._ids([prefix + c for c in listed])))
-        if tails:
-            marks = dict(zip(".,", self._ids([".", ","])))
-            known.update((c, known[c[:-1]] + marks[c[-1]]) for c in tails)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        if len(self.later) > CACHE_CHUNKS:
-            self.first.clear()
-            self.later.clear()
-        split = [_BETWEEN.split(text) for text in texts]
-        self._learn({chunks[0] for chunks in split}, self.first, "")
-        self._learn(set().union(*(chunks[1:] for chunks in split)), self.later, " ")
-        later = self.later
-        return [self.first[c[0]] + b"".join([later[x] for x in c[1:]]) for c in split]
+        # In a byte-level vocabulary every character of a token stands for one byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        self.token_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, keys: list[int], units: list[str], sizes: np.ndarray) -> None:
+        """Encode new units, many per call; ``sizes`` are their bytes."""
+        if not keys:
+            return
+        calls = [units[at : at + 64] for at in range(0, len(units), 64)]
+        found = self.tokenizer.encode_batch_fast(calls, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.array(one.ids, dtype=np.uint32) for one in found])
+        # Tokens keep every byte, so a unit's tokens end where its bytes do.
+        ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(sizes)) + 1
+        known = len(self.offsets) - 1
+        self.place.update(zip(keys, range(known, known + len(keys))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
+
+    def encode(self, part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a slice, how many each has)."""
+        if not len(part.data):
+            return np.zeros(0, np.uint32), np.zeros(len(part), np.int64)
+        if len(self.place) > CACHE_UNITS:
+            self._forget()
+        starts = _unit_starts(part.data, part.offsets)
+        ends = np.append(starts[1:], len(part.data))
+        codes, keys = pd.factorize(part.hashes(part.running(), starts, ends))
+        first = np.full(len(keys), len(codes))
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        listed = keys.tolist()
+        new = [number for number, key in enumerate(listed) if key not in self.place]
+        begin, end = starts[first[new]], ends[first[new]]
+        raw = part.data.tobytes()
+        units = [raw[a:b].decode() for a, b in zip(begin.tolist(), end.tolist())]
+        self._learn([listed[number] for number in new], units, end - begin)
+        places = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[codes]
+        sizes = self.offsets[places + 1] - self.offsets[places]
+        ends_out = np.cumsum(sizes)
+        shift = np.repeat(self.offsets[places] - (ends_out - sizes), sizes)
+        bounds = np.append(0, ends_out)[np.searchsorted(starts, part.offsets)]
+        return self.ids[shift + np.arange(len(shift))], np.diff(bounds)
 
 
 def _encoder(path: str) -> _Encoder:
@@ -77,43 +127,40 @@ def _encoder(path: str) -> _Encoder:
     return _workers[path]
 
 
-def _text_groups(column: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
-    """Neighbouring texts of about ``size`` characters together."""
-    group, held = [], 0
-    for text in column:
-        group.append(text.as_py() or "")
-        held += len(group[-1])
-        if held >= size:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
 def _write_blocks(tokenizer: str):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder, end = TaskContext.get().partitionId(), _encoder(tokenizer), np.uint32(END_ID).tobytes()
-        doc_ids, lengths, parts, held, block, first = [], [], [], 0, 0, 0
+        shard, encoder = TaskContext.get().partitionId(), _encoder(tokenizer)
+        block, first = 0, 0
+        doc_ids, lengths, parts, held = [], [], [], 0
 
         def finished() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), dtype="<u4")
-            payload = simple8b.pack_block(doc_ids, np.array(lengths), ids)
-            row = [[shard], [block], [first], [len(ids)], [len(doc_ids)], [payload]]
+            payload = simple8b.pack_block(doc_ids, np.concatenate(lengths), np.concatenate(parts))
+            row = [[shard], [block], [first], [held], [len(doc_ids)], [payload]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["shard", "block", "first", "n_ids", "n_docs", "payload"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            numbers = iter(batch["doc_id"].to_pylist())
-            for texts in _text_groups(batch["text"]):
-                for encoded in encoder.encode(texts):
-                    doc_ids.append(next(numbers))
-                    parts.append(encoded + end)
-                    lengths.append(len(encoded) // 4 + 1)
-                    held += lengths[-1]
+            numbers = batch["doc_id"].to_pylist()
+            for part in words.slices(batch["text"], fold=words.SAME, size=_SLICE_BYTES):
+                ids, counts = encoder.encode(part)
+                ends = np.cumsum(counts)
+                ids, counts = np.insert(ids, ends, END_ID), counts + 1
+                ends = np.cumsum(counts)
+                at = 0
+                while at < len(part):
+                    done = int(ends[at - 1]) if at else 0
+                    # The block takes every document up to the one that fills it.
+                    stop = min(int(np.searchsorted(ends, done + BLOCK_IDS - held)) + 1, len(part))
+                    doc_ids += numbers[part.first + at : part.first + stop]
+                    lengths.append(counts[at:stop])
+                    parts.append(ids[done : ends[stop - 1]])
+                    held += len(parts[-1])
+                    at = stop
                     if held >= BLOCK_IDS:
                         yield finished()
-                        doc_ids, lengths, parts, first, block, held = [], [], [], first + held, block + 1, 0
+                        block, first = block + 1, first + held
+                        doc_ids, lengths, parts, held = [], [], [], 0
         if doc_ids:
             yield finished()
 

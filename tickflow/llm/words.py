@@ -101,9 +101,12 @@ class Slice:
 
 
 def slices(
-    column: pa.Array, is_word: np.ndarray = NOT_BLANK, fold: np.ndarray = LOWER
+    column: pa.Array, is_word: np.ndarray = NOT_BLANK, fold: np.ndarray = LOWER, size: int = SLICE_BYTES
 ) -> Iterator[Slice]:
-    """A text column in slices; a null is an empty text. ``fold`` maps bytes first."""
+    """A text column in slices of about ``size`` bytes; a null is an empty text.
+
+    ``fold`` maps bytes first.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -113,7 +116,7 @@ def slices(
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         part = offsets[row : end + 1] - offsets[row]
         folded = fold[data[offsets[row] : offsets[end]]]
