@@ -226,3 +226,13 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of any item.
+
+    Told apart by doc_id: rows without one go if any of them is contaminated.
+    """
+    lost = decontaminate(docs, items).filter("contaminated").select(F.col("doc_id").alias("lost")).distinct()
+    lost = small(settle(lost, "lost"))
+    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost")), "left_anti").select(*docs.columns)

@@ -234,6 +234,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but for those that ``near_duplicates`` does
+    not keep: of each group the document of least doc_id stays."""
+    lost = settle(near_duplicates(docs).filter("NOT kept").select("doc_id").distinct(), "lost")
+    return docs.join(small(lost), "doc_id", "left_anti").select(*docs.columns)
+
+
 def _repeats(signed: DataFrame) -> bool:
     """Whether any doc_id has several rows."""
     ids = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))

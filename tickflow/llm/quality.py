@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow.llm import words
-from tickflow.llm.tables import settle
+from tickflow.llm.tables import least_hashed, settle
 
 SAMPLE_ROWS = 20_000
 """Labelled rows that rules are learned from at most; the rows of least hash are taken."""
@@ -121,18 +122,20 @@ def _statistics(part: words.Slice) -> np.ndarray:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column, and the counts of the text in the second."""
     for batch in batches:
-        found = [_statistics(part) for part in words.slices(batch["text"], fold=words.SAME)]
+        found = [_statistics(part) for part in words.slices(batch[1], fold=words.SAME)]
         table = np.concatenate(found) if found else np.zeros((0, len(_COUNTS)), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], *(pa.array(column) for column in table.T)], ["doc_id", *_COUNTS]
+            [batch[0], *(pa.array(column) for column in table.T)], [batch.schema.names[0], *_COUNTS]
         )
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the counts of every whole text; a null text has no words."""
-    layout = ", ".join(f"{name} long" for name in ("doc_id", *_COUNTS))
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_measure, layout)
+def statistics(docs: DataFrame, carried: Column) -> DataFrame:
+    """A carried column and the counts of every whole text; a null text has no words."""
+    rows = docs.select(carried, F.col("text").alias("counted"))
+    counts = [T.StructField(name, T.LongType()) for name in _COUNTS]
+    return rows.mapInArrow(_measure, T.StructType([rows.schema[0], *counts]))
 
 
 def base_failed() -> Column:
@@ -253,10 +256,8 @@ def learned_rules(measured: DataFrame, labels: DataFrame, sample_rows: int = SAM
     """
     known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long"), "quality")
     rows = measured.filter(~base_failed()).join(known, "doc_id")
-    rows = rows.select(
-        F.xxhash64("doc_id").alias("order"), "doc_id", "quality", *(F.expr(sql).alias(name) for name, sql in FEATURES.items())
-    )
-    sample = rows.orderBy("order", "doc_id", "quality").limit(sample_rows).toPandas()
+    rows = rows.select("doc_id", "quality", *(F.expr(sql).alias(name) for name, sql in FEATURES.items()))
+    sample = least_hashed(rows, sample_rows).toPandas().sort_values(["doc_id", "quality", *FEATURES])
     table = {name: sample[name].to_numpy(dtype=float) for name in FEATURES}
     return learn(table, sample["quality"].to_numpy() == 0)
 
@@ -273,8 +274,23 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     nothing; of conflicting labels each counts as a row. Without labels of both kinds there are no
     rules and the base decides alone. No documents give no rows.
     """
-    measured = settle(statistics(docs), "statistics")
+    measured = settle(statistics(docs, F.col("doc_id").cast("long")), "statistics")
     rules = learned_rules(measured, labels, sample_rows)
     return measured.withColumns(
         {"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)}
     ).select(*("doc_id", *_COUNTS[:5], "base_failed", "kept", *_COUNTS[5:]))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``quality_rules`` keeps.
+
+    Judged row by row, without a join; only labelled documents are counted twice.
+    """
+    known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long"), "quality")
+    sampled = least_hashed(known.join(docs.select(F.col("doc_id").cast("long")).distinct(), "doc_id"), sample_rows)
+    picked = settle(sampled, "sampled", 1)
+    taught = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
+    measured = settle(statistics(taught, F.col("doc_id").cast("long")), "statistics")
+    rules = learned_rules(measured, picked, sample_rows)
+    judged = statistics(docs, F.struct("*").alias("row"))
+    return judged.filter(~base_failed() & verdict(rules)).select("row.*")

@@ -33,3 +33,15 @@ def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     shuffling.
     """
     return F.broadcast(table) if table.count() <= rows else table
+
+
+def least_hashed(rows: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
+    """At most ``limit`` rows, those whose hashed key is least: a repeatable sample.
+
+    Of many rows only about twice as many as needed are sorted, so that tasks do not send
+    ``limit`` rows each.
+    """
+    order, total = F.xxhash64(key), rows.count()
+    if total > 2 * limit:
+        rows = rows.filter(order < int(2**64 * 2 * limit / total) - 2**63)
+    return rows.orderBy(order, key).limit(limit)

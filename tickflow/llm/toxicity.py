@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm import words
-from tickflow.llm.tables import settle
+from tickflow.llm.tables import least_hashed, settle
 
 POSITIVES, UNLABELLED = 4_000, 8_000
 """Documents that are learned from at most; those of least hashed doc_id are taken."""
@@ -156,10 +156,9 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     """
     known = labels.select(F.col("doc_id").cast("long"), "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.filter(~held_out())
-    order = F.xxhash64("doc_id")
-    toxic = known.filter("toxic = 1").select("doc_id").distinct().orderBy(order, "doc_id").limit(POSITIVES)
+    toxic = least_hashed(known.filter("toxic = 1").select("doc_id").distinct(), POSITIVES)
     numbers = docs.select(F.col("doc_id").cast("long")).filter("doc_id IS NOT NULL").filter(~held_out())
-    mixture = numbers.distinct().orderBy(order, "doc_id").limit(UNLABELLED)
+    mixture = least_hashed(numbers.distinct(), UNLABELLED)
     if prior is None:
         share, size = known.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count("*")).head()
         prior = max(share - (share * (1 - share) / size) ** 0.5, share / 2) if size else 0.0
@@ -235,3 +234,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None) ->
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic.
+
+    Judged like ``toxicity``, row by row, without a join.
+    """
+    model = learn(docs, labels, prior)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The scorer gives one batch for each it takes, and takes no more before.
+        score = _scorer(model)
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays([batch["judged"], batch["judged"]], ["doc_id", "text"])
+            for scored in score(iter([named])):
+                clean = pa.array(scored["score"].to_numpy() < 0.5)
+                yield pa.RecordBatch.from_arrays([batch["row"].filter(clean)], ["row"])
+
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("judged"))
+    return rows.mapInArrow(judge, rows.select("row").schema).select("row.*")
