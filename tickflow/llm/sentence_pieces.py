@@ -276,6 +276,6 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     texts[known.unknown] = " ⁇ ".encode().hex()
     table = F.split(F.lit(",".join(texts)), ",")
     hexed = F.array_join(F.transform("ids", lambda number: table[number]), "")
-    text = F.decode(F.unhex(hexed), "UTF-8")
+    text = F.make_valid_utf8(F.unhex(hexed).cast("string"))
     plain = F.when(F.startswith(text, F.lit(" ")), F.substring(text, 2, 2**31 - 1)).otherwise(text)
     return encoded.withColumn("decoded", plain)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,15 @@ SLOTS = 65_537
 """A prime, at least a hundred times the shards' turns, so that shares differ by 1 % at most."""
 MAX_SLOTS = 1 << 21
 
+
+@dataclass(frozen=True)
+class Lookup:
+    """A filled table: ``table`` has (slot, shard) for each of ``slots`` slots."""
+
+    table: DataFrame
+    slots: int
+
+
 # One step: the shard whose turn it is looks at its next slot, and takes it if it is free.
 # ``owners`` holds two bytes per slot, ``looked`` four bytes per shard.
 _STEP = """
@@ -58,8 +68,8 @@ def _hash(text: str) -> str:
 
 def lookup_table(
     spark: SparkSession, shards: Sequence[str] | Mapping[str, int], slots: int = SLOTS
-) -> DataFrame:
-    """(slot, shard) for every slot of the table.
+) -> Lookup:
+    """The table of some shards.
 
     ``shards`` are distinct names, or names with their turns in a round, which give a shard a
     multiple of another's share. ``slots`` must be a prime, at most ``MAX_SLOTS``, and more than
@@ -89,10 +99,10 @@ def lookup_table(
         owners, looked = f"X'{state['owners'].hex()}'", f"X'{state['looked'].hex()}'"
     number = "cast(conv(hex(substring(owners, cast(2 * slot + 1 AS int), 2)), 16, 10) AS int)"
     table = spark.range(slots).select(F.col("id").alias("slot"), F.lit(bytes(state["owners"])).alias("owners"))
-    return table.withColumn("names", F.lit(names)).selectExpr("slot", f"names[{number}] AS shard")
+    return Lookup(table.withColumn("names", F.lit(names)).selectExpr("slot", f"names[{number}] AS shard"), slots)
 
 
-def slot_of(keys: Sequence[str], slots: int = SLOTS) -> Column:
+def slot_of(keys: Sequence[str], slots: int) -> Column:
     """The slot of a row, from all its key columns; a null key differs from every text."""
     parts = [
         F.when(F.col(key).isNull(), F.lit("-")).otherwise(
@@ -104,20 +114,20 @@ def slot_of(keys: Sequence[str], slots: int = SLOTS) -> Column:
     return F.pmod(hashed, F.lit(slots)).cast("long")
 
 
-def place(rows: DataFrame, keys: Sequence[str], table: DataFrame, slots: int = SLOTS) -> DataFrame:
+def place(rows: DataFrame, keys: Sequence[str], lookup: Lookup) -> DataFrame:
     """The rows with the columns slot and shard; columns of these names are replaced.
 
     Equal keys go to one shard, null keys too. To split a key that is too common for a shard,
     add a column to ``keys`` that tells its rows apart. No shuffle: the table is broadcast, which
     ``MAX_SLOTS`` bounds.
     """
-    slotted = rows.drop("shard", "slot").withColumn("slot", slot_of(keys, slots))
-    return slotted.join(F.broadcast(table), "slot").select(*rows.drop("shard", "slot").columns, "slot", "shard")
+    slotted = rows.drop("shard", "slot").withColumn("slot", slot_of(keys, lookup.slots))
+    return slotted.join(F.broadcast(lookup.table), "slot").select(*rows.drop("shard", "slot").columns, "slot", "shard")
 
 
-def write_shards(rows: DataFrame, keys: Sequence[str], table: DataFrame, path: str, files: int = 1) -> None:
+def write_shards(rows: DataFrame, keys: Sequence[str], lookup: Lookup, path: str, files: int = 1) -> None:
     """Write the rows to one folder per shard, each in ``files`` files or so, by key and so
     independent of how the input was dealt."""
-    placed = place(rows, keys, table)
+    placed = place(rows, keys, lookup)
     part = F.pmod(F.xxhash64(*keys), F.lit(files))
     placed.repartition("shard", part).drop("slot").write.partitionBy("shard").parquet(path)

@@ -47,8 +47,8 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts can be cut without changing their tokens, their own starts included.
 
     The byte-level pre-tokenizer begins a new word at a single blank between two characters
-    that are no white space, and wherever an ASCII letter meets an ASCII mark other than the
-    apostrophe. Where a neighbour might be white space beyond ASCII, nothing is cut.
+    that are no white space, and wherever an ASCII or Latin-1 letter meets an ASCII mark other
+    than the apostrophe. Where a blank's neighbour might be white space, nothing is cut.
     """
     cut = np.zeros(len(data) + 1, dtype=bool)
     if len(data) > 2:
@@ -58,8 +58,13 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         blank[1:] &= ~_DOUBTFUL_2[data[:-3]]
         blank[2:] &= ~_DOUBTFUL_3[data[:-4]] if len(data) > 4 else True
         cut[1 : len(data) - 1] |= blank
-    letter, mark = _LETTER[data], _MARK[data]
-    cut[1 : len(data)] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    begins, mark = _LETTER[data], _MARK[data]
+    ends = begins.copy()
+    # U+00C0 to U+00FF, two bytes each, are letters but for two signs.
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[(data[second] != 0x97) & (data[second] != 0xB7)]
+    begins[second - 1] = ends[second] = True
+    cut[1 : len(data)] |= (ends[:-1] & mark[1:]) | (mark[:-1] & begins[1:])
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[: len(data)])
 
