@@ -61,15 +61,34 @@ def test_times_before_the_epoch(spark, trades):
 
 
 def test_exact_sums_do_not_depend_on_order(trades):
-    rows = [("A", i % 10, 0.1 + i / 7, 0.3 + i / 3) for i in range(500)]
+    rows = [("A", i % 10, round(0.1 + i / 7, 8), round(0.3 + i / 3, 8)) for i in range(500)]
     forward = me.vwap(trades(*rows, partitions=1), "10 seconds", "10 seconds", exact=True)
     backward = me.vwap(trades(*rows[::-1], partitions=3), "10 seconds", "10 seconds", exact=True)
     assert rows_of(forward) == rows_of(backward)
 
 
 def test_exact_fails_rather_than_rounds(trades):
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        me.vwap(trades(("A", 1, 1e11, 1.0)), exact=True).collect()
+    for price, places in ((1e11, True), (0.000000001234, True), (0.123, 2), (1.0, 18)):
+        with pytest.raises(Exception, match="price does not fit"):
+            me.vwap(trades(("A", 1, price, 0.0)), exact=places).collect()
+    fits = me.vwap(trades(("A", 1, 0.000000001234, 1.0)), exact=12)
+    assert rows_of(fits, "vwap") == [(0.000000001234,)] * 3
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_nan_and_infinite_numbers_are_missing(trades, exact):
+    rows = [("A", 1, float("nan"), 2.0), ("A", 1, float("inf"), 3.0), ("A", 2, 4.0, 1.0), ("A", 3, 5.0, float("nan"))]
+    assert rows_of(me.vwap(trades(*rows), "10 seconds", "10 seconds", exact=exact), "vwap", "total_volume") == [
+        (4.0 / 6.0, 6.0)
+    ]
+
+
+def test_slide_beyond_the_window_is_refused(trades):
+    for length, slide in (("10 seconds", "30 seconds"), ("20 seconds", "30 seconds")):
+        with pytest.raises(ValueError, match="longer than window"):
+            me.vwap(trades(("A", 1, 1.0, 1.0)), length, slide)
+    one = me.vwap(trades(("A", 1, 1.0, 1.0)), "interval 30 seconds", "INTERVAL 10 seconds")
+    assert one.count() == 3
 
 
 def test_volume_sums_to_total(trades):

@@ -116,7 +116,7 @@ def test_quarantine_reasons(messages):
         (4, "price is no number"),
         (5, "quantity is no number"),
         (6, "no text"),
-        (7, "no text"),
+        (7, "malformed"),
         (8, "no symbol"),
     ]
 
@@ -149,6 +149,10 @@ LOOSE = [
     '{"symbol":"A"} x',
     '{"symbol":"A"}}',
     '{"symbol":"A"}{"symbol":"B"}',
+    '{"symbol":"A"}]}garbage',
+    '{"symbol":"A"}],"list":[{"symbol":"B"}',
+    '{"symbol":"A"}],"x":[]}',
+    '{"symbol":"A"}],"x":[{"symbol":"B"}],"y":[]}',
     '{"symbol":"A"},{"symbol":"B"}',
     '{"symbol":"A"},"vwap":1',
     "{'symbol':'A'}",

@@ -120,14 +120,7 @@ def test_sorting_puts_missing_windows_last(metrics, alerts):
     ]
 
 
-@pytest.fixture(params=["few", "many"])
-def many_symbols(request, monkeypatch):
-    """Runs a test on both ways of widening."""
-    if request.param == "many":
-        monkeypatch.setattr(vi, "_FEW_SYMBOLS", 0)
-
-
-def test_wide_series(metrics, many_symbols):
+def test_wide_series(metrics):
     rows = metrics(
         (10, "A", 1.0, 5.0), (10, "B", 2.0, 6.0), (20, "B", None, 7.0), (None, "A", 3.0, 3.0)
     )
@@ -138,13 +131,22 @@ def test_wide_series(metrics, many_symbols):
     assert rows_of(chosen) == [(shown(10), 6.0, None), (shown(20), 7.0, None)]
 
 
-def test_wide_series_refuses_two_values_per_cell(metrics, many_symbols):
+def test_wide_series_refuses_two_values_per_cell(metrics):
     rows = metrics((10, "A", 1.0, 5.0), (10, "A", 2.0, 6.0))
     with pytest.raises(Exception, match="several vwap values"):
         vi.wide_series(rows, "vwap").collect()
     assert rows_of(vi.wide_series(rows, "vwap", strict=False), "A") == [(2.0,)]
 
 
+@pytest.mark.parametrize("names", [1, 50, 51, 120])
+def test_unlisted_symbols_mean_the_same_at_any_width(metrics, names):
+    listed = [f"S{i}" for i in range(names)]
+    rows = metrics((10, "S0", 1.0, 5.0), (10, "other", 2.0, 6.0), (10, "other", 3.0, 6.0), (10, None, 4.0, 1.0),
+                   (10, None, 5.0, 1.0), (20, "other", 1.0, 1.0))
+    (row,) = vi.wide_series(rows, "vwap", listed).collect()
+    assert row.asDict() == {"window_end": shown(10), "S0": 1.0, **{name: None for name in listed[1:]}}
+
+
 def test_wide_series_bounds_the_columns(spark, metrics):
     rows = metrics((10, "A", 1.0, 5.0), (10, "B", 2.0, 6.0), (10, "C", 2.0, 6.0))
     before = spark.conf.get("spark.sql.pivotMaxValues")

@@ -1,7 +1,9 @@
 from tickflow.functions.scalars import (
     alert_key,
     alert_line,
+    arrival_number,
     event_instant,
+    finite,
     number,
     number_text,
     order_key,
@@ -14,7 +16,9 @@ from tickflow.functions.scalars import (
 __all__ = [
     "alert_key",
     "alert_line",
+    "arrival_number",
     "event_instant",
+    "finite",
     "number",
     "number_text",
     "order_key",

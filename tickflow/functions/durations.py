@@ -19,7 +19,7 @@ _PART = re.compile(r"(\d+)\s*([a-z]+?)s?\b")
 
 def micros(duration: str) -> int:
     """Length of a duration in microseconds; months have none and are refused."""
-    text = duration.strip().lower()
+    text = re.sub(r"^interval\b", "", duration.strip().lower()).strip()
     parts = _PART.findall(text)
     if not parts or _PART.sub("", text).strip() or any(u not in _MICROS for _, u in parts):
         raise ValueError(f"not a fixed-length duration: {duration!r}")
@@ -29,6 +29,12 @@ def micros(duration: str) -> int:
     return total
 
 
+def check_window(length: str, slide: str) -> None:
+    """Refuse a slide beyond the length: its windows would leave trades out."""
+    if micros(slide) > micros(length):
+        raise ValueError(f"slide {slide!r} is longer than window {length!r}")
+
+
 def common_pane(length: str, slide: str) -> str:
     """Largest tumbling window from which every (length, slide) window can be put together."""
     return f"{math.gcd(micros(length), micros(slide))} microseconds"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tickflow import schemas
 
-# Range of epoch milliseconds that fits Spark's microsecond timestamps.
-_MAX_MILLIS = 9_223_372_036_854_775
+# Microseconds either side of the epoch that fit 18 digits: some 31,000 years.
+_WIDEST_MICROS = 10**18 - 1
 
 
 def utf8(binary: Column) -> Column:
@@ -16,11 +16,13 @@ def utf8(binary: Column) -> Column:
     return F.try_validate_utf8(binary.cast("string"))
 
 
-def event_instant(millis: Column) -> Column:
-    """Unix milliseconds to TIMESTAMP; NULL outside the representable range."""
-    return F.when(
-        millis.between(-_MAX_MILLIS, _MAX_MILLIS), F.timestamp_millis(millis)
-    )
+def event_instant(millis: Column, plausible: tuple[int, int] = schemas.EVENT_RANGE) -> Column:
+    """Unix milliseconds to TIMESTAMP; NULL outside the ``plausible`` range.
+
+    A time in another unit, microseconds say, is far outside. Let through, one such time would
+    move a stream's watermark past every later trade.
+    """
+    return F.when(millis.between(*plausible), F.timestamp_millis(millis))
 
 
 def number(text: Column) -> Column:
@@ -28,6 +30,11 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def finite(value: Column) -> Column:
+    """A DOUBLE as it is; NaN and the infinities become NULL."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def strict_number(text: Column) -> Column:
     """Text to DOUBLE; under ANSI mode text that is no number fails the query."""
     return text.cast("double")
@@ -49,10 +56,17 @@ def order_key(event_time: Column, arrival: Column) -> Column:
     ``min_by``/``max_by`` over a struct cannot use hash aggregation and would sort every
     input row first; a decimal keeps the map-side combine a hash aggregation. Microseconds
     are 10^20 apart, which leaves room for any 64-bit arrival number, negative ones included.
+    Times some 31,000 years from the epoch or farther count as equal.
     """
-    micros = F.unix_micros(event_time).cast("decimal(18,0)")
+    held = F.greatest(F.unix_micros(event_time), F.lit(-_WIDEST_MICROS))
+    micros = F.least(held, F.lit(_WIDEST_MICROS)).cast("decimal(18,0)")
     apart = F.lit(str(10**20)).cast("decimal(21,0)")
-    return micros * apart + F.coalesce(arrival, F.lit(-(2**63))).cast("decimal(20,0)")
+    return F.when(event_time.isNotNull(), micros * apart + arrival_number(arrival).cast("decimal(20,0)"))
+
+
+def arrival_number(arrival: Column) -> Column:
+    """A 64-bit arrival number; one that is missing is before all others."""
+    return F.coalesce(arrival, F.lit(-(2**63)))
 
 
 def _moment_text(moment: Column, separator: str) -> Column:

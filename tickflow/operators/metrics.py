@@ -6,21 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow import schemas
-from tickflow.functions import order_key, ratio
-from tickflow.functions.durations import common_pane
+from tickflow.functions import arrival_number, finite, order_key, ratio
+from tickflow.functions.durations import check_window, common_pane
 
-_EXACT = "decimal(18,8)"
+EXACT_PLACES = 8
 
 
-def _amounts(exact: bool) -> tuple[Column, Column]:
+def _fitting(name: str, places: int) -> Column:
+    """A double column as a decimal of 18 digits; a value that does not fit fails the query."""
+    value = finite(F.col(name))
+    decimal = value.try_cast(f"decimal(18,{places})")
+    refused = F.raise_error(F.concat(F.lit(f"{name} does not fit {places} places: "), value.cast("string")))
+    return F.when(value.isNull() | (decimal.cast("double") == value), decimal).otherwise(refused)
+
+
+def _amounts(exact: bool | int) -> tuple[Column, Column]:
     """(price times quantity, quantity) in the number type that will be summed."""
-    if not exact:
-        return F.col("volume_price"), F.col("quantity")
-    quantity = F.col("quantity").cast(_EXACT)
-    return F.col("price").cast(_EXACT) * quantity, quantity
+    if exact is False:
+        return finite(F.col("volume_price")), finite(F.col("quantity"))
+    places = EXACT_PLACES if exact is True else exact
+    quantity = _fitting("quantity", places)
+    return _fitting("price", places) * quantity, quantity
 
 
-def _sums(exact: bool) -> list[Column]:
+def _sums(exact: bool | int) -> list[Column]:
     notional, volume = _amounts(exact)
     return [F.sum(notional).alias("notional"), F.sum(volume).alias("volume")]
 
@@ -39,7 +48,7 @@ def arrival_key(order: str, arrival: str) -> Column:
     """Sort key of first and last prices: ``arrival`` order, or ``event_time`` with arrival
     deciding between equal times."""
     if order == "arrival":
-        return F.col(arrival)
+        return arrival_number(F.col(arrival))
     if order == "event_time":
         return order_key(F.col("event_time"), F.col(arrival))
     raise ValueError(f"order must be 'arrival' or 'event_time', not {order!r}")
@@ -48,7 +57,7 @@ def arrival_key(order: str, arrival: str) -> Column:
 def trade_panes(
     trades: DataFrame,
     pane: str,
-    exact: bool = False,
+    exact: bool | int = False,
     order: str | None = None,
     arrival: str = "offset",
 ) -> DataFrame:
@@ -79,6 +88,7 @@ def trade_panes(
 
 def vwap_from_panes(panes: DataFrame, length: str, slide: str) -> DataFrame:
     """Put sliding windows together from panes whose width divides ``length`` and ``slide``."""
+    check_window(length, slide)
     window = F.window("pane_start", length, slide).alias("window")
     summed = panes.groupBy(window, "symbol").agg(
         F.sum("notional").alias("notional"), F.sum("volume").alias("volume")
@@ -91,20 +101,23 @@ def vwap(
     length: str = schemas.VWAP_LENGTH,
     slide: str = schemas.VWAP_SLIDE,
     delay: str = schemas.WATERMARK_DELAY,
-    exact: bool = False,
+    exact: bool | int = False,
     valid_only: bool = False,
 ) -> DataFrame:
     """VWAP and volume per symbol and sliding window: (window_end, symbol, vwap, total_volume).
 
-    VWAP is NULL where the volume is zero. A trade with a price of NULL adds to the volume
-    only, unless ``valid_only`` leaves it out. Sums are doubles, whose last digits depend on
-    the order of addition; ``exact`` sums decimals with 8 places instead, for values below
-    1e10, and under ANSI mode, Spark's default, fails on larger ones rather than rounding.
+    VWAP is NULL where the volume is zero. A trade without a price adds to the volume only,
+    unless ``valid_only`` leaves it out; NaN and infinite numbers count as missing. Sums are
+    doubles, whose last digits depend on the order of addition; ``exact`` sums decimals of 18
+    digits instead, 8 of them places or as many as it says, and fails on a value that such a
+    decimal does not hold, too large or with more places, rather than round it. A slide
+    longer than the window is refused.
 
     Batch input is summed into panes first and the panes into windows, so the trades are
     not multiplied by length / slide. A stream keeps one aggregation, which serves every
     output mode, with ``delay`` as its watermark.
     """
+    check_window(length, slide)
     if valid_only:
         trades = trades.filter(F.col("price").isNotNull() & F.col("quantity").isNotNull())
     if trades.isStreaming:
@@ -122,7 +135,7 @@ def volume(
     trades: DataFrame,
     length: str = schemas.VWAP_SLIDE,
     delay: str = schemas.WATERMARK_DELAY,
-    exact: bool = False,
+    exact: bool | int = False,
 ) -> DataFrame:
     """Traded volume per symbol and tumbling window."""
     metrics = vwap(trades, length, length, delay, exact)

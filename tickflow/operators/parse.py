@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow import schemas
-from tickflow.functions import event_instant, number, strict_number, utf8
+from tickflow.functions import event_instant, finite, number, strict_number, utf8
 
 _MALFORMED = "malformed"
 
@@ -39,22 +39,40 @@ def open_json(
 def open_object(rows: DataFrame, text: Column, fields: Sequence[str], prefix: str) -> DataFrame:
     """Add the fields of a JSON object as text, and whether it is one as ``prefix`` + ``ok``.
 
-    Strict: the text must be one object and nothing else. It is parsed as the only entry of
-    a list, because a parse of the text itself ignores whatever follows the first object.
+    See ``open_entry``.
     """
     entry = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    layout = T.StructType([T.StructField("list", T.ArrayType(entry))])
-    listed = F.concat(F.lit('{"list":['), text, F.lit("]}"))
-    opened = open_json(rows, listed, layout, prefix, flag=True, allowSingleQuotes="false")
-    entries = F.col(f"{prefix}list")
-    only = F.get(entries, 0)
+    return open_entry(rows, text, entry, prefix)
+
+
+def open_entry(rows: DataFrame, text: Column, layout: T.StructType, prefix: str) -> DataFrame:
+    """Add the fields of a JSON object, typed by ``layout``, and whether it is one.
+
+    Strict: the text must be one object and nothing else, while a parse of the text itself
+    would ignore what follows the first object. So the text is put as the only entry of a
+    list between two keys made from its own hash, which it cannot hold, and parsed once: it
+    is one object if those two keys are all there is, with one entry and none.
+    """
+    hashed = F.md5(text)
+    first, last = hashed, F.reverse(hashed)
+    enclosed = F.concat(F.lit('{"'), first, F.lit('":['), text, F.lit('],"-'), last, F.lit('":[]}'))
+    options = {"allowSingleQuotes": "false"}
+    parsed = F.from_json(enclosed, T.MapType(T.StringType(), T.ArrayType(layout)), options)
+    opened = rows.select("*", F.inline(F.array(F.struct(parsed.alias(f"{prefix}map")))))
+    entries = F.map_values(f"{prefix}map")
+    keys = F.array(first, F.concat(F.lit("-"), last))
+    only = F.get(F.get(entries, 0), 0)
     one_object = (
-        F.col(f"{prefix}{_MALFORMED}").isNull() & (F.size(entries) == 1) & only.isNotNull()
+        (F.map_keys(f"{prefix}map") == keys)
+        & (F.size(F.get(entries, 0)) == 1)
+        & (F.size(F.get(entries, 1)) == 0)
+        & only.isNotNull()
     )
+    ok = F.coalesce(one_object, F.lit(False))
     return opened.select(
         *rows.columns,
-        *(only[name].alias(f"{prefix}{name}") for name in fields),
-        F.coalesce(one_object, F.lit(False)).alias(f"{prefix}ok"),
+        *(F.when(ok, only[name]).alias(f"{prefix}{name}") for name in layout.fieldNames()),
+        ok.alias(f"{prefix}ok"),
     )
 
 
@@ -62,19 +80,21 @@ def unwrap(messages: DataFrame) -> DataFrame:
     """Open feed envelopes: adds ``stream``, ``payload`` (JSON text) and ``trade`` (struct).
 
     The payload text keeps every field of the trade for republishing, whatever the schema of
-    ``trade`` covers. All three are empty where the message is no JSON object.
+    ``trade`` covers; it is only read where it is used. All three are empty where the message
+    is no JSON object, and the last two where its ``data`` is none.
     """
     texts = messages.withColumn("envelope_text", utf8(F.col("value")))
     text = F.col("envelope_text")
-    opened = open_object(texts, text, ["stream", "data"], "envelope_")
     # Typed from the envelope, not from the payload text: that text looks the same whether
     # ``data`` is an object or a string that quotes one.
-    only_data = T.StructType([T.StructField("data", schemas.FEED_TRADE)])
-    typed = open_json(opened, text, only_data, "typed_")
-    parts = {"stream": "envelope_stream", "payload": "envelope_data", "trade": "typed_data"}
-    return typed.select(
+    layout = T.StructType([T.StructField("stream", T.StringType()), T.StructField("data", schemas.FEED_TRADE)])
+    opened = open_entry(texts, text, layout, "envelope_")
+    payload = F.from_json(text, "data STRING")["data"]
+    return opened.select(
         *messages.columns,
-        *(F.when(F.col("envelope_ok"), F.col(c)).alias(name) for name, c in parts.items()),
+        F.col("envelope_stream").alias("stream"),
+        F.when(F.col("envelope_data").isNotNull(), payload).alias("payload"),
+        F.col("envelope_data").alias("trade"),
     )
 
 
@@ -109,20 +129,25 @@ def republish(unwrapped: DataFrame) -> DataFrame:
 
 
 def parse_trades(
-    messages: DataFrame, strict: bool = False, carry: Sequence[str] = ("offset",)
+    messages: DataFrame,
+    strict: bool = False,
+    carry: Sequence[str] = ("offset",),
+    plausible: tuple[int, int] = schemas.EVENT_RANGE,
 ) -> DataFrame:
     """Trade messages to typed trades, plus the message columns named in ``carry``.
 
-    Broken JSON gives NULL fields, a price or quantity that is no number gives NULL;
-    ``strict`` fails the query on such numbers instead. ``offset`` is carried by default
-    because it gives the arrival order that first and last prices need.
+    Broken JSON gives NULL fields; a price or quantity that is no finite number gives NULL,
+    and so does an event time outside the ``plausible`` milliseconds. ``strict`` fails the
+    query on texts that are no numbers instead, and lets NaN and infinities through.
+    ``offset`` is carried by default because it gives the arrival order that first and last
+    prices need.
     """
-    to_number = strict_number if strict else number
+    to_number = strict_number if strict else _trade_number
     text = F.col("value").cast("string")
     parsed = open_json(messages.select("value", *carry), text, schemas.RAW_TRADE, "raw_")
     return parsed.select(
         F.col("raw_s").alias("symbol"),
-        event_instant(F.col("raw_E")).alias("event_time"),
+        event_instant(F.col("raw_E"), plausible).alias("event_time"),
         to_number(F.col("raw_p")).alias("price"),
         to_number(F.col("raw_q")).alias("quantity"),
         *carry,
@@ -136,21 +161,27 @@ def parse_trades(
     )
 
 
-def quarantine(messages: DataFrame) -> DataFrame:
+def _trade_number(text: Column) -> Column:
+    return finite(number(text))
+
+
+def quarantine(
+    messages: DataFrame, plausible: tuple[int, int] = schemas.EVENT_RANGE
+) -> DataFrame:
     """Messages that ``parse_trades`` could not type fully, with the ``reason``.
 
     A side output: ``parse_trades`` still passes these rows on with NULLs.
     """
-    text = utf8(F.col("value"))
+    text = F.col("value").cast("string")
     inspected = open_json(messages, text, schemas.RAW_TRADE, "raw_", flag=True)
     no_symbol = F.col("raw_s").isNull()
     reason = (
         F.when(text.isNull(), "no text")
         .when(no_symbol & F.col(f"raw_{_MALFORMED}").isNotNull(), "malformed")
         .when(no_symbol, "no symbol")
-        .when(event_instant(F.col("raw_E")).isNull(), "no event time")
-        .when(number(F.col("raw_p")).isNull(), "price is no number")
-        .when(number(F.col("raw_q")).isNull(), "quantity is no number")
+        .when(event_instant(F.col("raw_E"), plausible).isNull(), "no event time")
+        .when(_trade_number(F.col("raw_p")).isNull(), "price is no number")
+        .when(_trade_number(F.col("raw_q")).isNull(), "quantity is no number")
     )
     return inspected.select(*messages.columns, reason.alias("reason")).filter(
         F.col("reason").isNotNull()
@@ -217,5 +248,9 @@ def drop_missing_window(rows: DataFrame) -> DataFrame:
 
 
 def only_symbols(trades: DataFrame, symbols: Sequence[str] = schemas.SYMBOLS) -> DataFrame:
-    """Trades of the chosen symbols; the predicate reaches the scan."""
+    """Trades of the chosen symbols.
+
+    Over a typed table the predicate reaches the scan; over parsed messages it is applied
+    after the parse.
+    """
     return trades.filter(F.col("symbol").isin(*symbols))

@@ -107,32 +107,30 @@ def known_symbols(metrics: DataFrame) -> list[str]:
     return sorted(symbols)
 
 
-# Up to here one conditional aggregate per symbol is cheaper than the second shuffle of
-# ``pivot``; beyond it, evaluating every condition for every row is not.
-_FEW_SYMBOLS = 50
-
-
 def wide_series(
     metrics: DataFrame, value: str, symbols: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
     """One row per window end and one column per symbol, missing cells NULL.
 
-    Two metrics for one cell are an error; ``strict=False`` takes the larger. On streams
-    this needs explicit ``symbols``, at most fifty, and complete mode.
+    Rows of other symbols than the listed ones, NULL among them, are left out before anything
+    else, and so are window ends that only they have; without a list every symbol is in. Two
+    metrics for one cell are an error; ``strict=False`` takes the larger. On streams this
+    needs explicit ``symbols`` and complete mode, and aggregates each column by a condition,
+    as a stream cannot aggregate twice.
     """
     names = known_symbols(metrics) if symbols is None else list(symbols)
-    dated = drop_missing_window(metrics)
-    if len(names) <= _FEW_SYMBOLS or metrics.isStreaming:
+    listed = drop_missing_window(metrics).filter(F.col("symbol").isin(names))
+    if metrics.isStreaming:
         cells = []
         for name in names:
             here = F.col("symbol") == name
             cell = F.max(F.when(here, F.col(value)))
             cells.append((_only(cell, F.count_if(here), value) if strict else cell).alias(name))
-        return dated.groupBy("window_end").agg(*cells)
+        return listed.groupBy("window_end").agg(*cells)
     cell = F.max(value)
     if strict:
         cell = _only(cell, F.count(F.lit(1)), value)
-    single = dated.groupBy("window_end", "symbol").agg(cell.alias(value))
+    single = listed.groupBy("window_end", "symbol").agg(cell.alias(value))
     return single.groupBy("window_end").pivot("symbol", names).agg(F.first(value))
 
 

@@ -16,13 +16,14 @@ ALERT_LENGTH = "10 seconds"
 ALERT_THRESHOLD = 1.0
 WATERMARK_DELAY = "1 minute"
 REFRESH_INTERVAL = "5 seconds"
-POLL_MESSAGES = 200
 SERVERS_VARIABLE = "KAFKA_BOOTSTRAP_SERVERS"
 ALERT_LENGTH_VARIABLE = "VOLATILITY_WINDOW"
 ALERT_THRESHOLD_VARIABLE = "VOLATILITY_THRESHOLD"
 METRICS_GROUP_VARIABLE = "KAFKA_DASHBOARD_GROUP_ID"
 ALERTS_GROUP_VARIABLE = "KAFKA_ALERTS_GROUP_ID"
 DEFAULT_SERVERS = "kafka:9092"
+# Event times in Unix milliseconds that are taken for real: the years 1970 to 2099.
+EVENT_RANGE = (0, 4_102_444_799_999)
 TRADE_DEFAULTS = {"trade_id": "N/A", "symbol": "N/A", "price": "-1", "quantity": "-1"}
 MISSING_SYMBOL_IN_KEY = "None"
 MISSING_TIME_IN_KEY = "NaT"

@@ -68,12 +68,16 @@ def read_messages(
 def metrics_and_alerts(
     spark: SparkSession,
     servers: str,
-    max_messages: int = schemas.POLL_MESSAGES,
+    max_messages: int | None = None,
     metrics_group: str | None = None,
     alerts_group: str | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """The two result topics as bounded-per-refresh streams: (metrics, alerts)."""
+    """The two result topics as streams: (metrics, alerts).
+
+    ``max_messages`` bounds a refresh of each; without it a refresh reads all there is, so a
+    reader cannot fall behind the topic's retention.
+    """
     topics = {schemas.METRICS_TOPIC: metrics_group, schemas.ALERTS_TOPIC: alerts_group}
     metrics, alerts = (
         stream_messages(
