@@ -135,6 +135,8 @@ def test_job_arguments_reach_the_source(monkeypatch):
     monkeypatch.setattr(job, "build_session", lambda name: "session")
     monkeypatch.setattr(job, "stream_messages", lambda *a, **options: asked.update(options))
     monkeypatch.setattr(job, "start_job", lambda *a: asked.update(console=a[-1]))
+    monkeypatch.setattr(job, "start_ingest", lambda *a: asked.update(ingest=True))
+    monkeypatch.setattr(job, "start_serving", lambda *a: asked.update(serving=a))
     monkeypatch.setattr(job, "await_any", lambda session: asked.update(waited=session))
     job.main(["--max-messages", "1000", "--min-partitions", "64", "--console"])
     assert asked == {
@@ -144,3 +146,29 @@ def test_job_arguments_reach_the_source(monkeypatch):
         "console": True,
         "waited": "session",
     }
+
+    asked.clear()
+    job.main(["ingest", "--feed-topic", "trades_feed", "--starting", "earliest"])
+    assert asked["ingest"] and asked["starting"] == "earliest"
+
+    asked.clear()
+    monkeypatch.setenv("KAFKA_DASHBOARD_GROUP_ID", "web")
+    monkeypatch.setenv("KAFKA_ALERTS_GROUP_ID", "cli")
+    topics = lambda *a, **options: asked.update(options) or ("m", "a")
+    monkeypatch.setattr(job, "metrics_and_alerts", topics)
+    job.main(["serving", "--path", "/shared/out", "--every", "10 seconds"])
+    assert (asked["metrics_group"], asked["alerts_group"]) == ("web", "cli")
+    assert asked["serving"] == ("m", "a", "/shared/out", "10 seconds")
+    assert asked["max_messages"] is None
+    with pytest.raises(SystemExit):
+        job.main(["serving"])
+
+
+def test_refresh_interval_reaches_the_sink(spark, monkeypatch):
+    from tickflow.streaming import job
+
+    asked = {}
+    monkeypatch.setattr(job, "start_kafka", lambda *a, **options: asked.update(options))
+    monkeypatch.setattr(job, "checkpoint_path", lambda spark, name: "/c")
+    job.kafka_starter(spark, settings.Settings(), every="1 minute")("rows", "alerts")
+    assert asked == {"every": "1 minute"}

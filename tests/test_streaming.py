@@ -177,10 +177,10 @@ def test_fan_out_reads_the_source_once(trade_feed, trades, tmp_path):
     assert sum(p.numInputRows for p in query.recentProgress) == 100
 
 
-def test_console_modes(trade_feed, trades):
+def test_console_modes(trade_feed, trades, tmp_path):
     trade_feed.add(trades(("A", 1, 1.0, 1.0)))
     for rows, mode in ((trade_feed.stream(), "append"), (me.vwap(trade_feed.stream()), "update")):
-        query = drain(sinks.start_console(rows, mode, drain=True))
+        query = drain(sinks.start_console(rows, str(tmp_path / mode), mode, drain=True))
         assert "Console" in query.lastProgress.sink.description
         assert sum(p.numInputRows for p in query.recentProgress) == 1
 
@@ -230,21 +230,54 @@ def alert_log(spark, *rows):
     )
 
 
-def test_new_alert_stream_counts_per_refresh(spark, tmp_path):
-    schema = "key BINARY, value BINARY, offset BIGINT"
-    feed = Feed(spark, tmp_path / "alerts", schema)
-    feed.add(alert_log(spark, (10, "A"), (20, "A"), (20, "B")))
-    feed.add(alert_log(spark, (20, "A"), (20, "B")))
-    feed.add(alert_log(spark, (20, "B"), (30, "A")))
-    decoded = serving.result_stream(feed.stream(), schemas.ALERT)
-    shown = serving.observed_counts(serving.new_alert_stream(decoded))
-    out, query = to_files(shown, tmp_path)
-    assert sorted(rows_of(out, "window_end", "symbol")) == [
-        (naive(at(10)), "A"), (naive(at(20)), "A"), (naive(at(20)), "B"), (naive(at(30)), "A"),
+def test_new_alerts_are_shown_once_however_late(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "alerts", "key BINARY, value BINARY, offset BIGINT")
+    day = 86_400
+    feed.add(alert_log(spark, (day, "A"), (day + 10, "A"), (day + 10, "B")))
+    feed.add(alert_log(spark, (day + 10, "A"), (day + 10, "A"), (day + 10, "B")))
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+
+    def run():
+        decoded = serving.result_stream(feed.stream(), schemas.ALERT).drop("key", "offset")
+        drain(serving.start_new_alerts(decoded, path, checkpoint, drain=True))
+
+    run()
+    # Far behind any watermark, and without a window end; then all of it again.
+    feed.add(alert_log(spark, (10, "B"), (20, "B")))
+    feed.add(alert_log(spark, (10, "B"), (day + 10, "B"), (30, "C")))
+    run()
+    shown = serving.read_shown(spark, path)
+    assert sorted(rows_of(shown, "batch_id", "window_end", "symbol")) == [
+        (0, naive(at(day)), "A"), (0, naive(at(day + 10)), "A"), (0, naive(at(day + 10)), "B"),
+        (2, naive(at(10)), "B"), (2, naive(at(20)), "B"), (3, naive(at(30)), "C"),
     ]
-    counts = serving.read_counts(query)
-    assert counts[:3] == [3, 0, 1]
-    assert sum(counts) == 4
+    counts = serving.read_counts(spark, path)
+    assert sorted(rows_of(counts, "batch_id", "records", "new_alerts")) == [
+        (0, 3, 3), (1, 3, 0), (2, 2, 2), (3, 3, 1),
+    ]
+
+
+def test_alerts_without_a_window_are_shown_once(spark, tmp_path):
+    layout = "window_end TIMESTAMP, symbol STRING"
+    feed = Feed(spark, tmp_path / "alerts", layout)
+    for _ in range(2):
+        feed.add(spark.createDataFrame([(None, "A"), (None, None)], layout))
+    path = str(tmp_path / "out")
+    drain(serving.start_new_alerts(feed.stream(), path, str(tmp_path / "c"), drain=True))
+    assert sorted(rows_of(serving.read_counts(spark, path), "batch_id", "new_alerts")) == [(0, 2), (1, 0)]
+
+
+def test_a_time_in_another_unit_moves_no_watermark(spark, messages, tmp_path):
+    def trade(seconds, factor=1, price="1"):
+        return {"E": ms(seconds) * factor, "s": "A", "p": price, "q": "1"}
+
+    first = messages(trade(1), trade(2, factor=1000), trade(3, price="NaN"))
+    feed = Feed(spark, tmp_path / "raw", first.schema)
+    for batch in (first, messages(trade(4)), messages(trade(5)), messages(trade(300))):
+        feed.add(batch)
+    trades = pa.parse_trades(feed.stream())
+    out, _ = to_files(me.vwap(trades, "10 seconds", "10 seconds"), tmp_path)
+    assert rows_of(out, "vwap", "total_volume") == [(3 / 4, 4.0)]
 
 
 def test_result_stream_types_metrics(spark, messages):
@@ -279,6 +312,35 @@ def test_log_keeps_the_last_delivery(spark, messages, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().toString()
 
 
+def test_compacted_days_and_late_deliveries(spark, messages, tmp_path):
+    def metric(day, vwap, symbol="A"):
+        return {"window_end": f"2024-01-0{day}T00:00:10Z", "symbol": symbol, "vwap": vwap}
+
+    first = messages(metric(1, 1.0), metric(1, 2.0), metric(2, 5.0), metric(3, 7.0))
+    feed = Feed(spark, tmp_path / "metrics", first.schema)
+    path, checkpoint, archive = (str(tmp_path / name) for name in ("log", "c", "archive"))
+
+    def deliver(batch):
+        feed.add(batch)
+        rows = serving.result_stream(feed.stream(), schemas.METRIC)
+        drain(serving.start_log(rows, path, checkpoint, drain=True, retention="7d"))
+
+    def vwaps(**options):
+        return sorted(rows_of(serving.read_log(spark, path, schemas.METRIC, **options), "vwap"))
+
+    deliver(first)
+    days = dt.date(2024, 1, 1), dt.date(2024, 1, 3)
+    serving.compact_log(spark, path, archive, schemas.METRIC, *days)
+    assert rows_of(spark.read.parquet(archive).orderBy("vwap"), "vwap") == [(2.0,), (5.0,)]
+    assert vwaps(archive=archive) == vwaps() == [(2.0,), (5.0,), (7.0,)]
+    late = messages(*[metric(9, 0.0, "Z")] * 4, metric(1, 3.0)).filter("offset = 4")
+    deliver(late)
+    assert vwaps(archive=archive) == [(3.0,), (5.0,), (7.0,)]
+    serving.compact_log(spark, path, archive, schemas.METRIC, *days)
+    assert vwaps(archive=archive) == vwaps() == [(3.0,), (5.0,), (7.0,)]
+    assert vwaps(archive=archive, since=dt.date(2024, 1, 2)) == [(5.0,), (7.0,)]
+
+
 def test_a_log_may_be_empty(spark, messages, tmp_path):
     batch = messages("not json")
     feed = Feed(spark, tmp_path / "metrics", batch.schema)
@@ -306,6 +368,35 @@ def test_display_shows_new_alerts_once(spark, trades):
     assert ends == sorted(ends)
 
 
+def test_refresh_reads_its_inputs_once(spark, trades):
+    rows = trades(*(("AB"[i % 2], i * 3, 100.0 + i * 7 % 19, 1.0) for i in range(40)))
+    metrics, alerts = me.vwap(rows), al.volatility(rows)
+    with serving.refresh(metrics, alerts, alerts.filter("false")) as views:
+        for name in ("latest_rows", "vwap_series", "metric_count", "new_alert_lines"):
+            assert "InMemoryTableScan" in views[name]._jdf.queryExecution().executedPlan().toString()
+            assert not views[name].isEmpty()
+    assert not metrics.storageLevel.useMemory and not alerts.storageLevel.useMemory
+
+
+def test_serving_logs_and_shows(spark, tmp_path, monkeypatch):
+    from tickflow.streaming import job
+
+    monkeypatch.setattr(job, "checkpoint_path", lambda spark, name: f"{tmp_path}/c/{name}")
+    batch = alert_log(spark, (10, "A"), (20, "B"))
+    feed = Feed(spark, tmp_path / "alerts", batch.schema)
+    feed.add(batch)
+    queries = job.start_serving(feed.stream(), feed.stream(), f"{tmp_path}/out", every="100 milliseconds")
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+        spark.streams.resetTerminated()
+    assert serving.read_log(spark, f"{tmp_path}/out/alerts", schemas.ALERT).count() == 2
+    assert serving.read_shown(spark, f"{tmp_path}/out/new-alerts").count() == 2
+
+
 def raw_messages(spark, rows):
     """Kafka-shaped trade messages from (symbol, seconds, price, quantity)."""
     frame = spark.createDataFrame(
@@ -371,6 +462,8 @@ def test_job_with_console_starts_five_queries(spark, tmp_path):
         for query in queries:
             query.processAllAvailable()
             assert query.exception() is None
+            checkpoint = query._jsq.streamingQuery().resolvedCheckpointRoot()
+            assert "/temporary-" not in checkpoint
     finally:
         for query in queries:
             query.stop()

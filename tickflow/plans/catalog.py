@@ -308,6 +308,63 @@ def volume_pivot(spark, sf_dir):
 _KINDS = ("click", "error", "purchase", "signup", "view")
 
 
+def wide_many_symbols(spark, sf_dir):
+    """Hourly volumes of sixty symbols, five of them not listed, in 56 columns."""
+    trades = _trades(spark, sf_dir)
+    kinds = trades.withColumn(
+        "symbol", F.concat("symbol", F.lit("_"), (F.col("offset") % 12).cast("string"))
+    )
+    metrics = me.vwap(kinds, "1 hour", "1 hour", exact=True)
+    return vi.wide_series(metrics, "total_volume", MANY_SYMBOLS)
+
+
+MANY_SYMBOLS = [f"{kind}_{n}" for kind in _KINDS for n in range(11)] + ["absent"]
+
+
+def _bad_trades(spark, sf_dir) -> DataFrame:
+    """Trade messages some of which have an event time in microseconds or none, or a price or
+    quantity that is no finite number."""
+    messages = tables.event_messages(_events(spark, sf_dir))
+    text, case = F.col("value").cast("string"), F.col("offset") % 9
+    trade = F.from_json(text, schemas.RAW_TRADE)
+    broken = F.struct(
+        F.when(case == 1, trade["E"] * 1000).when(case != 2, trade["E"]).alias("E"),
+        trade["s"].alias("s"),
+        F.when(case == 3, "NaN").when(case == 4, "-Infinity").otherwise(trade["p"]).alias("p"),
+        F.when(case == 5, "NaN").when(case != 6, trade["q"]).alias("q"),
+    )
+    return messages.withColumn("value", F.to_json(broken).cast("binary"))
+
+
+def alerts_with_bad_trades(spark, sf_dir):
+    trades = pa.parse_trades(_bad_trades(spark, sf_dir))
+    return al.volatility(trades, "1 hour", order="event_time")
+
+
+def vwap_with_bad_trades(spark, sf_dir):
+    return me.vwap(pa.parse_trades(_bad_trades(spark, sf_dir)), "1 hour", "1 hour", exact=True)
+
+
+def quarantine_bad_trades(spark, sf_dir):
+    return pa.quarantine(_bad_trades(spark, sf_dir)).select("offset", "reason")
+
+
+def decode_tails(spark, sf_dir):
+    """Objects that hold a document's text, most followed by tails that make them no object."""
+    documents = tables.read_table(spark, sf_dir, "documents")
+    text = F.to_json(F.struct(F.col("text").alias("symbol")))
+    tails = F.array(*(F.lit(tail) for tail in DECODE_TAILS))
+    tailed = documents.withColumn(
+        "tailed", F.concat(text, F.get(tails, (F.col("doc_id") % len(DECODE_TAILS)).cast("int")))
+    )
+    messages = tables.text_messages(tailed, "doc_id", "tailed")
+    decoded = pa.decode_payload(messages, ["symbol"], carry=["offset"])
+    return decoded.select("offset", F.md5("symbol").alias("symbol_md5"))
+
+
+DECODE_TAILS = ("", " ", "x", "}", "]}garbage", '],"list":[{"symbol":"B"}', '],"x":[]}', ",{}")
+
+
 def metric_series(spark, sf_dir):
     return vi.series(_metrics(spark, sf_dir, "1 hour", "1 hour"))
 
@@ -398,6 +455,11 @@ BATCH: dict[str, Query] = {
         record_counts,
         vwap_pivot,
         volume_pivot,
+        wide_many_symbols,
+        alerts_with_bad_trades,
+        vwap_with_bad_trades,
+        quarantine_bad_trades,
+        decode_tails,
         metric_series,
         metric_listing,
         recent_alerts,

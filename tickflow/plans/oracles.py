@@ -114,7 +114,64 @@ _NAMED_PASSED = _vwap(
     having=_PASSED.format(_HALF).replace("events", "events WHERE event_type <> 'error'"),
 )
 
+# Of every nine trades, six have something wrong with them.
+_BAD = """t AS (
+  SELECT event_id, event_type AS symbol, ts,
+         CASE WHEN event_id % 9 IN (3, 4) THEN NULL ELSE value END AS price,
+         CASE WHEN event_id % 9 IN (5, 6) THEN NULL
+              ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS quantity
+  FROM events WHERE event_id % 9 NOT IN (1, 2))"""
+# A first or last price may be a missing one, which arg_min over the price alone would skip.
+_MOMENT = "(date_trunc('milliseconds', ts), event_id)"
+_BAD_CHANGES = f"""{_BAD},
+f AS (
+  SELECT {_start(_HOUR)} AS window_start, {_start(_HOUR)} + INTERVAL '1 hour' AS window_end,
+         symbol, arg_min({{'p': price}}, {_MOMENT}).p AS first_price,
+         arg_max({{'p': price}}, {_MOMENT}).p AS last_price
+  FROM t GROUP BY ALL),
+c AS (
+  SELECT *, CASE WHEN first_price = 0 THEN 0.0
+                 ELSE (last_price - first_price) / first_price * 100.0 END AS percent_change
+  FROM f)"""
+_MANY = _TRADES.replace("event_type AS symbol", "event_type || '_' || (event_id % 12) AS symbol")
+_MANY_COLUMNS = ", ".join(
+    f"max(total_volume) FILTER (WHERE symbol = '{kind}_{n}') AS {kind}_{n}"
+    for kind in ("click", "error", "purchase", "signup", "view")
+    for n in range(11)
+)
+# Events other than errors come first and move the watermark; errors come for what is left.
+_FIRST_WATERMARK = """(SELECT max(date_trunc('milliseconds', ts)) FROM events
+  WHERE event_type <> 'error') - INTERVAL '1 minute'"""
+_WINDOW_END = f"{_start(_TEN)} - i.k * INTERVAL '{_TEN} seconds' + INTERVAL '{_HALF} seconds'"
+_LATE = _vwap(
+    _HALF,
+    _TEN,
+    where=f"(symbol <> 'error' OR {_WINDOW_END} > {_FIRST_WATERMARK})",
+    having=_PASSED.format(_HALF).replace("max(ts)", "max(date_trunc('milliseconds', ts))"),
+)
+
 _SQL: dict[str, str] = {
+    "wide_many_symbols": f"""WITH {_vwap(_HOUR, _HOUR, _MANY)}
+SELECT window_end, {_MANY_COLUMNS}, CAST(NULL AS DOUBLE) AS absent
+FROM m WHERE NOT ends_with(symbol, '_11') GROUP BY window_end""",
+    "alerts_with_bad_trades": f"""WITH {_BAD_CHANGES}
+SELECT * FROM c WHERE abs(percent_change) > 1.0""",
+    "vwap_with_bad_trades": f"WITH {_vwap(_HOUR, _HOUR, _BAD)} SELECT {_METRIC} FROM m",
+    "quarantine_bad_trades": """SELECT event_id AS "offset", CASE
+  WHEN event_id % 9 IN (1, 2) THEN 'no event time'
+  WHEN event_id % 9 IN (3, 4) THEN 'price is no number'
+  ELSE 'quantity is no number' END AS reason
+FROM events WHERE event_id % 9 BETWEEN 1 AND 6""",
+    "decode_tails": """SELECT doc_id AS "offset", md5(text) AS symbol_md5
+FROM documents WHERE doc_id % 8 IN (0, 1)""",
+    "stream_late_trades": f"WITH {_LATE} SELECT {_METRIC} FROM m",
+    "stream_new_alert_counts": f"""WITH {_alerts(_HOUR, 1.0)},
+d AS (SELECT day(window_end) AS d FROM a)
+SELECT 0::BIGINT AS batch_id, count(*) FILTER (WHERE d > 20) AS records,
+       count(*) FILTER (WHERE d > 20) AS new_alerts FROM d
+UNION ALL SELECT 1, count(*), count(*) FILTER (WHERE d <= 20) FROM d
+UNION ALL SELECT 2, count(*) FILTER (WHERE d > 10 AND d <= 20), 0 FROM d""",
+
     "vwap_sliding_default": f"WITH {_vwap(30, 10)} SELECT {_METRIC} FROM m",
     "vwap_sliding_30m": f"WITH {_vwap(_HALF, _TEN)} SELECT {_METRIC} FROM m",
     "vwap_uneven_windows": f"WITH {_vwap(1500, _TEN)} SELECT {_METRIC} FROM m",

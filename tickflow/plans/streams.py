@@ -4,6 +4,7 @@ and returns what arrived at the sink."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,6 @@ from tickflow.settings import scratch_path
 from tickflow.sources.files import messages_from_files
 from tickflow.streaming import serving, sinks
 
-# Longer than the input, for queries whose result must not depend on file order.
-_WHOLE_INPUT = "400 days"
-
-
 def _finish(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -37,51 +34,62 @@ def _drain_to_files(rows: DataFrame, spark: SparkSession, name: str) -> DataFram
     return spark.read.schema(rows.schema).parquet(f"{base}/rows")
 
 
-def _drain_batches(
-    rows: DataFrame, spark: SparkSession, name: str, mode: str, writer: Callable
-) -> str:
-    base = scratch_path(spark, name)
-    query = sinks.start_fan_out(
-        rows, [writer(f"{base}/rows")], f"{base}/checkpoint", mode=mode, drain=True
-    )
-    _finish(query)
-    return f"{base}/rows"
+def _deliveries(rows: DataFrame, moment: str, path: str):
+    """Append the rows in three deliveries, the month's first, second and last days.
+
+    Each is written by as many tasks as the input has, and yields once it is there. A stream
+    that is drained after each runs several refreshes and resumes from its checkpoint.
+    """
+    day = F.dayofmonth(moment)
+    for part in (day <= 10, (day > 10) & (day <= 20), (day > 20) | day.isNull()):
+        rows.filter(part).write.mode("append").parquet(path)
+        yield
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.event_messages(tables.stream_events(spark, sf_dir))
 
 
-def _refreshes(spark: SparkSession, sf_dir: str, name: str, files: int = 3) -> DataFrame:
-    """Trade messages in several files, read one file per refresh."""
-    path = f"{scratch_path(spark, name)}/messages"
-    events = tables.read_table(spark, sf_dir, "events")
-    messages = tables.event_messages(events).repartitionByRange(files, "offset")
-    messages.write.parquet(path)
-    return messages_from_files(spark, path, streaming=True, max_files=1)
-
-
 def stream_vwap_append(spark, sf_dir):
     """Final metrics, from JSON messages: windows the watermark has passed."""
     trades = pa.parse_trades(_message_stream(spark, sf_dir))
     return _drain_to_files(me.vwap(trades, exact=True), spark, "vwap-append")
 
 
+def _delivered_batches(
+    spark: SparkSession, messages: DataFrame, moment: str, name: str, mode: str, step: Callable
+) -> DataFrame:
+    """Batches that ``step`` of a message stream writes over three deliveries of its input."""
+    base = scratch_path(spark, name)
+    for _ in _deliveries(messages, moment, f"{base}/messages"):
+        feed = messages_from_files(spark, f"{base}/messages", True, schema=messages.schema)
+        writers = [sinks.append_files(f"{base}/rows")]
+        _finish(
+            sinks.start_fan_out(step(feed), writers, f"{base}/checkpoint", mode=mode, drain=True)
+        )
+    return spark.read.parquet(f"{base}/rows")
+
+
 def stream_vwap_update(spark, sf_dir):
     """Interim metrics of every refresh, the last per window and symbol kept."""
-    trades = pa.parse_trades(_refreshes(spark, sf_dir, "vwap-update"))
-    metrics = me.vwap(trades, "30 minutes", "10 minutes", delay=_WHOLE_INPUT, exact=True)
-    path = _drain_batches(metrics, spark, "vwap-update", "update", sinks.append_files)
-    log = spark.read.parquet(path)
+    messages = tables.event_messages(tables.read_table(spark, sf_dir, "events"))
+
+    def metrics(feed: DataFrame) -> DataFrame:
+        return me.vwap(pa.parse_trades(feed), "30 minutes", "10 minutes", exact=True)
+
+    log = _delivered_batches(spark, messages, "timestamp", "vwap-update", "update", metrics)
     return vi.keep_last(log, "batch_id").drop("batch_id")
 
 
 def stream_vwap_complete(spark, sf_dir):
     """All metrics so far, written anew by every refresh."""
-    trades = pa.parse_trades(_refreshes(spark, sf_dir, "vwap-complete"))
-    metrics = me.vwap(trades, "1 hour", "1 hour", exact=True)
-    path = _drain_batches(metrics, spark, "vwap-complete", "complete", sinks.replace_files)
-    return spark.read.parquet(path)
+    messages = tables.event_messages(tables.read_table(spark, sf_dir, "events"))
+
+    def metrics(feed: DataFrame) -> DataFrame:
+        return me.vwap(pa.parse_trades(feed), "1 hour", "1 hour", exact=True)
+
+    log = _delivered_batches(spark, messages, "timestamp", "vwap-complete", "complete", metrics)
+    return sinks.newest_batch(log)
 
 
 def stream_pivot_complete(spark, sf_dir):
@@ -89,14 +97,31 @@ def stream_pivot_complete(spark, sf_dir):
     trades = tables.event_trades(tables.read_table(spark, sf_dir, "events"))
     metrics = me.vwap(trades, "1 hour", "1 hour", exact=True)
     log = tables.result_messages(to_messages(metrics), F.lit(0).cast("bigint"))
-    path = f"{scratch_path(spark, 'pivot-complete')}/messages"
-    log.repartition(3, "key").write.parquet(path)
-    messages = messages_from_files(spark, path, True, max_files=1, schema=log.schema)
-    decoded = serving.result_stream(messages, schemas.METRIC)
+    ends = F.get_json_object(F.col("value").cast("string"), "$.window_end")
+    dated = log.withColumn("window_end", F.to_timestamp(ends))
     kinds = ("click", "error", "purchase", "signup", "view")
-    wide = vi.wide_series(decoded, "total_volume", kinds)
-    out = _drain_batches(wide, spark, "pivot-complete", "complete", sinks.replace_files)
-    return spark.read.parquet(out)
+
+    def widened(feed: DataFrame) -> DataFrame:
+        decoded = serving.result_stream(feed.drop("window_end"), schemas.METRIC)
+        return vi.wide_series(decoded, "total_volume", kinds)
+
+    out = _delivered_batches(spark, dated, "window_end", "pivot-complete", "complete", widened)
+    return sinks.newest_batch(out)
+
+
+def stream_late_trades(spark, sf_dir):
+    """Error events come after all others: late for every window the watermark has passed.
+
+    The second run resumes the first one's state, from which those windows are gone.
+    """
+    messages = tables.event_messages(tables.read_table(spark, sf_dir, "events"))
+    base, late = scratch_path(spark, "late-trades"), F.col("key") == F.lit("error").cast("binary")
+    for part in (~late, late):
+        messages.filter(part).write.mode("append").parquet(f"{base}/messages")
+        feed = messages_from_files(spark, f"{base}/messages", True, schema=messages.schema)
+        metrics = me.vwap(pa.parse_trades(feed), "30 minutes", "10 minutes", exact=True)
+        _finish(sinks.start_files(metrics, f"{base}/rows", f"{base}/checkpoint", drain=True))
+    return spark.read.schema(metrics.schema).parquet(f"{base}/rows")
 
 
 def stream_alerts_append(spark, sf_dir):
@@ -118,18 +143,30 @@ def stream_raw_trades(spark, sf_dir):
     )
 
 
-def stream_new_alerts(spark, sf_dir):
-    """Alert messages delivered twice, shown once."""
+def _shown_alerts(spark: SparkSession, sf_dir: str) -> str:
+    """Where alerts are shown that come in three deliveries, newest days first, some twice."""
     trades = tables.event_trades(tables.read_table(spark, sf_dir, "events"))
     alerts = al.volatility(trades, "1 hour", order="event_time")
     log = tables.result_messages(to_messages(alerts), F.lit(0).cast("bigint"))
-    path = f"{scratch_path(spark, 'new-alerts')}/messages"
-    log.coalesce(1).write.parquet(path)
-    log.coalesce(1).write.mode("append").parquet(path)
-    messages = messages_from_files(spark, path, True, max_files=1, schema=log.schema)
-    decoded = serving.result_stream(messages, schemas.ALERT).drop("key", "offset")
-    shown = serving.new_alert_stream(decoded, delay=_WHOLE_INPUT)
-    return _drain_to_files(shown, spark, "new-alerts")
+    base = scratch_path(spark, "new-alerts")
+    end = F.get_json_object(F.col("value").cast("string"), "$.window_end")
+    day = F.dayofmonth(end.cast("timestamp"))
+    for part in (day > 20, day >= 1, (day > 10) & (day <= 20)):
+        log.filter(part).write.mode("append").parquet(f"{base}/messages")
+        feed = messages_from_files(spark, f"{base}/messages", True, schema=log.schema)
+        decoded = serving.result_stream(feed, schemas.ALERT).drop("key", "offset")
+        _finish(serving.start_new_alerts(decoded, f"{base}/out", f"{base}/checkpoint", drain=True))
+    return f"{base}/out"
+
+
+def stream_new_alerts(spark, sf_dir):
+    """Alerts delivered out of order and more than once, each shown once."""
+    return serving.read_shown(spark, _shown_alerts(spark, sf_dir)).drop("batch_id")
+
+
+def stream_new_alert_counts(spark, sf_dir):
+    """Per refresh how many alerts came and how many of them were new."""
+    return serving.read_counts(spark, _shown_alerts(spark, sf_dir))
 
 
 def stream_fan_out(spark, sf_dir):
@@ -154,18 +191,21 @@ def stream_fan_out(spark, sf_dir):
 
 
 def stream_results_log(spark, sf_dir):
-    """Metric messages delivered twice, logged by day, read back once per window."""
+    """Metric messages delivered twice with other values, logged by day, half of the days
+    compacted, read back once per window."""
     trades = tables.event_trades(tables.read_table(spark, sf_dir, "events"))
     metrics = me.vwap(trades, "1 hour", "1 hour", exact=True)
     base = scratch_path(spark, "results-log")
-    for delivery in range(2):
+    for delivery, values in enumerate((metrics.withColumn("vwap", F.lit(-1.0)), metrics)):
         arrival = F.lit(delivery).cast("bigint")
-        log = tables.result_messages(to_messages(metrics), arrival)
+        log = tables.result_messages(to_messages(values), arrival)
         log.write.mode("append").parquet(f"{base}/messages")
     messages = messages_from_files(spark, f"{base}/messages", True, schema=log.schema)
     decoded = serving.result_stream(messages, schemas.METRIC)
     _finish(serving.start_log(decoded, f"{base}/log", f"{base}/checkpoint", drain=True))
-    return serving.read_log(spark, f"{base}/log", schemas.METRIC)
+    days = date(2024, 1, 1), date(2024, 1, 15)
+    serving.compact_log(spark, f"{base}/log", f"{base}/archive", schemas.METRIC, *days)
+    return serving.read_log(spark, f"{base}/log", schemas.METRIC, archive=f"{base}/archive")
 
 
 def stream_to_latest(spark, sf_dir):
@@ -198,7 +238,9 @@ STREAMS = {
         stream_pivot_complete,
         stream_alerts_append,
         stream_raw_trades,
+        stream_late_trades,
         stream_new_alerts,
+        stream_new_alert_counts,
         stream_fan_out,
         stream_results_log,
         stream_to_latest,

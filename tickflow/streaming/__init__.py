@@ -1,18 +1,21 @@
-from tickflow.streaming.job import start_ingest, start_job
+from tickflow.streaming.job import start_ingest, start_job, start_serving
 from tickflow.streaming.serving import (
+    compact_log,
     display,
-    new_alert_stream,
-    observed_counts,
     read_counts,
     read_log,
+    read_shown,
+    refresh,
     result_stream,
     start_log,
+    start_new_alerts,
 )
 from tickflow.streaming.sinks import (
     append_files,
     await_any,
+    newest_batch,
     publish,
-    replace_files,
+    start_batches,
     start_console,
     start_fan_out,
     start_files,
@@ -23,14 +26,16 @@ from tickflow.streaming.sinks import (
 __all__ = [
     "append_files",
     "await_any",
+    "compact_log",
     "display",
-    "new_alert_stream",
-    "observed_counts",
+    "newest_batch",
     "publish",
     "read_counts",
     "read_log",
-    "replace_files",
+    "read_shown",
+    "refresh",
     "result_stream",
+    "start_batches",
     "start_console",
     "start_fan_out",
     "start_files",
@@ -38,5 +43,7 @@ __all__ = [
     "start_job",
     "start_kafka",
     "start_log",
+    "start_new_alerts",
+    "start_serving",
     "write_kafka",
 ]

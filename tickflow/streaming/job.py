@@ -14,7 +14,8 @@ from tickflow.operators.messages import to_messages
 from tickflow.operators.metrics import vwap
 from tickflow.operators.parse import accepted, parse_trades, republish, unwrap
 from tickflow.settings import Settings, build_session, checkpoint_path
-from tickflow.sources.kafka import stream_messages
+from tickflow.sources.kafka import metrics_and_alerts, stream_messages
+from tickflow.streaming import serving
 from tickflow.streaming.sinks import await_any, start_console, start_kafka
 
 Start = Callable[[DataFrame, str], StreamingQuery]
@@ -30,12 +31,12 @@ def results(messages: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     return metrics, alerts
 
 
-def kafka_starter(spark: SparkSession, settings: Settings) -> Start:
+def kafka_starter(spark: SparkSession, settings: Settings, every: str | None = None) -> Start:
     """Starts the query that writes messages to a topic of the configured servers."""
 
     def start(messages: DataFrame, topic: str) -> StreamingQuery:
         checkpoint = checkpoint_path(spark, topic)
-        return start_kafka(messages, settings.servers, topic, checkpoint)
+        return start_kafka(messages, settings.servers, topic, checkpoint, every=every)
 
     return start
 
@@ -55,9 +56,13 @@ def start_job(
         start(to_messages(alerts), schemas.ALERTS_TOPIC),
     ]
     if console:
-        queries.append(start_console(messages, "append"))
-        queries.append(start_console(metrics, "update"))
-        queries.append(start_console(alerts, "update"))
+        for name, rows, mode in (
+            ("messages", messages, "append"),
+            ("metrics", metrics, "update"),
+            ("alerts", alerts, "update"),
+        ):
+            checkpoint = checkpoint_path(messages.sparkSession, f"console-{name}")
+            queries.append(start_console(rows, checkpoint, mode))
     return queries
 
 
@@ -66,23 +71,61 @@ def start_ingest(envelopes: DataFrame, start: Start) -> StreamingQuery:
     return start(republish(accepted(unwrap(envelopes))), schemas.RAW_TOPIC)
 
 
+def start_serving(
+    metrics: DataFrame, alerts: DataFrame, path: str, every: str | None = None
+) -> list[StreamingQuery]:
+    """Start logging both result topics below ``path``, and showing each alert once there."""
+    spark = metrics.sparkSession
+    rows = {
+        "metrics": serving.result_stream(metrics, schemas.METRIC),
+        "alerts": serving.result_stream(alerts, schemas.ALERT),
+    }
+    every = every or schemas.REFRESH_INTERVAL
+    queries = [
+        serving.start_log(found, f"{path}/{name}", checkpoint_path(spark, f"log-{name}"), every)
+        for name, found in rows.items()
+    ]
+    shown = rows["alerts"].drop("key", "offset")
+    checkpoint = checkpoint_path(spark, "new-alerts")
+    return [*queries, serving.start_new_alerts(shown, f"{path}/new-alerts", checkpoint, every)]
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Metrics and alerts from a topic of trades.")
+    parser.add_argument(
+        "part",
+        nargs="?",
+        default="metrics",
+        choices=("metrics", "ingest", "serving"),
+        help="trades to metrics and alerts, feed envelopes to trades, or results to logs",
+    )
+    parser.add_argument("--feed-topic", default="feed", help="envelopes that ingest reads")
+    parser.add_argument("--path", help="folder that serving writes to")
+    parser.add_argument("--every", help="refresh interval, such as '5 seconds'")
     parser.add_argument("--starting", default="latest", help="where a first run begins")
     parser.add_argument("--max-messages", type=int, help="messages per refresh at most")
     parser.add_argument("--min-partitions", type=int, help="tasks per read at least")
     parser.add_argument("--console", action="store_true", help="print interim results too")
     chosen = parser.parse_args(arguments)
+    if chosen.part == "serving" and not chosen.path:
+        parser.error("serving needs --path")
     settings = Settings()
     spark = build_session("tickflow")
-    messages = stream_messages(
-        spark,
-        settings.servers,
-        starting=chosen.starting,
-        max_messages=chosen.max_messages,
-        min_partitions=chosen.min_partitions,
-    )
-    start_job(messages, kafka_starter(spark, settings), settings, chosen.console)
+    options = {
+        "starting": chosen.starting,
+        "max_messages": chosen.max_messages,
+        "min_partitions": chosen.min_partitions,
+    }
+    start = kafka_starter(spark, settings, chosen.every)
+    if chosen.part == "serving":
+        groups = {"metrics_group": settings.metrics_group, "alerts_group": settings.alerts_group}
+        topics = metrics_and_alerts(spark, settings.servers, **groups, **options)
+        start_serving(*topics, chosen.path, chosen.every)
+    elif chosen.part == "ingest":
+        start_ingest(stream_messages(spark, settings.servers, chosen.feed_topic, **options), start)
+    else:
+        messages = stream_messages(spark, settings.servers, **options)
+        start_job(messages, start, settings, chosen.console)
     await_any(spark)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow import schemas
 from tickflow.operators import views
 from tickflow.operators.parse import coerce, decode_payload
-from tickflow.streaming.sinks import start_files
+from tickflow.streaming.sinks import start_batches, start_files
 
 _DAY = "day"
 
@@ -32,28 +33,75 @@ def result_stream(messages: DataFrame, result: T.StructType) -> DataFrame:
     )
 
 
-def new_alert_stream(alerts: DataFrame, delay: str = schemas.WATERMARK_DELAY) -> DataFrame:
-    """Each alert of a stream once, although the topic may deliver it again.
+_SHOWN = T.StructType([*(f for f in schemas.ALERT if f.name in schemas.RESULT_KEY)])
 
-    What was seen is dropped from the state once the watermark has passed its window, so
-    the state does not grow with the age of the stream.
-    """
-    return alerts.withWatermark("window_end", delay).dropDuplicates(list(schemas.RESULT_KEY))
-
-
-def observed_counts(rows: DataFrame, name: str = "new_alerts") -> DataFrame:
-    """Count the rows of every refresh in passing; ``read_counts`` reads the numbers."""
-    return rows.observe(name, F.count(F.lit(1)).alias("records"))
 
+def start_new_alerts(
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = schemas.REFRESH_INTERVAL,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Write each alert of a stream the first time it is delivered, however late.
 
-def read_counts(query: StreamingQuery, name: str = "new_alerts") -> list[int]:
-    """Rows per refresh of a query over ``observed_counts``, as far as it remembers."""
-    counts = []
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(name)
-        if observed is not None:
-            counts.append(observed["records"])
-    return counts
+    What was shown is the output itself: a refresh is compared with what earlier ones wrote
+    for the days of its own alerts, so nothing is held in state and nothing forgotten. Per
+    refresh the folder also gets its number of records and of new alerts. A refresh that is
+    run again replaces what it wrote. ``read_shown`` and ``read_counts`` read the two.
+    """
+    spark = alerts.sparkSession
+    columns = [c for c in alerts.columns if c != _DAY]
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            dated = batch.select(*columns).withColumn(_DAY, F.to_date("window_end"))
+            earlier = _written(spark, f"{path}/shown", _SHOWN).filter(F.col("batch_id") < batch_id)
+            # Days are partitions, and their list only keeps others from being read.
+            days = [row[0] for row in dated.select(_DAY).distinct().limit(_MOST_DAYS + 1).collect()]
+            if len(days) <= _MOST_DAYS:
+                known = F.col(_DAY).isin([d for d in days if d is not None])
+                earlier = earlier.filter(known | F.col(_DAY).isNull() if None in days else known)
+            first = dated.dropDuplicates(list(schemas.RESULT_KEY))
+            shown = f"{path}/shown/batch_id={batch_id}"
+            views.new_alerts(first, earlier).write.mode("overwrite").partitionBy(_DAY).parquet(shown)
+            written = _written(spark, f"{path}/shown", _SHOWN).filter(F.col("batch_id") == batch_id)
+            counts = views.record_count(batch).crossJoin(
+                written.agg(F.count(F.lit(1)).alias("new_alerts"))
+            )
+            counts.write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    for part, layout in (("shown", _SHOWN), ("counts", _COUNTS)):
+        # So that the first refresh finds a folder to compare with.
+        spark.createDataFrame([], layout).write.mode("append").parquet(f"{path}/{part}")
+    return start_batches(alerts, show, checkpoint, every=every, drain=drain)
+
+
+_COUNTS = T.StructType(
+    [T.StructField("records", T.LongType()), T.StructField("new_alerts", T.LongType())]
+)
+_MOST_DAYS = 366
+
+
+def _written(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """What batch writers wrote below ``path``, with the batch and, if it has one, the day."""
+    parts = [T.StructField("batch_id", T.LongType())]
+    if layout is not _COUNTS:
+        parts.append(T.StructField(_DAY, T.DateType()))
+    return spark.read.schema(T.StructType([*layout.fields, *parts])).parquet(path)
+
+
+def read_shown(spark: SparkSession, path: str, result: T.StructType = schemas.ALERT) -> DataFrame:
+    """The alerts that ``start_new_alerts`` wrote, with the refresh that showed them first."""
+    return _written(spark, f"{path}/shown", result).drop(_DAY)
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per refresh of ``start_new_alerts``: batch_id, records, new_alerts."""
+    return _written(spark, f"{path}/counts", _COUNTS)
 
 
 def start_log(
@@ -62,28 +110,57 @@ def start_log(
     checkpoint: str,
     every: str | None = schemas.REFRESH_INTERVAL,
     drain: bool = False,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Keep the rows of a ``result_stream`` in files by day of the window end.
 
     The log takes the place of state that a display would hold in memory: it outlives the
     display, and each refresh only appends. Repeated deliveries stay in it and are left out
-    when it is read.
+    when it is read. Every refresh leaves files of its own: ``compact_log`` gathers closed days
+    elsewhere, and files older than ``retention`` ("7d") then leave the log.
     """
     dated = results.drop("key").withColumn(_DAY, F.to_date("window_end"))
-    return start_files(dated, path, checkpoint, every, drain, partition_by=[_DAY])
+    extra = {} if retention is None else {"retention": retention}
+    return start_files(dated, path, checkpoint, every, drain, partition_by=[_DAY], extra=extra)
+
+
+def _logged(spark: SparkSession, path: str, result: T.StructType) -> DataFrame:
+    arrival, day = T.StructField("offset", T.LongType()), T.StructField(_DAY, T.DateType())
+    return spark.read.schema(T.StructType([*result.fields, arrival, day])).parquet(path)
+
+
+def compact_log(
+    spark: SparkSession, path: str, archive: str, result: T.StructType, first: date, until: date
+) -> None:
+    """Write the days from ``first`` on and before ``until`` of a log to an archive, once per
+    symbol and window end, in few files. Running it again for the same days replaces them, so
+    deliveries that came late get in."""
+    days = _logged(spark, path, result).filter(
+        (F.col(_DAY) >= F.lit(first)) & (F.col(_DAY) < F.lit(until))
+    )
+    kept = views.keep_last(days, "offset").repartition(_DAY, F.pmod(F.xxhash64("symbol"), F.lit(4)))
+    writer = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(_DAY).parquet(archive)
 
 
 def read_log(
-    spark: SparkSession, path: str, result: T.StructType, since: date | None = None
+    spark: SparkSession,
+    path: str,
+    result: T.StructType,
+    since: date | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """The log with the last delivery per symbol and window end, as the views take it.
 
+    With an ``archive``, its rows count too: a delivery that is in both is the same row.
+
     ``since`` leaves out older days before any file is opened, so a display of recent
     windows costs the same however long the log is. Rows without a window end have no day
     and are only part of the whole log.
     """
-    arrival, day = T.StructField("offset", T.LongType()), T.StructField(_DAY, T.DateType())
-    log = spark.read.schema(T.StructType([*result.fields, arrival, day])).parquet(path)
+    log = _logged(spark, path, result)
+    if archive is not None:
+        log = log.unionByName(_logged(spark, archive, result)).distinct()
     if since is not None:
         log = log.filter(F.col(_DAY) >= F.lit(since))
     return views.keep_last(log.drop(_DAY), "offset").select(*result.fieldNames())
@@ -94,8 +171,9 @@ def display(
 ) -> dict[str, DataFrame]:
     """Everything a display shows at one refresh, from two logs and the alerts shown before.
 
-    Each view is a query of its own over its input. Without ``symbols``, the metrics are read
-    twice more to find them.
+    Each view is a query of its own over its input, and without ``symbols`` the metrics are
+    read twice more to find them: ``refresh`` keeps the inputs while the views are read. Symbols
+    that are not listed are in no series.
     """
     new = views.new_alerts(alerts, seen)
     return {
@@ -110,3 +188,19 @@ def display(
         "new_alert_count": views.record_count(new),
         "seen": views.remember(seen, alerts),
     }
+
+
+@contextmanager
+def refresh(
+    metrics: DataFrame, alerts: DataFrame, seen: DataFrame, symbols: Sequence[str] | None = None
+) -> Iterator[dict[str, DataFrame]]:
+    """``display`` over inputs that are read once and kept until the block ends.
+
+    Read the views inside the block, and write ``seen`` to a table there if it is to last.
+    """
+    kept = [metrics.persist(), alerts.persist()]
+    try:
+        yield display(*kept, seen, symbols)
+    finally:
+        for rows in kept:
+            rows.unpersist()

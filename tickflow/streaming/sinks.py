@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -71,9 +72,11 @@ def start_files(
     drain: bool = False,
     partition_by: Sequence[str] = (),
     name: str | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append rows to parquet files, each exactly once."""
     writer = _writer(rows, checkpoint, "append", every, drain, name).format("parquet")
+    writer = writer.options(**(extra or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start(path)
@@ -81,10 +84,10 @@ def start_files(
 
 def start_console(
     rows: DataFrame,
+    checkpoint: str,
     mode: str = "update",
     every: str | None = None,
     drain: bool = False,
-    checkpoint: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Print what each refresh changed (``update``) or added (``append``)."""
@@ -100,13 +103,15 @@ def append_files(path: str) -> BatchWriter:
     return write
 
 
-def replace_files(path: str) -> BatchWriter:
-    """Batch writer that keeps only the newest batch: for ``complete`` mode."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def newest_batch(rows: DataFrame) -> DataFrame:
+    """Of what ``append_files`` wrote, the newest batch: the result of ``complete`` mode.
 
-    return write
+    Older batches stay until someone removes them, so a reader never finds nothing, even
+    while the next one is written.
+    """
+    newest = rows.agg(F.max("batch_id").alias("newest"))
+    joined = rows.join(F.broadcast(newest), F.col("batch_id") == F.col("newest"))
+    return joined.drop("batch_id", "newest")
 
 
 def publish(servers: str, topic: str, extra: Mapping[str, str] | None = None) -> BatchWriter:
@@ -140,7 +145,20 @@ def start_fan_out(
         finally:
             batch.unpersist()
 
-    return _writer(rows, checkpoint, mode, every, drain, name).foreachBatch(write_all).start()
+    return start_batches(rows, write_all, checkpoint, mode, every, drain, name)
+
+
+def start_batches(
+    rows: DataFrame,
+    write: BatchWriter,
+    checkpoint: str,
+    mode: str = "append",
+    every: str | None = None,
+    drain: bool = False,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Hand each refresh to a batch writer."""
+    return _writer(rows, checkpoint, mode, every, drain, name).foreachBatch(write).start()
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
