@@ -448,7 +448,16 @@ def test_job_writes_both_result_topics(spark, tmp_path):
         assert sorted(rows_of(found)) == sorted(rows_of(rows_expected.filter(limit))) != []
 
 
-def test_job_with_console_starts_five_queries(spark, tmp_path):
+def test_job_with_console_starts_five_queries(spark, tmp_path, monkeypatch):
+    from tickflow.streaming import job
+
+    named = []
+
+    def checkpoint_path(spark, name):
+        named.append(name)
+        return f"{tmp_path}/{name}"
+
+    monkeypatch.setattr(job, "checkpoint_path", checkpoint_path)
     feed = Feed(spark, tmp_path / "raw", schemas.MESSAGE)
     feed.add(raw_messages(spark, [("A", 1, 1.0, 1.0)]))
 
@@ -459,11 +468,10 @@ def test_job_with_console_starts_five_queries(spark, tmp_path):
     queries = start_job(feed.stream(), start, Settings(), console=True)
     try:
         assert len(queries) == 5
+        assert named == ["console-messages", "console-metrics", "console-alerts"]
         for query in queries:
             query.processAllAvailable()
             assert query.exception() is None
-            checkpoint = query._jsq.streamingQuery().resolvedCheckpointRoot()
-            assert "/temporary-" not in checkpoint
     finally:
         for query in queries:
             query.stop()

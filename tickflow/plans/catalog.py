@@ -173,6 +173,19 @@ def default_fill(spark, sf_dir):
     return pa.trade_summary(_unwrapped(spark, sf_dir))
 
 
+def default_fill_each(spark, sf_dir):
+    """Envelopes of which each lacks another field of the trade, or the trade."""
+    events, case = _events(spark, sf_dir), F.col("offset") % 6
+    value = F.col("value").cast("string")
+    trade = F.from_json(value, T.StructType([T.StructField("data", schemas.FEED_TRADE)]))["data"]
+    some = F.struct(
+        *(F.when(case != n, trade[name]).alias(name) for n, name in enumerate(("t", "s", "p", "q")))
+    )
+    lacking = F.to_json(F.struct(F.when(case != 4, some).alias("data")))
+    messages = tables.event_envelopes(events).withColumn("value", lacking.cast("binary"))
+    return pa.trade_summary(pa.unwrap(messages))
+
+
 def quarantine_messages(spark, sf_dir):
     """Trades that parse, envelopes and documents that do not."""
     events = _events(spark, sf_dir)
@@ -441,6 +454,7 @@ BATCH: dict[str, Query] = {
         validate_trades,
         rejected_trades,
         default_fill,
+        default_fill_each,
         quarantine_messages,
         metric_messages,
         alert_messages,

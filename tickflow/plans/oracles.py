@@ -209,6 +209,13 @@ FROM events WHERE event_type = 'error'""",
 SELECT CAST(event_id AS VARCHAR) AS trade_id,
        CASE WHEN symbol <> 'error' THEN symbol ELSE 'N/A' END AS symbol,
        CAST(price AS VARCHAR) AS price, CAST(CAST(quantity AS BIGINT) AS VARCHAR) AS quantity
+FROM t""",
+    "default_fill_each": f"""WITH {_TRADES}
+SELECT CASE WHEN event_id % 6 IN (0, 4) THEN 'N/A' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
+       CASE WHEN symbol = 'error' OR event_id % 6 IN (1, 4) THEN 'N/A' ELSE symbol END AS symbol,
+       CASE WHEN event_id % 6 IN (2, 4) THEN '-1' ELSE CAST(price AS VARCHAR) END AS price,
+       CASE WHEN event_id % 6 IN (3, 4) THEN '-1'
+            ELSE CAST(CAST(quantity AS BIGINT) AS VARCHAR) END AS quantity
 FROM t""",
     "quarantine_messages": """SELECT 'envelopes' AS topic, event_id AS "offset",
        'no symbol' AS reason FROM events
