@@ -11,6 +11,7 @@ from tickflow.llm import oracles
 from tickflow.llm.chat import chat_digest, format_chats
 from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.extract import extract_main_text
+from tickflow.llm.licenses import license_scan
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
 from tickflow.llm.sentence_pieces import decode, encode
@@ -74,6 +75,16 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read(spark, sf_dir, "pages"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: by source, language and thousand of their number."""
+    documents = read(spark, sf_dir, "documents")
+    thousand = (F.col("doc_id") / 1000).cast("long").cast("string")
+    path = F.concat_ws("/", "source", "lang", thousand, F.col("doc_id").cast("string"))
+    scanned = license_scan(documents.select(path.alias("path"), "text"))
+    number = F.substring_index("path", "/", -1).cast("long").alias("doc_id")
+    return scanned.select(number, "path", "licence", "score", "origin", "licence_path")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -97,6 +108,7 @@ _QUERIES = (
     op3_toxicity,
     op4_chat_formatting,
     op5_html_extraction,
+    op6_license_scan,
     op7_minhash_near_dedup,
     op8_benchmark_decontamination,
     op9_token_files,
