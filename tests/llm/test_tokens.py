@@ -78,6 +78,8 @@ def test_pieces_equal_the_library_and_decode(spark, odd_rows):
     library = sentencepiece.SentencePieceProcessor(model_file=model)
     frame = spark.createDataFrame(odd_rows, LAYOUT).repartition(5)
     found = decode(encode(frame, model), model).collect()
+    both = encode(frame, model, decoded=True)
+    assert {r.doc_id: r.decoded for r in both.collect()} == {r.doc_id: r.decoded for r in found}
     assert len(found) == len(odd_rows)
     texts = dict(odd_rows)
     for row in found:

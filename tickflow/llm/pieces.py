@@ -5,11 +5,14 @@ In texts as well as pieces, a blank stands where the model writes its word mark
 
 from __future__ import annotations
 
+import zlib
 from functools import lru_cache
 
 import numpy as np
 
 WORD_MARK = "▁"
+BEGINNING, BEGINNINGS = 3, 1 << 16
+"""Characters of a text, and buckets of their hash, by which ``lengths`` tells beginnings apart."""
 
 
 class Pieces:
@@ -49,6 +52,17 @@ class Pieces:
             last = parts[at], parts[at + 1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def lengths(self) -> list[list[int]]:
+        """The lengths that pieces have, by the bucket of their beginning, ascending.
+
+        Shorter ones than a beginning are in every bucket.
+        """
+        found = [set(range(1, BEGINNING)) for _ in range(BEGINNINGS)]
+        for text in self.halves:
+            if len(text) >= BEGINNING:
+                found[zlib.crc32(text[:BEGINNING].encode()) % BEGINNINGS].add(len(text))
+        return [sorted(lengths) for lengths in found]
+
     def cuts(self) -> np.ndarray:
         """For every two bytes, whether a text may always be cut between them.
 
@@ -90,7 +104,7 @@ class Pieces:
 
     def all_compatible(self, codes: list[int]) -> list[bool]:
         """``compatible`` for pairs given as left * number of pieces + right, remembered."""
-        if len(self._compatible) > 4_000_000:
+        if len(self._compatible) > 500_000:
             self._compatible.clear()
         known, size = self._compatible, len(self.texts)
         for code in codes:

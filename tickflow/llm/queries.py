@@ -14,7 +14,7 @@ from tickflow.llm.extract import extract_main_text
 from tickflow.llm.licenses import license_scan
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.quality import quality_rules
-from tickflow.llm.sentence_pieces import decode, encode
+from tickflow.llm.sentence_pieces import encode
 from tickflow.llm.sharding import lookup_table, place
 from tickflow.llm.tables import read
 from tickflow.llm.token_files import token_files
@@ -32,8 +32,8 @@ def tokenizer_path(name: str) -> str:
 def sentence_pieces(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Piece ids of documents and what they decode to."""
     model = tokenizer_path("piece_bpe_32k.model")
-    decoded = decode(encode(documents, model, scanned=True), model)
-    return decoded.select(
+    encoded = encode(documents, model, scanned=True, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         "ids",

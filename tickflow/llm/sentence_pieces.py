@@ -12,21 +12,25 @@ SentencePiece library gives.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow.llm import pieces, words
 from tickflow.llm.tables import settle
 
 BUCKET_BYTES = 1 << 25
 """Text that is put together in one task at the end, or the longest text if that is more."""
-_SLICE_BYTES = 1 << 22
+UNITS_PER_TASK = 50_000
+_SLICE_BYTES = 1 << 20
 
 
 def _normal(text: str) -> Column:
@@ -79,7 +83,7 @@ def _distinct_units(model: str):
 
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each slice as one compressed value."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
     for bucket, batch, part in _bucketed(batches):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
@@ -91,131 +95,168 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_LATTICE = "unit string, size int, lattice array<struct<start:int,number:int,before:array<int>,ids:array<int>>>"
+_LATTICE = "unit string, key long, size int, lattice array<struct<start:int,stop:int,number:int,before:array<int>,ids:array<int>>>"
+
+
+def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Edges in batches that hold all edges of their units."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        heads = np.flatnonzero(batch["unit"].is_valid().to_numpy(zero_copy_only=False))
+        last = int(heads[-1]) if len(heads) else 0
+        if len(heads) and (held or last):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _link_edges(model: str):
-    """Orders the edges of each unit by their end, and lists for each those it may follow."""
+    """Groups the edges by unit, and lists for each those it may follow, in order of their end.
+
+    A unit's edges come one after the other, by start and length, as they were exploded, and its
+    first one names it; a unit without an edge for each of its characters is an error.
+    """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces.load(model)
         vocabulary = len(known.texts)
-        for batch in batches:
-            if not len(batch):
-                continue
-            column = batch["edges"]
-            per_unit = np.diff(column.offsets.to_numpy())
-            packed = column.flatten().to_numpy()
-            unit = np.repeat(np.arange(len(batch)), per_unit)
-            start, length, number = packed >> 40, (packed >> 32) & 0xFF, (packed & 0xFFFFFFFF) - 1
+        for edges in _whole_units(batches):
+            column = edges["unit"].combine_chunks()
+            heads = column.is_valid().to_numpy(zero_copy_only=False)
+            units = column.drop_null()
+            unit = np.cumsum(heads) - 1
+            start, length, number = (edges[name].to_numpy().astype(np.int64) for name in ("start", "length", "id"))
             end = start + length
-            order = np.lexsort((start, end, unit))
-            unit, start, end, number = unit[order], start[order], end[order], number[order]
-            span = int(end.max()) + 1
-            ends_at, begins_at = unit * span + end, unit * span + start
-            low = np.searchsorted(ends_at, begins_at, side="left")
-            high = np.searchsorted(ends_at, begins_at, side="right")
-            count = np.where(start > 0, high - low, 0)
+            single = length == 1
+            sizes = pc.utf8_length(units).to_numpy().astype(np.int64)
+            keys_of = np.concatenate([
+                part.hashes(part.running(), part.offsets[:-1], part.offsets[1:])
+                for part in words.slices(units, fold=words.SAME)
+            ])
+            if (np.bincount(unit[single], minlength=len(units)) != sizes).any():
+                raise ValueError("the edges of a unit did not come together")
+            # Every place between characters of any unit has a number; edges are put in order of
+            # the place they end at, so those that end at one place are neighbours.
+            base = np.append(0, np.cumsum(sizes + 1))[:-1][unit]
+            order = np.argsort(base + end, kind="stable")
+            base, unit, start, end, number = base[order], unit[order], start[order], end[order], number[order]
+            ending = np.append(0, np.cumsum(np.bincount(base + end, minlength=int(sizes.sum()) + len(sizes))))
+            low = ending[base + start]
+            count = ending[base + start + 1] - low
             shift = np.repeat(low - (np.cumsum(count) - count), count)
             before = shift + np.arange(len(shift))
             after = np.repeat(np.arange(len(unit)), count)
             left, right = number[before], number[after]
             # A character that is no piece merges with nothing.
             free = (left < 0) | (right < 0)
-            codes, keys = pd.factorize(np.where(free, -1, left * vocabulary + right))
-            good = known.all_compatible([key for key in keys.tolist() if key >= 0])
-            good_of = np.ones(len(keys), dtype=bool)
-            good_of[keys >= 0] = good
-            fits = good_of[codes] if len(codes) else np.zeros(0, dtype=bool)
-            firsts = np.append(0, np.cumsum(per_unit)).astype(np.int32)
+            codes, keys = pd.factorize(np.where(free, -1, left * vocabulary + right), use_na_sentinel=False)
+            good = np.ones(len(keys), dtype=bool)
+            good[keys >= 0] = known.all_compatible(keys[keys >= 0].tolist())
+            fits = good[codes] if len(codes) else np.zeros(0, dtype=bool)
+            before, after = before[fits], after[fits]
+            # Edges that no chain of compatible ones takes to the end of their unit are on no path.
+            alive, found = np.zeros(len(unit), dtype=bool), end == sizes[unit]
+            while found.any():
+                alive |= found
+                found = (np.bincount(before, found[after], len(unit)) > 0) & ~alive
+            joined = alive[before] & alive[after]
+            place = np.cumsum(alive) - 1
+            before, after = place[before[joined]], place[after[joined]]
+            unit, start, end, number = unit[alive], start[alive], end[alive], number[alive]
+            firsts = np.searchsorted(unit, np.arange(len(units) + 1)).astype(np.int32)
             own = (np.arange(len(unit)) - firsts[unit]).astype(np.int32)
-            before_offsets = np.append(0, np.cumsum(np.bincount(after[fits], minlength=len(unit))))
+            before_offsets = np.append(0, np.cumsum(np.bincount(after, minlength=len(unit)))).astype(np.int32)
             ids, id_counts = number, np.ones(len(unit), dtype=np.int64)
             missing = np.flatnonzero(number < 0)
             if len(missing):
-                texts = batch["unit"]
                 spelled = {
-                    at: [known.byte_ids[byte] for byte in texts[int(unit[at])].as_py()[start[at]].encode()]
+                    at: [known.byte_ids[byte] for byte in units[int(unit[at])].as_py()[start[at]].encode()]
                     for at in missing.tolist()
                 }
                 id_counts[missing] = [len(spelled[at]) for at in missing.tolist()]
                 ids = np.repeat(number, id_counts)
                 ids[ids < 0] = [one for at in missing.tolist() for one in spelled[at]]
-            edges = pa.StructArray.from_arrays(
+            id_offsets = np.append(0, np.cumsum(id_counts)).astype(np.int32)
+            lattice = pa.StructArray.from_arrays(
                 [
                     pa.array(start.astype(np.int32)),
+                    pa.array(end.astype(np.int32)),
                     pa.array(own),
-                    pa.ListArray.from_arrays(pa.array(before_offsets.astype(np.int32)), pa.array(own[before[fits]])),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.append(0, np.cumsum(id_counts)).astype(np.int32)), pa.array(ids.astype(np.int32))
-                    ),
+                    pa.ListArray.from_arrays(pa.array(before_offsets), pa.array(own[before])),
+                    pa.ListArray.from_arrays(pa.array(id_offsets), pa.array(ids.astype(np.int32))),
                 ],
-                ["start", "number", "before", "ids"],
+                ["start", "stop", "number", "before", "ids"],
             )
-            sizes = end[firsts[1:] - 1].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch["unit"], pa.array(sizes), pa.ListArray.from_arrays(pa.array(firsts), edges)],
-                ["unit", "size", "lattice"],
+                [
+                    units,
+                    pa.array(keys_of.view(np.int64)),
+                    pa.array(sizes.astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(firsts), lattice),
+                ],
+                ["unit", "key", "size", "lattice"],
             )
 
     return link
 
 
-# Edges come by their end, so when an edge that starts at ``e.start`` is seen, the survivor of that
-# position is known: the path to every position has exactly one last edge.
+# Edges come by their end, so when an edge is seen, the survivor of the place it starts at is known:
+# the best path to every place has one last edge. The path is read back from the end.
 _VITERBI = """
     transform(
         array(aggregate(
-            lattice, array(-1),
-            (last, e) -> CASE WHEN e.start = 0 OR array_contains(e.before, last[e.start])
+            lattice, cast(array() AS array<int>),
+            (last, e) -> CASE WHEN e.start = 0 OR arrays_overlap(e.before, last)
                 THEN concat(last, array(e.number)) ELSE last END
         )),
         last -> aggregate(
-            sequence(1, size), named_struct('at', size, 'ids', cast(array() AS array<int>)),
-            (path, step) -> CASE WHEN path.at = 0 THEN path ELSE named_struct(
-                'at', lattice[last[path.at]].start, 'ids', concat(lattice[last[path.at]].ids, path.ids)
-            ) END
+            reverse(lattice), named_struct('at', size, 'ids', cast(array() AS array<int>)),
+            (path, e) -> CASE WHEN e.stop = path.at AND array_contains(last, e.number)
+                THEN named_struct('at', e.start, 'ids', concat(e.ids, path.ids)) ELSE path END
         ).ids
     )[0]
 """
 
 
 def encode_units(units: DataFrame, model: str) -> DataFrame:
-    """(unit, ids) of distinct, non-empty units of text."""
+    """(unit, key, ids) of distinct, non-empty units of text; the key is the unit's hash."""
     spark, known = units.sparkSession, pieces.load(model)
     listed = pd.DataFrame([(text, known.ids[text]) for text in known.halves], columns=["piece", "id"])
     table = F.broadcast(spark.createDataFrame(listed, "piece string, id int"))
-    # Dealt by unit once; exploding and the broadcast join leave it so, and grouping needs no shuffle.
-    dealt = units.select("unit").repartition("unit").withColumn("size", F.char_length("unit"))
+    sized = units.select("unit", F.char_length("unit").alias("size"))
+    # Of the lengths a substring may have, only those that pieces of such a beginning have.
+    lengths = f"from_json('{json.dumps(known.lengths())}', 'array<array<int>>')"
+    begun = f"cast(crc32(substring(unit, start + 1, {pieces.BEGINNING})) % {pieces.BEGINNINGS} AS int)"
     substrings = F.expr(f"""
         flatten(transform(sequence(0, size - 1), start -> transform(
-            sequence(1, least({known.longest}, size - start)),
+            filter({lengths}[{begun}], length -> length <= size - start),
             length -> named_struct('start', start, 'length', length, 'piece', substring(unit, start + 1, length))
         )))
     """)
-    exploded = dealt.select("unit", F.inline(substrings))
+    exploded = sized.select("unit", F.inline(substrings))
     edges = exploded.join(table, "piece", "left").filter("id IS NOT NULL OR length = 1")
-    packed = F.expr("shiftleft(cast(start AS bigint), 40) | shiftleft(cast(length AS bigint), 32) | (coalesce(id, -1) + 1)")
-    grouped = edges.groupBy("unit").agg(F.collect_list(packed).alias("edges"))
-    lattices = grouped.mapInArrow(_link_edges(model), _LATTICE)
-    return lattices.select("unit", F.expr(_VITERBI).alias("ids"))
+    # Named at its first edge only, so that the name is not sent with each.
+    name = F.when((F.col("start") == 0) & (F.col("length") == 1), F.col("unit")).alias("unit")
+    rows = edges.select(name, "start", "length", F.coalesce("id", F.lit(-1)).alias("id"))
+    lattices = rows.mapInArrow(_link_edges(model), _LATTICE)
+    kind = "smallint" if len(known.texts) < 1 << 15 else "int"
+    return lattices.select("unit", "key", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
 
 
-def _put_together(model: str):
+def _put_together(model: str, decoded: bool):
     def join(texts: pa.Table, units: pa.Table) -> pa.Table:
-        cuts = pieces.load(model).cuts()
-        column = units["unit"].combine_chunks()
-        found = [
-            part.hashes(part.running(), part.offsets[:-1], part.offsets[1:])
-            for part in words.slices(column, fold=words.SAME, size=_SLICE_BYTES)
-        ]
-        hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        cuts, texts_of = pieces.load(model).cuts(), _texts_of(model)
+        hashes = units["key"].to_numpy().view(np.uint64)
         lists = units["ids"].combine_chunks()
-        flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        flat, offsets = lists.flatten().to_numpy().astype(np.int32), lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
         order = np.argsort(hashes)
         hashes = hashes[order]
-        doc_ids, results = [], []
+        doc_ids, results, read_back = [], [], []
         for payload in texts["payload"]:
             batch = pa.ipc.open_stream(payload.as_buffer()).read_all().combine_chunks().to_batches()
             for piece in batch:
@@ -232,20 +273,27 @@ def _put_together(model: str):
                     bounds = np.append(0, ends)[np.searchsorted(starts, part.offsets)]
                     ids = flat[shift + np.arange(len(shift))]
                     results.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)))
-        if not results:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
-        return pa.table({"doc_id": pa.chunked_array(doc_ids), "ids": pa.chunked_array(results)})
+                    if decoded:
+                        read_back.append(pa.array(texts_of(ids, bounds), pa.string()))
+        columns = {
+            "doc_id": pa.chunked_array(doc_ids, pa.int64()),
+            "ids": pa.chunked_array(results, pa.list_(pa.int32())),
+        }
+        if decoded:
+            columns["decoded"] = pa.chunked_array(read_back, pa.string())
+        return pa.table(columns)
 
     return join
 
 
-def encode(docs: DataFrame, model: str, scanned: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, scanned: bool = False, decoded: bool = False) -> DataFrame:
     """The piece ids of every whole text: doc_id, ids, one row per row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. ``model`` names a SentencePiece
     BPE model file with byte fallback, at that path on every executor; ids are those its library
     gives. ``docs`` is read twice and must be dealt alike both times; pass ``scanned`` if it is a
-    plain table, else it is written out first. Null and empty texts have no ids, a word mark in
+    plain table, else it is written out first. ``decoded`` adds a column of that name with what
+    the ids decode to, as ``decode`` would. Null and empty texts have no ids, a word mark in
     a text is a blank, texts may be of any length. Repeated rows and rows without doc_id are
     encoded like others. No documents give no rows.
     """
@@ -255,11 +303,50 @@ def encode(docs: DataFrame, model: str, scanned: bool = False) -> DataFrame:
     texts = rows.select("doc_id", _normal("text").alias("text"))
     wanted = texts.mapInArrow(_distinct_units(model), "unit string, bucket long")
     units = settle(wanted.groupBy("unit").agg(F.collect_list("bucket").alias("buckets")), "units")
-    encoded = settle(encode_units(units, model), "encoded")
-    answers = encoded.join(units, "unit").select(F.explode("buckets").alias("bucket"), "unit", "ids")
+    dealt = units.select("unit").repartition(1 + units.count() // UNITS_PER_TASK)
+    encoded = settle(encode_units(dealt, model), "encoded")
+    answers = encoded.join(units, "unit").select(F.explode("buckets").alias("bucket"), "key", "ids")
     packed = texts.mapInArrow(_pack_texts, "bucket long, payload binary")
     together = packed.groupBy("bucket").cogroup(answers.groupBy("bucket"))
-    return together.applyInArrow(_put_together(model), "doc_id long, ids array<int>")
+    layout = "doc_id long, ids array<int>" + ", decoded string" * decoded
+    return together.applyInArrow(_put_together(model, decoded), layout)
+
+
+def _texts_of(model: str):
+    """A function from the ids of some texts and where each begins and ends to the texts."""
+    known = pieces.load(model)
+    texts = [text.encode() if text in known.ids else b"" for text in known.texts]
+    for byte, number in enumerate(known.byte_ids):
+        texts[number] = bytes([byte])
+    texts[known.unknown] = " \u2047 ".encode()
+    sizes = np.array([len(text) for text in texts])
+    begins = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(texts), dtype=np.uint8)
+
+    def join(ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(texts):
+            raise ValueError("an id is out of the model's range")
+        own = sizes[ids]
+        ends = np.append(0, np.cumsum(own))
+        shift = np.repeat(begins[ids] - ends[:-1], own)
+        whole = flat[shift + np.arange(len(shift))].tobytes()
+        cuts = ends[bounds].tolist()
+        return [whole[a:b].decode(errors="replace").removeprefix(" ") for a, b in zip(cuts, cuts[1:])]
+
+    return join
+
+
+def _joined_pieces(model: str):
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts_of = _texts_of(model)
+        for batch in batches:
+            decoded = [
+                texts_of(ids.values.to_numpy(), np.array([0, len(ids.values)]))[0] if ids.is_valid else None
+                for ids in batch["ids"]
+            ]
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(decoded, pa.string())], ["row", "decoded"])
+
+    return join
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -267,15 +354,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     Exact for what ``encode`` made, but that word marks are blanks. The unknown id is U+2047
     between blanks, control ids are nothing, bytes that are no UTF-8 become U+FFFD; null ids
-    give null, ids out of range an error.
+    give null, ids out of range or null an error.
     """
-    known = pieces.load(model)
-    texts = [known.texts[i].encode().hex() if known.texts[i] in known.ids else "" for i in range(len(known.texts))]
-    for byte, number in enumerate(known.byte_ids):
-        texts[number] = f"{byte:02x}"
-    texts[known.unknown] = " ⁇ ".encode().hex()
-    table = F.split(F.lit(",".join(texts)), ",")
-    hexed = F.array_join(F.transform("ids", lambda number: table[number]), "")
-    text = F.make_valid_utf8(F.unhex(hexed).cast("string"))
-    plain = F.when(F.startswith(text, F.lit(" ")), F.substring(text, 2, 2**31 - 1)).otherwise(text)
-    return encoded.withColumn("decoded", plain)
+    kept = encoded.drop("decoded")
+    rows = kept.select(F.struct("*").alias("row"), F.col("ids").cast("array<int>").alias("ids"))
+    layout = T.StructType([rows.schema["row"], T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(_joined_pieces(model), layout).select("row.*", "decoded")
