@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,18 +123,22 @@ def _statistics(part: words.Slice) -> np.ndarray:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first column, and the counts of the text in the second."""
+    """The first column, and the counts of the text in the second or, without one, in the first."""
     for batch in batches:
-        found = [_statistics(part) for part in words.slices(batch[1], fold=words.SAME)]
+        text = batch[1] if batch.num_columns > 1 else pc.struct_field(batch[0], "text")
+        found = [_statistics(part) for part in words.slices(text, fold=words.SAME)]
         table = np.concatenate(found) if found else np.zeros((0, len(_COUNTS)), np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch[0], *(pa.array(column) for column in table.T)], [batch.schema.names[0], *_COUNTS]
         )
 
 
-def statistics(docs: DataFrame, carried: Column) -> DataFrame:
-    """A carried column and the counts of every whole text; a null text has no words."""
-    rows = docs.select(carried, F.col("text").alias("counted"))
+def statistics(docs: DataFrame, carried: Column, whole_rows: bool = False) -> DataFrame:
+    """A carried column and the counts of every whole text; a null text has no words.
+
+    With ``whole_rows`` the carried column is a structure that holds the text itself.
+    """
+    rows = docs.select(carried, *([] if whole_rows else [F.col("text").alias("counted")]))
     counts = [T.StructField(name, T.LongType()) for name in _COUNTS]
     return rows.mapInArrow(_measure, T.StructType([rows.schema[0], *counts]))
 
@@ -292,5 +297,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     taught = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
     measured = settle(statistics(taught, F.col("doc_id").cast("long")), "statistics")
     rules = learned_rules(measured, picked, sample_rows)
-    judged = statistics(docs, F.struct("*").alias("row"))
+    judged = statistics(docs, F.struct(*(F.col(name) for name in docs.columns)).alias("row"), whole_rows=True)
     return judged.filter(~base_failed() & verdict(rules)).select("row.*")

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,10 +248,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, prior: float | None = None) -
         # The scorer gives one batch for each it takes, and takes no more before.
         score = _scorer(model)
         for batch in batches:
-            named = pa.RecordBatch.from_arrays([batch["judged"], batch["judged"]], ["doc_id", "text"])
+            text = pc.struct_field(batch["row"], "text")
+            named = pa.RecordBatch.from_arrays([text, text], ["doc_id", "text"])
             for scored in score(iter([named])):
                 clean = pa.array(scored["score"].to_numpy() < 0.5)
                 yield pa.RecordBatch.from_arrays([batch["row"].filter(clean)], ["row"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("judged"))
-    return rows.mapInArrow(judge, rows.select("row").schema).select("row.*")
+    rows = docs.select(F.struct(*(F.col(name) for name in docs.columns)).alias("row"))
+    return rows.mapInArrow(judge, rows.schema).select("row.*")
