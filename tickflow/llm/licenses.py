@@ -6,13 +6,14 @@ file whose line is near a template states that licence itself. A file that is ne
 is a licence file, and its licence holds for the directory it is in: files that state none take it
 from the nearest ancestor directory that has one, found by joining paths.
 
-Only units that can reach the threshold are compared in full. As no word weighs less than 1, a
-unit whose words outside all templates outnumber what its other words weigh is too far from all
-of them, whatever those words are.
+Only units that can reach the threshold are compared in full: what a unit's words outside all
+templates weigh at least must leave enough for those inside. The most frequent words' weights are
+known for that everywhere, and all others weigh no less than the last of those.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -26,6 +27,8 @@ from tickflow.llm import words
 from tickflow.llm.tables import settle
 
 THRESHOLD, FILE_THRESHOLD = 0.75, 0.6
+COMMON_WORDS = 20_000
+"""Most frequent words whose weights every task knows."""
 WHOLE = -1
 """The number of the unit that is the whole file; lines count from 0."""
 
@@ -96,18 +99,25 @@ def _line_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _UNITS = "row_id long, path string, unit long, word long, n long"
 
 
-def _near_units(weights: dict[int, float]):
-    """The words of every unit that may be near a template, and of every file one row without."""
+def _near_units(weights: dict[int, float], in_templates: set[int], least: float):
+    """The words of every unit that may be near a template, and of every file one row without.
+
+    ``weights`` are of one occurrence of words in templates and of common ones; any other word
+    weighs ``least`` or more.
+    """
     known = np.array(sorted(weights), dtype=np.uint64)
     weight = np.array([weights[word] for word in known.tolist()])
+    listed = np.array([word in in_templates for word in known.tolist()])
 
     def near(unit: np.ndarray, hashes: np.ndarray, threshold: float):
         unit, word, count = _counted(unit, hashes)
         place = np.minimum(np.searchsorted(known, word), len(known) - 1)
-        inside = known[place] == word
+        met = known[place] == word
+        inside = met & listed[place]
         size = int(unit.max()) + 1 if len(unit) else 0
-        own = np.bincount(unit, np.where(inside, (count * weight[place]) ** 2, 0.0), size)
-        other = np.bincount(unit, np.where(inside, 0, count**2), size)
+        squares = (count * np.where(met, weight[place], least)) ** 2
+        own = np.bincount(unit, np.where(inside, squares, 0.0), size)
+        other = np.bincount(unit, np.where(inside, 0.0, squares), size)
         likely = own >= threshold**2 * (own + other) * (1 - 1e-9)
         kept = likely[unit] & (own > 0)[unit]
         return unit[kept], word[kept], count[kept]
@@ -176,7 +186,11 @@ def licensed_units(files: DataFrame, templates: Mapping[str, Sequence[str]] = TE
     # As many rows as the templates have words.
     vectors = settle(weighed(template_words), "templates", 1)
     weights = {r["word"] % 2**64: r["weight"] / r["n"] for r in vectors.select("word", "weight", "n").collect()}
-    found = settle(source.mapInArrow(_near_units(weights), _UNITS), "near")
+    in_templates = set(weights)
+    ordered = frequency.filter("word <> 0").orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()
+    idf = {row["word"] % 2**64: 1 + math.log((1 + lines) / (1 + row["n"])) for row in ordered}
+    least = max(idf.values()) if len(idf) == COMMON_WORDS else 1.0
+    found = settle(source.mapInArrow(_near_units(idf | weights, in_templates, least), _UNITS), "near")
     units = settle(weighed(found.filter("unit IS NOT NULL")), "weighed")
     norms = units.groupBy("row_id", "path", "unit").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
     sizes = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"))
