@@ -32,9 +32,13 @@ def _selectors(ids: np.ndarray) -> np.ndarray:
         open_at = open_at[open_at + count <= size]
         if not len(open_at):
             break
-        wide = np.zeros(size + 1, dtype=np.int32)
-        np.cumsum(ids >= np.uint64(1 << bits), out=wide[1:])
-        open_at = open_at[wide[open_at + count] == wide[open_at]]
+        if len(open_at) * count < size:
+            fits = (ids[open_at[:, None] + np.arange(count)] < np.uint64(1 << bits)).all(axis=1)
+        else:
+            wide = np.zeros(size + 1, dtype=np.int32)
+            np.cumsum(ids >= np.uint64(1 << bits), out=wide[1:])
+            fits = wide[open_at + count] == wide[open_at]
+        open_at = open_at[fits]
         chosen[open_at] = selector
     return chosen
 
