@@ -104,7 +104,7 @@ class Pieces:
 
     def all_compatible(self, codes: list[int]) -> list[bool]:
         """``compatible`` for pairs given as left * number of pieces + right, remembered."""
-        if len(self._compatible) > 500_000:
+        if len(self._compatible) > 100_000:
             self._compatible.clear()
         known, size = self._compatible, len(self.texts)
         for code in codes:
