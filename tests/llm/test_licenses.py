@@ -1,8 +1,11 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
-from tickflow.llm.licenses import FILE_THRESHOLD, TEMPLATES, THRESHOLD, license_scan
+import numpy as np
+
+from tickflow.llm.licenses import FILE_THRESHOLD, FULL_TEXTS, TEMPLATES, THRESHOLD, _window_squares, license_scan
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -81,3 +84,69 @@ def test_empty_tables(spark):
     assert license_scan(frame.limit(0)).count() == 0
     assert {r.origin for r in license_scan(frame, {}).collect()} == {"none"}
     assert {r.origin for r in license_scan(frame.filter("text IS NULL OR text = ''")).collect()} == {"none"}
+
+
+CODE = "\n".join(f"int value_{k} = other_{k % 7} + {k};" for k in range(60))
+APACHE = """# Copyright 2020 The Authors. All Rights Reserved.
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+LATER = """/*
+ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ */
+"""
+MOZILLA = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */
+"""
+ECLIPSE = """// This program and the accompanying materials are made
+// available under the terms of the Eclipse Public License 2.0
+// which is available at https://www.eclipse.org/legal/epl-2.0/
+"""
+
+
+def commented(name):
+    lines = textwrap.wrap(" ".join(FULL_TEXTS[name][0].split()), 66)
+    return "/*-\n * Copyright (c) 1998 Some Body\n" + "".join(f" * {line}\n" for line in lines) + " */\n"
+
+
+def test_wrapped_headers(spark):
+    headers = {
+        "Apache-2.0": APACHE, "GPL-2.0-or-later": LATER, "MPL-2.0": MOZILLA, "EPL-2.0": ECLIPSE,
+        **{name: commented(name) for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense")},
+    }
+    files = [(f"src/{name}.c", header + CODE) for name, header in headers.items()]
+    files += [("plain.c", CODE), ("src/far.c", CODE + "\n" + APACHE + CODE)]
+    found = {r.path: (r.licence, r.origin) for r in license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    expected = {f"src/{name}.c": (name, "own") for name in headers}
+    assert found == {**expected, "plain.c": (None, "none"), "src/far.c": ("Apache-2.0", "own")}
+
+
+def test_licence_files(spark):
+    """Full texts under a copyright line, wrapped anew, hold for their directories."""
+    files = []
+    for name, (text,) in FULL_TEXTS.items():
+        text = "Copyright (c) 2019-2024 Jane Doe and others\n\n" + textwrap.fill(" ".join(text.split()), 100)
+        files += [(f"{name}/LICENSE", text), (f"{name}/src/main.c", CODE)]
+    regents = FULL_TEXTS["BSD-3-Clause"][0].replace("copyright holder", "University").replace("COPYRIGHT HOLDERS", "REGENTS")
+    files += [("r/COPYING", "Copyright (c) The Regents of the University of California.\n" + regents), ("r/x.c", CODE)]
+    found = {r.path: (r.licence, r.origin) for r in license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    expected = {f"{name}/LICENSE": (name, "own") for name in FULL_TEXTS}
+    expected |= {f"{name}/src/main.c": (name, "inherited") for name in FULL_TEXTS}
+    assert found == {**expected, "r/COPYING": ("BSD-3-Clause", "own"), "r/x.c": ("BSD-3-Clause", "inherited")}
+
+
+def test_window_norms():
+    rng = np.random.default_rng(0)
+    codes = rng.integers(0, 5, 40)
+    weight = rng.random(5)[codes]
+    for size in (1, 3, 17, 39):
+        exact = [sum((n * weight[codes == c][0]) ** 2 for c, n in Counter(codes[k : k + size].tolist()).items()) for k in range(41 - size)]
+        assert np.allclose(_window_squares(codes, weight, size), exact)
