@@ -59,3 +59,14 @@ def test_empty_tables_and_other_columns(spark):
     assert decontaminate(docs.limit(0), item).count() == 0
     assert drop_contaminated(docs, item).count() == 0
     assert [tuple(r) for r in drop_contaminated(docs, items).collect()] == [(1, "a b", 7, "x")]
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    rows = [
+        (None, "clean without number"), (None, "holds the Secret item here"), (None, None), (7, "clean under seven"),
+        (7, "the secret item again"), (7, ""), (8, "clean"), (8, "clean"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(1, "secret item")], "item_id long, text string")
+    kept = sorted(map(tuple, drop_contaminated(docs, items).collect()), key=repr)
+    assert kept == sorted((row for row in rows if "ecret" not in (row[1] or "")), key=repr)

@@ -231,8 +231,10 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window of any item.
 
-    Told apart by doc_id: rows without one go if any of them is contaminated.
+    Each row is judged by its own text, whatever its doc_id: the search runs under a 64-bit hash of
+    the text, which is the same wherever the row is read again, and equal texts have one verdict.
     """
-    lost = decontaminate(docs, items).filter("contaminated").select(F.col("doc_id").alias("lost")).distinct()
+    named = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    lost = decontaminate(named, items).filter("contaminated").select(F.col("doc_id").alias("lost")).distinct()
     lost = small(settle(lost, "lost"))
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost")), "left_anti").select(*docs.columns)
+    return docs.join(lost, F.xxhash64("text") == F.col("lost"), "left_anti").select(*docs.columns)
