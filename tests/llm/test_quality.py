@@ -74,3 +74,20 @@ def test_learning_by_hand():
     assert [(c.feature, c.above) for c in rule] == [("a", True)] and 190 < rule[0].threshold < 205
     assert quality.learn(table, np.zeros(300, dtype=bool)) == []
     assert quality.learn({"a": np.zeros(0)}, np.zeros(0, dtype=bool)) == []
+
+
+def test_both_learn_from_the_same_sample(spark, labelled, monkeypatch):
+    docs, labels, _ = labelled
+    short = spark.range(2000, 2600).selectExpr("id AS doc_id", "'too few words' AS text", "int(id % 2) AS quality")
+    docs, labels = docs.unionByName(short.select("doc_id", "text")), labels.unionByName(short.select("doc_id", "quality"))
+    seen, learn = [], quality.learn
+
+    def watched(table, bad):
+        seen.append([bad.tolist(), *(table[name].tolist() for name in sorted(table))])
+        return learn(table, bad)
+
+    monkeypatch.setattr(quality, "learn", watched)
+    judged = quality.quality_rules(docs, labels, 200)
+    kept = quality.keep_good(docs, labels, 200)
+    assert len(seen[0][0]) == 200 and seen[0] == seen[1]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in judged.filter("kept").collect())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm import words
-from tickflow.llm.tables import least_hashed, settle
+from tickflow.llm.tables import least_hashed, settle, small
 
 SAMPLE_ROWS = 20_000
 """Labelled rows that rules are learned from at most; the rows of least hash are taken."""
@@ -289,13 +289,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``quality_rules`` keeps.
 
-    Judged row by row, without a join; only labelled documents are counted twice.
+    Judged row by row, without a join; only labelled documents are counted twice, all of them, as
+    the sample is drawn after the base's rejects are known.
     """
-    known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long"), "quality")
-    sampled = least_hashed(known.join(docs.select(F.col("doc_id").cast("long")).distinct(), "doc_id"), sample_rows)
-    picked = settle(sampled, "sampled", 1)
-    taught = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
+    known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("known"))
+    known = small(settle(known.distinct(), "known"))
+    taught = docs.join(known, F.col("doc_id").cast("long") == F.col("known"), "left_semi")
     measured = settle(statistics(taught, F.col("doc_id").cast("long")), "statistics")
-    rules = learned_rules(measured, picked, sample_rows)
+    rules = learned_rules(measured, labels, sample_rows)
     judged = statistics(docs, F.struct(*(F.col(name) for name in docs.columns)).alias("row"), whole_rows=True)
     return judged.filter(~base_failed() & verdict(rules)).select("row.*")
