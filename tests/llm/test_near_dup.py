@@ -85,3 +85,14 @@ def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(frame).columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert near_duplicates(frame).count() == 0
+
+
+def test_repeated_rows_stay_once(spark):
+    text = "one two three four five six"
+    rows = [(1, text)] * 3 + [(2, text)] * 2 + [(3, "other"), (4, None), (4, None)]
+    rows += [(None, text), (None, text), (None, "lone"), (None, None), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS n").repartition(3)
+    got = sorted((tuple(r) for r in keep_one(frame).collect()), key=repr)
+    expected = [(1, text), (3, "other"), (4, None), (None, text), (None, "lone"), (None, None), (None, "")]
+    assert got == sorted(((*row, 7) for row in expected), key=repr)
+    assert near_duplicates(frame).count() == len(rows)

@@ -236,9 +236,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, but for those that ``near_duplicates`` does
-    not keep: of each group the document of least doc_id stays."""
+    not keep: of each group the document of least doc_id stays.
+
+    Of rows with one doc_id and one text, any one stays. Rows without doc_id have no group and are
+    never compared with other documents, but of those with one text any one stays too; null is a
+    text of its own.
+    """
     lost = settle(near_duplicates(docs).filter("NOT kept").select("doc_id").distinct(), "lost")
-    return docs.join(small(lost), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(small(lost), "doc_id", "left_anti").select(*docs.columns)
+    named = kept.select(F.col("doc_id").alias("copied_id"), F.xxhash64("text").alias("copied_text"))
+    counted = named.groupBy("copied_id", "copied_text").agg(F.count("*").alias("n"))
+    copied = settle(counted.filter("n > 1").drop("n"), "copied")
+    if copied.isEmpty():
+        return kept
+    # Only rows that have copies are dealt out with their texts.
+    same = F.col("doc_id").eqNullSafe(F.col("copied_id")) & (F.xxhash64("text") == F.col("copied_text"))
+    copies = kept.join(small(copied), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(small(copied), same, "left_anti").unionByName(copies)
 
 
 def _repeats(signed: DataFrame) -> bool:
