@@ -66,3 +66,21 @@ def test_risk_does_not_fit_positives_below_zero():
     mixture = (np.arange(10), np.zeros(10, int), np.ones(10), 100)
     weights, bias = tox.train(side, mixture, 1, 0.1, 0)
     assert weights[0] + bias > 0 > bias
+
+
+def test_rare_telling_words_get_weights(spark):
+    """A word of under 2 % of the toxic documents and of no others tells, as the common ones do."""
+    rng = random.Random(4)
+    rows = []
+    rare = [number for number in range(0, 8000, 20) if zlib.crc32(str(number).encode()) % 5][:6]
+    for number in range(8000):
+        words = [f"w{rng.randrange(300)}" for _ in range(20)]
+        toxic = number % 20 == 0
+        if toxic:
+            words.append("qzkrare" if number in rare else "idiot")
+        rows.append((number, " ".join(words), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    model = tox.learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    part = next(tox.words.slices(tox.pa.array(["qzkrare"]), tox.words.ALPHANUMERIC))
+    _, features, _ = tox._features(part)
+    assert set(features) <= set(model.features.tolist())

@@ -31,7 +31,7 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 """Documents that are learned from at most; those of least hashed doc_id are taken."""
 CLASSIFIERS, STEPS, RATE, DECAY = 3, 200, 0.05, 1e-4
 FEATURE_BITS, PREFIXES = 20, (4, 5)
-MIN_DOCUMENTS, MIN_SHARE, MIN_DEVIATIONS = 4, 0.02, 5.0
+MIN_DOCUMENTS, MIN_DEVIATIONS = 4, 5.0
 HELD_OUT_FOLDS = 5
 
 
@@ -179,9 +179,8 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     telling = sample.filter("feature >= 0").groupBy("feature").agg(
         F.count("positive").alias("n"), ((rate_p - rate_u) / spread).alias("deviations")
     )
-    least = max(MIN_DOCUMENTS, MIN_SHARE * sizes[0])
-    telling = telling.filter((F.col("n") >= least) & (F.col("deviations") > MIN_DEVIATIONS)).select("feature")
-    # At most 2**FEATURE_BITS rows, and with MIN_SHARE far fewer.
+    telling = telling.filter((F.col("n") >= MIN_DOCUMENTS) & (F.col("deviations") > MIN_DEVIATIONS)).select("feature")
+    # At most 2**FEATURE_BITS rows.
     chosen = np.array(sorted(row[0] for row in telling.collect()), dtype=np.int64)
     kept = F.broadcast(telling.unionByName(sample.sparkSession.sql("SELECT -1 AS feature")))
     found = sample.join(kept, "feature").toPandas().sort_values(["text_no", "feature"])
