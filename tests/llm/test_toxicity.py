@@ -84,3 +84,11 @@ def test_rare_telling_words_get_weights(spark):
     part = next(tox.words.slices(tox.pa.array(["qzkrare"]), tox.words.ALPHANUMERIC))
     _, features, _ = tox._features(part)
     assert set(features) <= set(model.features.tolist())
+
+
+def test_mixture_frequencies_are_of_all_documents(spark, corpus, monkeypatch):
+    """Which features tell does not depend on how many documents are sampled for training."""
+    docs, labels, _ = corpus
+    full = tox.learn(docs, labels)
+    monkeypatch.setattr(tox, "UNLABELLED", 20)
+    assert tox.learn(docs, labels).features.tolist() == full.features.tolist()

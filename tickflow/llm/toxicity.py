@@ -28,7 +28,7 @@ from tickflow.llm import words
 from tickflow.llm.tables import least_hashed, settle
 
 POSITIVES, UNLABELLED = 4_000, 8_000
-"""Documents that are learned from at most; those of least hashed doc_id are taken."""
+"""Documents that classifiers are trained on at most; those of least hashed doc_id are taken."""
 CLASSIFIERS, STEPS, RATE, DECAY = 3, 200, 0.05, 1e-4
 FEATURE_BITS, PREFIXES = 20, (4, 5)
 MIN_DOCUMENTS, MIN_DEVIATIONS = 4, 5.0
@@ -89,6 +89,24 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             next_text += len(part)
 
 
+def _document_counts(wanted: np.ndarray):
+    """How many texts have each wanted feature; under feature -1, how many texts there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, texts = np.zeros(len(wanted), dtype=np.int64), 0
+        for batch in batches:
+            for part in words.slices(batch["text"], words.ALPHANUMERIC):
+                _, feature, _ = _features(part, wanted)
+                totals += np.bincount(feature, minlength=len(totals))
+                texts += len(part)
+        met = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(met, -1).astype(np.int32)), pa.array(np.append(totals[met], texts))], ["feature", "df"]
+        )
+
+    return count
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights by feature (one column per classifier) and biases; no features: never toxic."""
@@ -174,12 +192,18 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     if not prior or not sizes[0] or not sizes[1]:
         return NOTHING
 
-    rate_p, rate_u = F.count("positive") / sizes[0], F.count("unlabelled") / sizes[1]
-    spread = F.sqrt((rate_u * (1 - rate_u) + 1 / sizes[1]) * (1 / sizes[0] + 1 / sizes[1]))
-    telling = sample.filter("feature >= 0").groupBy("feature").agg(
-        F.count("positive").alias("n"), ((rate_p - rate_u) / spread).alias("deviations")
-    )
-    telling = telling.filter((F.col("n") >= MIN_DOCUMENTS) & (F.col("deviations") > MIN_DEVIATIONS)).select("feature")
+    often = sample.filter("feature >= 0").groupBy("feature").agg(F.count("positive").alias("n"))
+    often = settle(often.filter(F.col("n") >= MIN_DOCUMENTS), "often", 1)
+    # The mixture's frequencies are of all documents that are not held out, sampled or not.
+    wanted = np.zeros(1 << FEATURE_BITS, dtype=bool)
+    wanted[[row[0] for row in often.select("feature").collect()]] = True
+    every = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL").filter(~held_out()).select("text")
+    counts = every.mapInArrow(_document_counts(wanted), "feature int, df long").groupBy("feature").agg(F.sum("df").alias("df"))
+    frequency = settle(counts, "frequency", 1)
+    total = frequency.filter("feature = -1").head()["df"]
+    rate_p, rate_u = F.col("n") / sizes[0], F.coalesce("df", F.lit(0)) / total
+    spread = F.sqrt((rate_u * (1 - rate_u) + 1 / total) * (1 / sizes[0] + 1 / total))
+    telling = often.join(frequency, "feature", "left").filter((rate_p - rate_u) / spread > MIN_DEVIATIONS).select("feature")
     # At most 2**FEATURE_BITS rows.
     chosen = np.array(sorted(row[0] for row in telling.collect()), dtype=np.int64)
     kept = F.broadcast(telling.unionByName(sample.sparkSession.sql("SELECT -1 AS feature")))
