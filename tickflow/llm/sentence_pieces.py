@@ -43,21 +43,21 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Recor
     """Slices of the texts with the bucket they belong to: neighbours of one input partition."""
     bucket, held = TaskContext.get().partitionId() << 24, 0
     for batch in batches:
-        for part in words.slices(batch["text"], fold=words.SAME, size=_SLICE_BYTES):
+        for part in words.slices(batch["text"], None, words.SAME, _SLICE_BYTES):
             if held and held + len(part.data) > BUCKET_BYTES:
                 bucket, held = bucket + 1, 0
             held += len(part.data)
             yield bucket, batch, part
 
 
-def _units(part: words.Slice, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, hash) of every unit of a slice."""
+def _units(part: words.Slice, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, which of the slice's different units, where each of those comes first)."""
     cut = np.zeros(len(part.data) + 1, dtype=bool)
     cut[1 : len(part.data)] = cuts[part.data[:-1], part.data[1:]]
     cut[part.offsets[:-1]] = True
     starts = np.flatnonzero(cut[: len(part.data)])
     ends = np.append(starts[1:], len(part.data))[: len(starts)]
-    return starts, ends, part.hashes(part.running(), starts, ends)
+    return starts, ends, *words.distinct(part, starts, ends)
 
 
 def _distinct_units(model: str):
@@ -66,14 +66,11 @@ def _distinct_units(model: str):
         for bucket, _, part in _bucketed(batches):
             if bucket != current:
                 seen, current = set(), bucket
-            starts, ends, hashes = _units(part, cuts)
-            codes, keys = pd.factorize(hashes)
-            first = np.full(len(keys), len(codes))
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
-            new = [at for at, key in zip(first.tolist(), keys.tolist()) if key not in seen]
-            seen.update(keys.tolist())
+            starts, ends, _, first = _units(part, cuts)
             raw = part.data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            listed = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            texts = [unit.decode() for unit in listed if unit not in seen]
+            seen.update(listed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()), pa.array(np.full(len(texts), bucket))], ["unit", "bucket"]
             )
@@ -95,7 +92,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_LATTICE = "unit string, key long, size int, lattice array<struct<start:int,stop:int,number:int,before:array<int>,ids:array<int>>>"
+_LATTICE = "unit string, size int, lattice array<struct<start:int,stop:int,number:int,before:array<int>,ids:array<int>>>"
 
 
 def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -133,10 +130,6 @@ def _link_edges(model: str):
             end = start + length
             single = length == 1
             sizes = pc.utf8_length(units).to_numpy().astype(np.int64)
-            keys_of = np.concatenate([
-                part.hashes(part.running(), part.offsets[:-1], part.offsets[1:])
-                for part in words.slices(units, fold=words.SAME)
-            ])
             if (np.bincount(unit[single], minlength=len(units)) != sizes).any():
                 raise ValueError("the edges of a unit did not come together")
             # Every place between characters of any unit has a number; edges are put in order of
@@ -194,11 +187,10 @@ def _link_edges(model: str):
             yield pa.RecordBatch.from_arrays(
                 [
                     units,
-                    pa.array(keys_of.view(np.int64)),
                     pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(firsts), lattice),
                 ],
-                ["unit", "key", "size", "lattice"],
+                ["unit", "size", "lattice"],
             )
 
     return link
@@ -223,7 +215,7 @@ _VITERBI = """
 
 
 def encode_units(units: DataFrame, model: str) -> DataFrame:
-    """(unit, key, ids) of distinct, non-empty units of text; the key is the unit's hash."""
+    """(unit, ids) of distinct, non-empty units of text."""
     spark, known = units.sparkSession, pieces.load(model)
     listed = pd.DataFrame([(text, known.ids[text]) for text in known.halves], columns=["piece", "id"])
     table = F.broadcast(spark.createDataFrame(listed, "piece string, id int"))
@@ -244,29 +236,58 @@ def encode_units(units: DataFrame, model: str) -> DataFrame:
     rows = edges.select(name, "start", "length", F.coalesce("id", F.lit(-1)).alias("id"))
     lattices = rows.mapInArrow(_link_edges(model), _LATTICE)
     kind = "smallint" if len(known.texts) < 1 << 15 else "int"
-    return lattices.select("unit", "key", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
+    return lattices.select("unit", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
+
+
+class _Listed:
+    """Different units, found by hash; bytes are compared."""
+
+    def __init__(self, units: pa.Array):
+        # One slice of all, however long.
+        self.part = next(words.slices(units, None, words.SAME, 1 << 62), None)
+        if self.part is not None:
+            self.starts, self.ends = self.part.offsets[:-1], self.part.offsets[1:]
+            hashes = self.part.hashes(self.part.running(), self.starts, self.ends)
+            self.order = np.argsort(hashes)
+            self.hashes = hashes[self.order]
+
+    def places(self, part: words.Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the byte ranges of a slice are listed."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.int64)
+        if self.part is not None:
+            wanted = part.hashes(part.running(), starts, ends)
+            place = self.order[np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)]
+            sizes = ends - starts
+            if (sizes == self.ends[place] - self.starts[place]).all():
+                shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                there = shift + np.repeat(self.starts[place] - starts, sizes)
+                if (part.data[shift] == self.part.data[there]).all():
+                    return place
+            # Two units of one hash, or a missing one.
+            exact = {self.part.text(at): at for at in range(len(self.part))}
+            raw = part.data.tobytes()
+            listed = [exact.get(raw[a:b], -1) for a, b in zip(starts.tolist(), ends.tolist())]
+            if min(listed) >= 0:
+                return np.array(listed)
+        raise ValueError("documents were dealt differently when read again; settle them first")
 
 
 def _put_together(model: str, decoded: bool):
     def join(texts: pa.Table, units: pa.Table) -> pa.Table:
         cuts, texts_of = pieces.load(model).cuts(), _texts_of(model)
-        hashes = units["key"].to_numpy().view(np.uint64)
+        found = _Listed(units["unit"].combine_chunks())
         lists = units["ids"].combine_chunks()
         flat, offsets = lists.flatten().to_numpy().astype(np.int32), lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
-        order = np.argsort(hashes)
-        hashes = hashes[order]
         doc_ids, results, read_back = [], [], []
         for payload in texts["payload"]:
             batch = pa.ipc.open_stream(payload.as_buffer()).read_all().combine_chunks().to_batches()
             for piece in batch:
                 doc_ids.append(piece["doc_id"])
-                for part in words.slices(piece["text"], fold=words.SAME, size=_SLICE_BYTES):
-                    starts, _, wanted = _units(part, cuts)
-                    place = np.minimum(np.searchsorted(hashes, wanted), max(len(hashes) - 1, 0))
-                    if len(wanted) and (not len(hashes) or (hashes[place] != wanted).any()):
-                        raise ValueError("documents were dealt differently when read again; settle them first")
-                    place = order[place] if len(wanted) else place
+                for part in words.slices(piece["text"], None, words.SAME, _SLICE_BYTES):
+                    starts, ends, codes, first = _units(part, cuts)
+                    place = found.places(part, starts[first], ends[first])[codes]
                     sizes = offsets[place + 1] - offsets[place]
                     ends = np.cumsum(sizes, dtype=np.int64)
                     shift = np.repeat(offsets[place] - (ends - sizes), sizes)
@@ -305,7 +326,7 @@ def encode(docs: DataFrame, model: str, scanned: bool = False, decoded: bool = F
     units = settle(wanted.groupBy("unit").agg(F.collect_list("bucket").alias("buckets")), "units")
     dealt = units.select("unit").repartition(1 + units.count() // UNITS_PER_TASK)
     encoded = settle(encode_units(dealt, model), "encoded")
-    answers = encoded.join(units, "unit").select(F.explode("buckets").alias("bucket"), "key", "ids")
+    answers = encoded.join(units, "unit").select(F.explode("buckets").alias("bucket"), "unit", "ids")
     packed = texts.mapInArrow(_pack_texts, "bucket long, payload binary")
     together = packed.groupBy("bucket").cogroup(answers.groupBy("bucket"))
     layout = "doc_id long, ids array<int>" + ", decoded string" * decoded

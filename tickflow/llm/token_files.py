@@ -12,7 +12,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -84,20 +83,21 @@ class _Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.place: dict[bytes, int] = {}
         self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, keys: list[int], units: list[str], sizes: np.ndarray) -> None:
-        """Encode new units, many per call; ``sizes`` are their bytes."""
-        if not keys:
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode new units, many per call."""
+        if not new:
             return
+        units, sizes = [unit.decode() for unit in new], np.array([len(unit) for unit in new])
         calls = [units[at : at + 64] for at in range(0, len(units), 64)]
         found = self.tokenizer.encode_batch_fast(calls, is_pretokenized=True, add_special_tokens=False)
         ids = np.concatenate([np.array(one.ids, dtype=np.uint32) for one in found])
         # Tokens keep every byte, so a unit's tokens end where its bytes do.
         ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(sizes)) + 1
         known = len(self.offsets) - 1
-        self.place.update(zip(keys, range(known, known + len(keys))))
+        self.place.update(zip(new, range(known, known + len(new))))
         self.ids = np.concatenate([self.ids, ids])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
 
@@ -109,15 +109,11 @@ class _Encoder:
             self._forget()
         starts = _unit_starts(part.data, part.offsets)
         ends = np.append(starts[1:], len(part.data))
-        codes, keys = pd.factorize(part.hashes(part.running(), starts, ends))
-        first = np.full(len(keys), len(codes))
-        first[codes[::-1]] = np.arange(len(codes))[::-1]
-        listed = keys.tolist()
-        new = [number for number, key in enumerate(listed) if key not in self.place]
-        begin, end = starts[first[new]], ends[first[new]]
+        codes, first = words.distinct(part, starts, ends)
         raw = part.data.tobytes()
-        units = [raw[a:b].decode() for a, b in zip(begin.tolist(), end.tolist())]
-        self._learn([listed[number] for number in new], units, end - begin)
+        listed = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        new = [unit for unit in listed if unit not in self.place]
+        self._learn(new)
         places = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[codes]
         sizes = self.offsets[places + 1] - self.offsets[places]
         ends_out = np.cumsum(sizes)
@@ -147,7 +143,7 @@ def _write_blocks(tokenizer: str):
 
         for batch in batches:
             numbers = batch["doc_id"].to_pylist()
-            for part in words.slices(batch["text"], fold=words.SAME, size=_SLICE_BYTES):
+            for part in words.slices(batch["text"], None, words.SAME, _SLICE_BYTES):
                 ids, counts = encoder.encode(part)
                 ends = np.cumsum(counts)
                 ids, counts = np.insert(ids, ends, END_ID), counts + 1

@@ -1,9 +1,10 @@
 """Words of whole Arrow text columns as numpy arrays of positions and 64-bit hashes.
 
 Texts are handled as UTF-8 bytes, a few documents at a time, so memory is bounded by
-``SLICE_BYTES`` or the longest single text, whichever is larger. Words are compared by 64-bit
-hashes: two different words, or two different runs of words, meet with a chance of about
-2**-64 per pair compared.
+``SLICE_BYTES`` or the longest single text, whichever is larger. Words are compared by hashes, a
+pair of polynomials modulo two primes near 2**31: two different words meet with a chance of about
+2**-62, longer byte ranges of n bytes with one of at most (n / 2**31)**2. Where a hash finds
+something remembered under it, users compare the bytes too.
 """
 
 from __future__ import annotations
@@ -12,13 +13,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+# Primes and the bases of their polynomials.
+_FIELDS = ((2_147_483_647, 1_540_483_477), (2_147_483_629, 1_831_565_813))
+_PLAIN_BYTES = 1 << 24
+"""Up to so many bytes, 2**39 at most each, sum up within 64 bits as they are."""
 
 # A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -32,19 +36,28 @@ NOT_BLANK[[0x20, *range(0x09, 0x0E)]] = False
 ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-_powers = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+def _power_table(factor: int, prime: int, size: int) -> np.ndarray:
+    """The first powers of a factor modulo a prime, doubling what is known."""
+    table, known = np.ones(size, dtype=np.uint64), 1
+    while known < size:
+        step = np.uint64(pow(factor, known, prime))
+        fresh = min(known, size - known)
+        table[known : known + fresh] = table[:fresh] * step % np.uint64(prime)
+        known += fresh
+    return table
+
+
+def _power_tables(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each field's base and of its inverse."""
     global _powers
-    if len(_powers[0]) < size:
-        tables = []
-        for factor in (_BASE, _INVERSE):
-            table = np.full(max(size, SLICE_BYTES + 1), factor, dtype=np.uint64)
-            table[0] = 1
-            tables.append(np.multiply.accumulate(table))
-        _powers = tables[0], tables[1]
+    if not _powers or len(_powers[0][0]) < size:
+        size = max(size, SLICE_BYTES + 1)
+        _powers = [
+            (_power_table(base, prime, size), _power_table(pow(base, -1, prime), prime, size)) for prime, base in _FIELDS
+        ]
     return _powers
 
 
@@ -82,30 +95,38 @@ class Slice:
         """The text each word is in, counted from the slice's first."""
         return np.repeat(np.arange(len(self)), self.counts())
 
-    def running(self) -> np.ndarray:
-        """Running hash sums of the bytes; ``hashes`` cuts words out of it."""
-        up, _ = _power_tables(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        return sums
-
-    def hashes(self, running: np.ndarray, starts=None, ends=None) -> np.ndarray:
+    def running(self) -> list[np.ndarray]:
+        """Running hash sums of the bytes; ``hashes`` cuts words out of them."""
+        found, digits = [], self.data.astype(np.uint64) + np.uint64(1)
+        for (prime, _), (up, _) in zip(_FIELDS, _power_tables(len(self.data) + 1)):
+            terms = digits * up[: len(self.data)]
+            if len(self.data) > _PLAIN_BYTES:
+                terms %= np.uint64(prime)
+            sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            found.append(sums)
+        return found
+
+    def hashes(self, running: list[np.ndarray], starts=None, ends=None) -> np.ndarray:
         """A hash of each byte range, by default of each word."""
         starts = self.starts if starts is None else starts
         ends = self.ends if ends is None else ends
-        _, down = _power_tables(len(self.data) + 1)
-        return mix((running[ends] - running[starts]) * down[starts])
+        joined = np.zeros(len(starts), dtype=np.uint64)
+        for (prime, _), (_, down), sums in zip(_FIELDS, _power_tables(len(self.data) + 1), running):
+            own = (sums[ends] - sums[starts]) % np.uint64(prime) * down[starts] % np.uint64(prime)
+            joined = (joined << np.uint64(32)) | own
+        return mix(joined)
 
     def text(self, row: int) -> bytes:
         return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
 
 def slices(
-    column: pa.Array, is_word: np.ndarray = NOT_BLANK, fold: np.ndarray = LOWER, size: int = SLICE_BYTES
+    column: pa.Array, is_word: np.ndarray | None = NOT_BLANK, fold: np.ndarray = LOWER, size: int = SLICE_BYTES
 ) -> Iterator[Slice]:
     """A text column in slices of about ``size`` bytes; a null is an empty text.
 
-    ``fold`` maps bytes first.
+    ``fold`` maps bytes first; without ``is_word`` no words are looked for.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -119,7 +140,13 @@ def slices(
         end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         part = offsets[row : end + 1] - offsets[row]
-        folded = fold[data[offsets[row] : offsets[end]]]
+        folded = data[offsets[row] : offsets[end]]
+        folded = folded if fold is SAME else fold[folded]
+        if is_word is None:
+            nothing = np.zeros(0, dtype=np.int64)
+            yield Slice(row, folded, part, nothing, nothing, np.zeros(len(part), dtype=np.int64))
+            row = end
+            continue
         inside = is_word[folded]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -135,6 +162,32 @@ def slices(
         row = end
 
 
+def distinct(part: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the different byte ranges each one is, where each of those comes first).
+
+    Ranges follow each other without gaps. They are told apart by hash, and bytes are compared.
+    """
+    codes, keys = pd.factorize(part.hashes(part.running(), starts, ends))
+    first = np.full(len(keys), len(codes))
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    if not len(codes):
+        return codes, first
+    sizes, lead = ends - starts, starts[first[codes]]
+    equal = (sizes == sizes[first[codes]]).all()
+    if equal:
+        own = np.arange(starts[0], ends[-1])
+        equal = (part.data[own] == part.data[own + np.repeat(lead - starts, sizes)]).all()
+    if equal:
+        return codes, first
+    places: dict[bytes, int] = {}
+    raw = part.data.tobytes()
+    ranges = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    codes = np.array([places.setdefault(one, len(places)) for one in ranges])
+    first = np.full(len(places), len(codes))
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    return codes, first
+
+
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of every run of ``size`` neighbouring words, in order."""
     count = len(hashes) - size + 1
