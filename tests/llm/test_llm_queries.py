@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered(spark):
     found = check.driver.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in found) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in found) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in found and set(check.driver.oracle_sql()) <= set(found)
 
 

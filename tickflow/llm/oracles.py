@@ -87,3 +87,48 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
     sha256(loss) AS loss_sha256, formatted_chars
 FROM joined
 """
+
+# crc32 by its table, byte by byte; a conversation is the list of its turns' digests and roles.
+PREFIX_TRIE = r"""
+WITH ordered AS (
+    SELECT conv_id, sha256(coalesce(text, '')) || coalesce(role, '') AS said, length(coalesce(text, '')) AS chars,
+        row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))
+        ) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+    SELECT list(list_reduce(
+        list_concat([i], range(8)), lambda a, k: xor(a >> 1, 3988292384 * (a & 1))
+    ) ORDER BY i) AS entries FROM range(256) r(i)
+), named AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS first, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, x: xor(a >> 8, entries[(xor(a, x) & 255) + 1])
+    ), 4294967295) % 6 AS shared
+    FROM (SELECT DISTINCT conv_id FROM ordered), crc
+), items AS (
+    SELECT n.conv_id, 0 AS part, place, said, chars FROM named n JOIN ordered o ON o.conv_id = n.first AND place <= shared
+    UNION ALL
+    SELECT n.conv_id, 1, place, said, chars FROM named n JOIN ordered o ON o.conv_id = n.conv_id AND place > shared
+), listed AS (
+    SELECT conv_id, list(said ORDER BY part, place) AS s, list(chars ORDER BY part, place) AS l FROM items GROUP BY conv_id
+), rebuilt AS (
+    SELECT conv_id, coalesce(s, []::VARCHAR[]) AS s, coalesce(l, []::BIGINT[]) AS l FROM named LEFT JOIN listed USING (conv_id)
+), prefixes AS (
+    SELECT conv_id, s, l, unnest(range(0, len(s) + 1)) AS d FROM rebuilt
+), nodes AS (
+    SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d = 0 THEN 0 ELSE l[d] END) AS chars,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(s) = d), '') AS ends
+    FROM prefixes GROUP BY s[1:d], d
+), children AS (
+    SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY p[1:d - 1]
+), known AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)
+), below AS (
+    SELECT p[1:e] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM known) GROUP BY p[1:e]
+)
+SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, b.n_leaves, b.saved_tokens,
+    sha256(k.ends) AS ends_sha256
+FROM known k JOIN below b USING (p) LEFT JOIN nodes u ON k.d > 0 AND u.p = k.p[1:k.d - 1]
+"""

@@ -13,12 +13,15 @@ from tickflow.llm.decontaminate import decontaminate
 from tickflow.llm.extract import extract_main_text
 from tickflow.llm.licenses import license_scan
 from tickflow.llm.near_dup import near_duplicates
+from tickflow.llm.prefix_trie import prefix_trie
 from tickflow.llm.quality import quality_rules
+from tickflow.llm.quality_votes import quality_votes
 from tickflow.llm.sentence_pieces import encode
 from tickflow.llm.sharding import lookup_table, place
 from tickflow.llm.tables import read
 from tickflow.llm.token_files import token_files
 from tickflow.llm.toxicity import toxicity
+from tickflow.llm.whitening import whiten
 from tickflow.settings import scratch_path
 
 
@@ -102,6 +105,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = (
     op1_sentencepiece,
     op2_sharding,
@@ -113,6 +128,9 @@ _QUERIES = (
     op8_benchmark_decontamination,
     op9_token_files,
     op10_quality_rules,
+    op11_prefix_trie,
+    op12_quality_votes,
+    op13_whitening,
 )
 
 
@@ -125,4 +143,5 @@ def all_sql() -> dict[str, str]:
         "op4_chat_formatting": oracles.CHAT,
         "op7_minhash_near_dedup": oracles.NEAR_DUPLICATES,
         "op8_benchmark_decontamination": oracles.DECONTAMINATION,
+        "op11_prefix_trie": oracles.PREFIX_TRIE,
     }
