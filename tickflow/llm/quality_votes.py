@@ -22,9 +22,9 @@ from tickflow.llm import words
 from tickflow.llm.tables import least_hashed, settle
 from tickflow.llm.toxicity import held_out
 
-LABELLED = 4_000
+LABELLED = 3_000
 """Labelled rows that vote and that the vectors are fitted on, at most; those of least hashed doc_id."""
-WORDS, FORMS = 7 << 10, 1 << 10
+WORDS, FORMS = 3 << 10, 1 << 10
 """Features that words and forms are hashed to."""
 FORM_WEIGHT = 2.0
 RANK, OVERSAMPLE, POWERS = 48, 16, 3
@@ -175,8 +175,8 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     taught = rows.join(F.broadcast(picked), "doc_id").select("doc_id", F.col("label").cast("int"), "text")
     # Rows of one doc_id are copies or clashes; the first text by order stands for it.
     taught = taught.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    sample = settle(taught.mapInArrow(_labelled_features, _LABELLED), "labelled").toPandas()
-    if not len(sample):
+    sample = settle(taught.mapInArrow(_labelled_features, _LABELLED), "labelled")
+    if sample.isEmpty():
         return None
     counts = rows.select("text").mapInArrow(_frequencies, "feature int, df long").groupBy("feature").agg(F.sum("df").alias("df"))
     # At most a row per feature and one.
@@ -186,14 +186,14 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     for feature, df in frequency.items():
         weights[feature] = np.log((1 + total) / (1 + df)) + 0.1
     weights[WORDS:] *= FORM_WEIGHT
-    sample = sample.sort_values(["text_no", "feature"])
-    number, text = np.unique(sample["text_no"].to_numpy(), return_inverse=True)
-    feature, count = sample["feature"].to_numpy(), sample["n"].to_numpy()
+    found = sample.orderBy("text_no", "feature").toArrow()
+    number, text = np.unique(found["text_no"].to_numpy(), return_inverse=True)
+    feature, count = found["feature"].to_numpy(), found["n"].to_numpy()
     label = np.zeros(len(number))
-    label[text] = sample["label"].to_numpy() == 1
+    label[text] = found["label"].to_numpy() == 1
     matrix = np.zeros((len(number), len(weights)), dtype=np.float32)
     matrix[text, feature] = np.log2(1 + count) * weights[feature]
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
+    matrix /= np.maximum(np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None], 1e-9)
     model = Model(weights, principal(matrix, RANK).astype(np.float32), np.zeros((0, 0)), label, float(label.mean()))
     del matrix
     vectors = model.latent(text, feature, count, len(number))
