@@ -1,0 +1,220 @@
+"""What serving keeps between refreshes: shown alerts, archived days, open windows."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from conftest import TRADE_DDL, at, naive, rows_of
+from pyspark.sql import functions as F
+from test_streaming import Feed, drain, to_files
+
+from tickflow import schemas
+from tickflow.operators import metrics as me
+from tickflow.operators import parse as pa
+from tickflow.operators import views
+from tickflow.sources.files import messages_from_files
+from tickflow.streaming import SeenStore, held_windows, manifest, serving, sinks, state_operators
+from tickflow.streaming.manifest import Entry
+from tickflow.streaming.seen import GONE, SHOWN, _absorbed
+
+
+@pytest.fixture
+def trade_feed(spark, tmp_path):
+    return Feed(spark, tmp_path / "trades", TRADE_DDL)
+
+
+LAYOUT = "window_end TIMESTAMP, symbol STRING, percent_change DOUBLE"
+DAY = 86_400
+
+
+def alerts(spark, *rows):
+    return spark.createDataFrame([(None if s is None else at(s), symbol, 2.0) for s, symbol in rows], LAYOUT)
+
+
+def test_folders_stay_few_and_rows_are_rarely_rewritten():
+    folders, rewritten = [], 0
+    for refresh in range(20_000):
+        kept, taken = _absorbed(folders)
+        weight = 1 + sum(e.weight for e in taken)
+        rewritten += weight - 1
+        folders = [*kept, Entry(SHOWN, "d", str(refresh), weight)]
+        assert len(folders) <= 15 and sum(e.weight for e in folders) == refresh + 1
+    assert rewritten <= 15 * 20_000
+
+
+def test_seen_store_over_many_refreshes(spark, tmp_path):
+    store = SeenStore(spark, str(tmp_path / "seen"), alerts(spark).schema)
+    expected, counts, listed = {}, [], []
+    for batch_id in range(12):
+        rows = [(batch_id % 5 * 10, "A"), (batch_id * 10, "B"), (batch_id * 10, "B"), (None, None), (batch_id * DAY, "C")]
+        new = {row for row in rows if row not in expected}
+        expected.update(dict.fromkeys(new, batch_id))
+        counts.append((batch_id, len(rows), len(new)))
+        store.show(alerts(spark, *rows), batch_id)
+        listed.append(Counter(folder.split("day=")[1].split("/")[0] for folder in store.folders()))
+    shown = {(r.window_end, r.symbol): r.batch_id for r in store.shown().collect()}
+    assert shown == {(None if s is None else naive(at(s)), symbol): n for (s, symbol), n in expected.items()}
+    assert store.shown().count() == len(expected)
+    assert sorted(map(tuple, store.counts().collect())) == counts
+    # Far fewer folders than refreshes for the day that every refresh has.
+    assert max(max(found.values()) for found in listed) <= 4
+    assert len(store.folders("counts")) <= 4
+    # Folders that no longer count are removed one refresh later.
+    _, entries = manifest.load(spark, f"{store.path}/manifest")
+    gone = {f"{store.path}/{e.item}" for e in entries if e.kind == GONE}
+    there = {str(p) for p in (tmp_path / "seen" / SHOWN).glob("day=*/upto=*")}
+    assert there <= set(store.folders()) | gone
+
+
+def test_a_refresh_that_is_run_again_changes_nothing(spark, tmp_path):
+    store = SeenStore(spark, str(tmp_path / "seen"), alerts(spark).schema)
+    batches = [alerts(spark, (10, "A"), (20, "B")), alerts(spark, (10, "A"), (30, "C")), alerts(spark, (40, "D"))]
+    for batch_id, batch in enumerate(batches):
+        store.show(batch, batch_id)
+        before = sorted(map(tuple, store.shown().collect())), sorted(map(tuple, store.counts().collect()))
+        store.show(batch, batch_id)
+        assert before == (sorted(map(tuple, store.shown().collect())), sorted(map(tuple, store.counts().collect())))
+    assert sorted(map(tuple, store.counts().collect())) == [(0, 2, 2), (1, 2, 1), (2, 1, 1)]
+
+
+def test_an_empty_refresh_is_counted(spark, tmp_path):
+    store = SeenStore(spark, str(tmp_path / "seen"), alerts(spark).schema)
+    assert store.shown().isEmpty() and store.counts().isEmpty()
+    store.show(alerts(spark), 0)
+    store.show(alerts(spark, (10, "A")), 1)
+    assert sorted(map(tuple, store.counts().collect())) == [(0, 0, 0), (1, 1, 1)]
+
+
+def test_a_lost_manifest_write_leaves_the_one_before(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert manifest.load(spark, path) == (-1, [])
+    first, second = [Entry("day", "d", "a")], [Entry("day", "d", "b", 3), Entry("file", None, "c")]
+    manifest.save(spark, path, 0, first)
+    manifest.save(spark, path, 1, second)
+    assert manifest.load(spark, path) == (1, second) and manifest.load(spark, path, before=1) == (0, first)
+    manifest.remove(spark, f"{path}/slot=1")
+    assert manifest.load(spark, path) == (0, first)
+
+
+def test_an_archived_log_is_read_once(spark, messages, tmp_path):
+    def metric(day, vwap):
+        return {"window_end": f"2024-01-0{day}T00:00:10Z", "symbol": "A", "vwap": vwap}
+
+    batch = messages(*[metric(day, float(day)) for day in range(1, 6)])
+    feed = Feed(spark, tmp_path / "metrics", batch.schema)
+    path, archive = str(tmp_path / "log"), str(tmp_path / "archive")
+
+    def log(more):
+        feed.add(more)
+        rows = serving.result_stream(feed.stream(), schemas.METRIC)
+        drain(serving.start_log(rows, path, str(tmp_path / "c"), drain=True))
+
+    log(batch)
+    days = dt.date(2024, 1, 1), dt.date(2024, 1, 5)
+    serving.compact_log(spark, path, archive, schemas.METRIC, *days)
+    whole = serving.read_log(spark, path, schemas.METRIC, archive=archive)
+    files = whole.inputFiles()
+    assert len([f for f in files if "/archive/" in f]) == 4 and len([f for f in files if "/log/" in f]) == 1
+    assert sorted(rows_of(whole, "vwap")) == [(float(day),) for day in range(1, 6)]
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    version, _ = manifest.load(spark, f"{archive}-manifest")
+    serving.compact_log(spark, path, archive, schemas.METRIC, *days)
+    assert manifest.load(spark, f"{archive}-manifest")[0] == version
+    # What was archived stays when its day is compacted again.
+    log(messages(*[metric(9, 0.0)] * 7, metric(2, 9.0)).filter("offset = 7"))
+    serving.compact_log(spark, path, archive, schemas.METRIC, *days)
+    again = serving.read_log(spark, path, schemas.METRIC, archive=archive)
+    assert sorted(rows_of(again, "vwap")) == [(1.0,), (3.0,), (4.0,), (5.0,), (9.0,)]
+    assert len([f for f in again.inputFiles() if "day=2024-01-02" in f]) == 1
+
+
+def test_held_windows_and_restart(trade_feed, trades, tmp_path):
+    trade_feed.add(trades(("A", 1, 10.0, 1.0), ("A", 12, 20.0, 3.0), ("B", 500, 5.0, 2.0)))
+
+    def run():
+        metrics = me.vwap(trade_feed.stream(), "10 seconds", "10 seconds")
+        return to_files(metrics, tmp_path)
+
+    run()
+    spark, found = trade_feed.spark, str(tmp_path / "out-checkpoint")
+    held = held_windows(spark, found)
+    assert rows_of(held, *schemas.METRIC_COLUMNS) == [(naive(at(510)), "B", 5.0, 2.0)]
+    trade_feed.add(trades(("B", 505, 8.0, 1.0), ("C", 512, 1.0, 0.0)))
+    run()
+    assert sorted(rows_of(held_windows(spark, found), *schemas.METRIC_COLUMNS)) == [
+        (naive(at(510)), "B", 6.0, 3.0), (naive(at(520)), "C", None, 0.0),
+    ]
+    assert rows_of(state_operators(spark, found), "operatorId", "operatorName") == [(0, "stateStoreSave")]
+
+
+def test_chained_windows_equal_single_ones(spark, trade_feed, trades, tmp_path):
+    rows = [("A" if k % 3 else "B", k * 7 % 300, float(k), 1.0) for k in range(60)] + [("A", 900, 1.0, 1.0)]
+    trade_feed.add(trades(*rows))
+    single, _ = to_files(me.vwap(trade_feed.stream(), exact=True), tmp_path / "single")
+    chained, _ = to_files(me.vwap(trade_feed.stream(), exact=True, panes_first=True), tmp_path / "chained")
+    assert sorted(rows_of(chained, *schemas.METRIC_COLUMNS)) == sorted(rows_of(single, *schemas.METRIC_COLUMNS))
+    plan = me.vwap(trade_feed.stream(), panes_first=True)._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.rindex("Aggregate") :]
+    assert "Expand" in plan and "Expand" not in below
+
+
+def test_append_pivot_forgets_what_it_gave(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "metrics", "window_end TIMESTAMP, symbol STRING, vwap DOUBLE")
+    for rows in ([(10, "A", 1.0), (10, "B", 2.0), (20, "A", 3.0)], [(100, "A", 4.0), (20, "B", 5.0)], [(400, "B", 6.0)]):
+        feed.add(spark.createDataFrame([(at(s), symbol, v) for s, symbol, v in rows], "window_end TIMESTAMP, symbol STRING, vwap DOUBLE"))
+    wide = views.wide_series(feed.stream(), "vwap", ["A", "B"], delay="1 minute")
+    out, _ = to_files(wide, tmp_path)
+    assert sorted(rows_of(out, "window_end", "A", "B")) == [
+        (naive(at(10)), 1.0, 2.0), (naive(at(20)), 3.0, 5.0), (naive(at(100)), 4.0, None),
+    ]
+
+
+def test_refreshes_of_bounded_bytes(spark, tmp_path):
+    path = tmp_path / "messages"
+    for size in (5, 4000, 3, 20_000, 8, 1):
+        rows = spark.range(size).select(F.col("id").alias("offset"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("value"))
+        rows.coalesce(1).write.mode("append").parquet(str(path))
+    layout = spark.read.parquet(str(path)).schema
+    bound = 400_000
+    feed = messages_from_files(spark, str(path), True, schema=layout, max_bytes=bound)
+    seen = []
+
+    def note(batch, batch_id):
+        sizes = [(tmp_path / "messages" / f.rsplit("/", 1)[1]).stat().st_size for f in batch.inputFiles()]
+        seen.append((sum(sizes), len(sizes), batch.count()))
+
+    drain(sinks.start_batches(feed, note, str(tmp_path / "c"), drain=True))
+    assert sum(n for *_, n in seen) == 24_017 and len(seen) > 1
+    assert all(total <= bound or files == 1 for total, files, _ in seen)
+    with pytest.raises(ValueError):
+        messages_from_files(spark, str(path), True, max_files=1, max_bytes=1)
+
+
+def test_kafka_waits_for_messages_only_so_long():
+    from tickflow.sources.kafka import kafka_options
+
+    options = kafka_options("k:1", "t", min_messages=1000, longest_wait="5m")
+    assert options["minOffsetsPerTrigger"] == "1000" and options["maxTriggerDelay"] == "5m"
+
+
+def test_marks_cannot_be_forged(messages):
+    texts = ['{"symbol":"A"}],[{"end":1}]]', '{"symbol":"A"}],[{}]] x', '{"symbol":"A"}]] [', '{"symbol":"A"}, {}']
+    for text in texts:
+        assert pa.decode_payload(messages(text.encode()), ["symbol"]).isEmpty()
+
+
+def test_compact_is_a_part_of_the_job(spark, messages, tmp_path, monkeypatch):
+    from tickflow.streaming import job
+
+    rows = messages({"window_end": "2024-01-02T00:00:10Z", "symbol": "A", "vwap": 1.0})
+    feed = Feed(spark, tmp_path / "in", rows.schema)
+    feed.add(rows)
+    for name, result in (("metrics", schemas.METRIC), ("alerts", schemas.ALERT)):
+        decoded = serving.result_stream(feed.stream(), result)
+        drain(serving.start_log(decoded, f"{tmp_path}/{name}", f"{tmp_path}/{name}-c", drain=True))
+    monkeypatch.setattr(job, "build_session", lambda name: spark)
+    job.main(["compact", "--path", str(tmp_path), "--until", "2024-01-04"])
+    for name, result in (("metrics", schemas.METRIC), ("alerts", schemas.ALERT)):
+        archive = f"{tmp_path}/{name}-archive"
+        read = serving.read_log(spark, f"{tmp_path}/{name}", result, archive=archive)
+        assert read.count() == 1 and all("-archive" in f for f in read.inputFiles())

@@ -103,6 +103,7 @@ def vwap(
     delay: str = schemas.WATERMARK_DELAY,
     exact: bool | int = False,
     valid_only: bool = False,
+    panes_first: bool = False,
 ) -> DataFrame:
     """VWAP and volume per symbol and sliding window: (window_end, symbol, vwap, total_volume).
 
@@ -115,14 +116,19 @@ def vwap(
 
     Batch input is summed into panes first and the panes into windows, so the trades are
     not multiplied by length / slide. A stream keeps one aggregation, which serves every
-    output mode, with ``delay`` as its watermark.
+    output mode, with ``delay`` as its watermark. With ``panes_first`` a stream, too, sums panes
+    and then windows of the finished panes, each in a state of its own: for append mode only, and
+    a trade that is late for its pane is then in none of its windows, where one aggregation
+    would still add it to those that are open.
     """
     check_window(length, slide)
     if valid_only:
         trades = trades.filter(F.col("price").isNotNull() & F.col("quantity").isNotNull())
     if trades.isStreaming:
-        window = F.window("event_time", length, slide).alias("window")
         on_time = trades.withWatermark("event_time", delay)
+        if panes_first:
+            return _chained(on_time, length, slide, exact)
+        window = F.window("event_time", length, slide).alias("window")
         return _finish(on_time.groupBy(window, "symbol").agg(*_sums(exact)))
     pane = common_pane(length, slide)
     if pane == common_pane(length, length):
@@ -131,6 +137,18 @@ def vwap(
     return vwap_from_panes(trade_panes(trades, pane, exact), length, slide)
 
 
+def _chained(on_time: DataFrame, length: str, slide: str, exact: bool | int) -> DataFrame:
+    """Windows of finished panes on a stream: the second aggregation takes a pane's event time."""
+    pane = F.window("event_time", common_pane(length, slide)).alias("window")
+    panes = on_time.groupBy(pane, "symbol").agg(*_sums(exact))
+    dated = panes.select(F.window_time("window").alias("pane_time"), "symbol", "notional", "volume")
+    window = F.window("pane_time", length, slide).alias("window")
+    summed = dated.groupBy(window, "symbol").agg(
+        F.sum("notional").alias("notional"), F.sum("volume").alias("volume")
+    )
+    return _finish(summed)
+
+
 def volume(
     trades: DataFrame,
     length: str = schemas.VWAP_SLIDE,

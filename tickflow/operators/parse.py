@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from tickflow import schemas
 from tickflow.functions import event_instant, finite, number, strict_number, utf8
 
 _MALFORMED = "malformed"
+_MARK = f"end-{secrets.token_hex(16)}"
 
 
 def open_json(
@@ -50,23 +52,20 @@ def open_entry(rows: DataFrame, text: Column, layout: T.StructType, prefix: str)
 
     Strict: the text must be one object and nothing else, while a parse of the text itself
     would ignore what follows the first object. So the text is put as the only entry of a
-    list between two keys made from its own hash, which it cannot hold, and parsed once: it
-    is one object if those two keys are all there is, with one entry and none.
+    list, a second list follows with a mark that no text can hold, as every process draws it
+    anew, and both are parsed at once: it is one object if there are these two lists with an
+    entry each and the mark is in its place.
     """
-    hashed = F.md5(text)
-    first, last = hashed, F.reverse(hashed)
-    enclosed = F.concat(F.lit('{"'), first, F.lit('":['), text, F.lit('],"-'), last, F.lit('":[]}'))
-    options = {"allowSingleQuotes": "false"}
-    parsed = F.from_json(enclosed, T.MapType(T.StringType(), T.ArrayType(layout)), options)
-    opened = rows.select("*", F.inline(F.array(F.struct(parsed.alias(f"{prefix}map")))))
-    entries = F.map_values(f"{prefix}map")
-    keys = F.array(first, F.concat(F.lit("-"), last))
-    only = F.get(F.get(entries, 0), 0)
+    enclosed = F.concat(F.lit("[["), text, F.lit(f'],[{{"{_MARK}":1}}]]'))
+    marked = T.StructType([*layout.fields, T.StructField(_MARK, T.IntegerType())])
+    parsed = F.from_json(enclosed, T.ArrayType(T.ArrayType(marked)), {"allowSingleQuotes": "false"})
+    opened = rows.select("*", F.inline(F.array(F.struct(parsed.alias(f"{prefix}lists")))))
+    lists = F.col(f"{prefix}lists")
+    entries, ends = F.get(lists, F.lit(0)), F.get(lists, F.lit(1))
+    only = F.get(entries, F.lit(0))
     one_object = (
-        (F.map_keys(f"{prefix}map") == keys)
-        & (F.size(F.get(entries, 0)) == 1)
-        & (F.size(F.get(entries, 1)) == 0)
-        & only.isNotNull()
+        (F.size(lists) == 2) & (F.size(entries) == 1) & (F.size(ends) == 1)
+        & only.isNotNull() & F.get(ends, F.lit(0))[_MARK].isNotNull()
     )
     ok = F.coalesce(one_object, F.lit(False))
     return opened.select(

@@ -108,19 +108,26 @@ def known_symbols(metrics: DataFrame) -> list[str]:
 
 
 def wide_series(
-    metrics: DataFrame, value: str, symbols: Sequence[str] | None = None, strict: bool = True
+    metrics: DataFrame,
+    value: str,
+    symbols: Sequence[str] | None = None,
+    strict: bool = True,
+    delay: str | None = None,
 ) -> DataFrame:
     """One row per window end and one column per symbol, missing cells NULL.
 
     Rows of other symbols than the listed ones, NULL among them, are left out before anything
     else, and so are window ends that only they have; without a list every symbol is in. Two
     metrics for one cell are an error; ``strict=False`` takes the larger. On streams this
-    needs explicit ``symbols`` and complete mode, and aggregates each column by a condition,
-    as a stream cannot aggregate twice.
+    needs explicit ``symbols`` and aggregates each column by a condition. With a ``delay`` a
+    stream in append mode gives each window end once, when no metric of it can come any more,
+    and then forgets it; without one it needs complete mode, which keeps every row.
     """
     names = known_symbols(metrics) if symbols is None else list(symbols)
     listed = drop_missing_window(metrics).filter(F.col("symbol").isin(names))
     if metrics.isStreaming:
+        if delay is not None:
+            listed = listed.withWatermark("window_end", delay)
         cells = []
         for name in names:
             here = F.col("symbol") == name

@@ -283,10 +283,20 @@ FROM (SELECT DISTINCT refresh FROM d) r LEFT JOIN s ON s.refresh = r.refresh
 GROUP BY r.refresh""",
     "stream_vwap_append": f"""WITH {_vwap(30, 10, having=_PASSED.format(30))}
 SELECT {_METRIC} FROM m""",
+    "stream_vwap_chained": f"""WITH {_vwap(30, 10, having=_PASSED.format(30))}
+SELECT {_METRIC} FROM m""",
+    "stream_open_windows": f"""WITH {_vwap(_HALF, _TEN, having="NOT " + _PASSED.format(_HALF).replace(
+        "max(ts)", "max(date_trunc('milliseconds', ts))"))}
+SELECT {_METRIC} FROM m""",
+    "stream_bounded_refreshes": f"""WITH {_TRADES}
+SELECT symbol, count(*) AS trades, count(*) AS distinct_trades FROM t GROUP BY symbol""",
     "stream_vwap_update": f"WITH {_vwap(_HALF, _TEN)} SELECT {_METRIC} FROM m",
     "stream_vwap_complete": f"WITH {_vwap(_HOUR, _HOUR)} SELECT {_METRIC} FROM m",
     "stream_pivot_complete": f"""WITH {_vwap(_HOUR, _HOUR)}
 SELECT window_end, {_wide('total_volume')} FROM m GROUP BY window_end""",
+    "stream_pivot_append": f"""WITH {_vwap(_HOUR, _HOUR)}
+SELECT window_end, {_wide('total_volume')} FROM m
+WHERE window_end <= (SELECT max(window_end) FROM m) - INTERVAL '1 hour' GROUP BY window_end""",
     "stream_alerts_append": f"""WITH {_alerts(_HOUR, 1.0, 'event_id')}
 SELECT * FROM a WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'""",
     "stream_raw_trades": f"""WITH {_TRADES}

@@ -19,7 +19,7 @@ from tickflow.operators.messages import to_messages
 from tickflow.plans import tables
 from tickflow.settings import scratch_path
 from tickflow.sources.files import messages_from_files
-from tickflow.streaming import serving, sinks
+from tickflow.streaming import serving, sinks, state
 
 def _finish(query) -> None:
     query.awaitTermination()
@@ -56,6 +56,34 @@ def stream_vwap_append(spark, sf_dir):
     return _drain_to_files(me.vwap(trades, exact=True), spark, "vwap-append")
 
 
+def stream_vwap_chained(spark, sf_dir):
+    """Final metrics by two aggregations in a row, so that trades are not multiplied."""
+    trades = pa.parse_trades(_message_stream(spark, sf_dir))
+    return _drain_to_files(me.vwap(trades, exact=True, panes_first=True), spark, "vwap-chained")
+
+
+def stream_open_windows(spark, sf_dir):
+    """The windows still held after a restart at half of the input, read from the checkpoint."""
+    messages = tables.event_messages(tables.read_table(spark, sf_dir, "events"))
+    base = scratch_path(spark, "open-windows")
+    for part in (F.dayofmonth("timestamp") <= 15, F.coalesce(F.dayofmonth("timestamp") > 15, F.lit(True))):
+        messages.filter(part).write.mode("append").parquet(f"{base}/messages")
+        feed = messages_from_files(spark, f"{base}/messages", True, schema=messages.schema)
+        metrics = me.vwap(pa.parse_trades(feed), "30 minutes", "10 minutes", exact=True)
+        _finish(sinks.start_files(metrics, f"{base}/rows", f"{base}/checkpoint", drain=True))
+    return state.held_windows(spark, f"{base}/checkpoint")
+
+
+def stream_bounded_refreshes(spark, sf_dir):
+    """A backlog of uneven files in refreshes of bounded bytes: how many trades came of each symbol."""
+    messages = tables.event_messages(tables.read_table(spark, sf_dir, "events"))
+    base = scratch_path(spark, "bounded")
+    messages.repartitionByRange(12, F.pow(F.dayofmonth("timestamp"), 3)).write.parquet(f"{base}/messages")
+    feed = messages_from_files(spark, f"{base}/messages", True, schema=messages.schema, max_bytes=1 << 18)
+    trades = _drain_to_files(pa.parse_trades(feed), spark, "bounded-rows")
+    return trades.groupBy("symbol").agg(F.count("*").alias("trades"), F.countDistinct("offset").alias("distinct_trades"))
+
+
 def _delivered_batches(
     spark: SparkSession, messages: DataFrame, moment: str, name: str, mode: str, step: Callable
 ) -> DataFrame:
@@ -92,23 +120,42 @@ def stream_vwap_complete(spark, sf_dir):
     return sinks.newest_batch(log)
 
 
-def stream_pivot_complete(spark, sf_dir):
-    """Metric messages to one volume column per symbol, written anew by every refresh."""
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly metrics as messages, with the time that deliveries go by."""
     trades = tables.event_trades(tables.read_table(spark, sf_dir, "events"))
     metrics = me.vwap(trades, "1 hour", "1 hour", exact=True)
     log = tables.result_messages(to_messages(metrics), F.lit(0).cast("bigint"))
     ends = F.get_json_object(F.col("value").cast("string"), "$.window_end")
-    dated = log.withColumn("window_end", F.to_timestamp(ends))
-    kinds = ("click", "error", "purchase", "signup", "view")
+    return log.withColumn("window_end", F.to_timestamp(ends))
+
+
+def stream_pivot_complete(spark, sf_dir):
+    """Metric messages to one volume column per symbol, written anew by every refresh."""
 
     def widened(feed: DataFrame) -> DataFrame:
         decoded = serving.result_stream(feed.drop("window_end"), schemas.METRIC)
-        return vi.wide_series(decoded, "total_volume", kinds)
+        return vi.wide_series(decoded, "total_volume", _KINDS)
 
-    out = _delivered_batches(spark, dated, "window_end", "pivot-complete", "complete", widened)
+    log = _metric_log(spark, sf_dir)
+    out = _delivered_batches(spark, log, "window_end", "pivot-complete", "complete", widened)
     return sinks.newest_batch(out)
 
 
+def stream_pivot_append(spark, sf_dir):
+    """The same rows, each given once when its window end is an hour behind the newest."""
+
+    def widened(feed: DataFrame) -> DataFrame:
+        decoded = serving.result_stream(feed.drop("window_end"), schemas.METRIC)
+        return vi.wide_series(decoded, "total_volume", _KINDS, delay="1 hour")
+
+    log = _metric_log(spark, sf_dir)
+    out = _delivered_batches(spark, log, "window_end", "pivot-append", "append", widened)
+    return out.drop("batch_id")
+
+
 def stream_late_trades(spark, sf_dir):
     """Error events come after all others: late for every window the watermark has passed.
 
@@ -233,9 +280,13 @@ STREAMS = {
     query.__name__: query
     for query in (
         stream_vwap_append,
+        stream_vwap_chained,
+        stream_open_windows,
+        stream_bounded_refreshes,
         stream_vwap_update,
         stream_vwap_complete,
         stream_pivot_complete,
+        stream_pivot_append,
         stream_alerts_append,
         stream_raw_trades,
         stream_late_trades,

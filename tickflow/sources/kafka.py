@@ -16,13 +16,16 @@ def kafka_options(
     group_id: str | None = None,
     max_messages: int | None = None,
     min_partitions: int | None = None,
+    min_messages: int | None = None,
+    longest_wait: str | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Reader options for one topic.
 
     ``max_messages`` bounds what one refresh reads; nothing is skipped, the rest comes with
     the next refresh. ``min_partitions`` splits a large topic partition over several tasks,
-    so one hot symbol does not tie the read to one task. Progress is kept in the query's
+    so one hot symbol does not tie the read to one task. ``min_messages`` lets a refresh wait for so
+    many, but no longer than ``longest_wait`` ("5m"). Progress is kept in the query's
     checkpoint, so no offsets are committed to the group.
     """
     options = {
@@ -36,6 +39,10 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_messages)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
+    if min_messages is not None:
+        options["minOffsetsPerTrigger"] = str(min_messages)
+    if longest_wait is not None:
+        options["maxTriggerDelay"] = longest_wait
     options.update({f"kafka.{name}": value for name, value in (extra or {}).items()})
     return options
 
@@ -59,7 +66,8 @@ def read_messages(
     """A bounded slice of a topic between two sets of offsets, as a batch DataFrame."""
     chosen = kafka_options(servers, topic, starting=starting, **options)
     # Batch reads take all of their offset range; a per-trigger bound does not apply.
-    chosen.pop("maxOffsetsPerTrigger", None)
+    for name in ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay"):
+        chosen.pop(name, None)
     return (
         spark.read.format("kafka").options(**chosen).option("endingOffsets", ending).load()
     )

@@ -10,6 +10,7 @@ from tickflow.streaming.serving import (
     start_log,
     start_new_alerts,
 )
+from tickflow.streaming.seen import SeenStore
 from tickflow.streaming.sinks import (
     append_files,
     await_any,
@@ -22,12 +23,15 @@ from tickflow.streaming.sinks import (
     start_kafka,
     write_kafka,
 )
+from tickflow.streaming.state import held_windows, state_operators
 
 __all__ = [
+    "SeenStore",
     "append_files",
     "await_any",
     "compact_log",
     "display",
+    "held_windows",
     "newest_batch",
     "publish",
     "read_counts",
@@ -45,5 +49,6 @@ __all__ = [
     "start_log",
     "start_new_alerts",
     "start_serving",
+    "state_operators",
     "write_kafka",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -90,27 +91,40 @@ def start_serving(
     return [*queries, serving.start_new_alerts(shown, f"{path}/new-alerts", checkpoint, every)]
 
 
+def compact_serving(spark: SparkSession, path: str, first: date, until: date) -> None:
+    """Gather the days from ``first`` on and before ``until`` of both logs that ``start_serving``
+    keeps below ``path`` in archives beside them; safe to run while it runs, by one at a time."""
+    for name, result in (("metrics", schemas.METRIC), ("alerts", schemas.ALERT)):
+        serving.compact_log(spark, f"{path}/{name}", f"{path}/{name}-archive", result, first, until)
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Metrics and alerts from a topic of trades.")
     parser.add_argument(
         "part",
         nargs="?",
         default="metrics",
-        choices=("metrics", "ingest", "serving"),
-        help="trades to metrics and alerts, feed envelopes to trades, or results to logs",
+        choices=("metrics", "ingest", "serving", "compact"),
+        help="trades to metrics and alerts, feed envelopes to trades, results to logs, or logs to archives",
     )
     parser.add_argument("--feed-topic", default="feed", help="envelopes that ingest reads")
     parser.add_argument("--path", help="folder that serving writes to")
+    parser.add_argument("--since", type=date.fromisoformat, help="first day that compact gathers")
+    parser.add_argument("--until", type=date.fromisoformat, help="the day after its last; today by default")
     parser.add_argument("--every", help="refresh interval, such as '5 seconds'")
     parser.add_argument("--starting", default="latest", help="where a first run begins")
     parser.add_argument("--max-messages", type=int, help="messages per refresh at most")
     parser.add_argument("--min-partitions", type=int, help="tasks per read at least")
     parser.add_argument("--console", action="store_true", help="print interim results too")
     chosen = parser.parse_args(arguments)
-    if chosen.part == "serving" and not chosen.path:
-        parser.error("serving needs --path")
+    if chosen.part in ("serving", "compact") and not chosen.path:
+        parser.error(f"{chosen.part} needs --path")
     settings = Settings()
     spark = build_session("tickflow")
+    if chosen.part == "compact":
+        until = chosen.until or date.today()
+        compact_serving(spark, chosen.path, chosen.since or until - timedelta(days=7), until)
+        return
     options = {
         "starting": chosen.starting,
         "max_messages": chosen.max_messages,

@@ -14,6 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow import schemas
 from tickflow.operators import views
 from tickflow.operators.parse import coerce, decode_payload
+from tickflow.streaming import manifest
+from tickflow.streaming.manifest import Entry
+from tickflow.streaming.seen import SeenStore
 from tickflow.streaming.sinks import start_batches, start_files
 
 _DAY = "day"
@@ -33,9 +36,6 @@ def result_stream(messages: DataFrame, result: T.StructType) -> DataFrame:
     )
 
 
-_SHOWN = T.StructType([*(f for f in schemas.ALERT if f.name in schemas.RESULT_KEY)])
-
-
 def start_new_alerts(
     alerts: DataFrame,
     path: str,
@@ -48,60 +48,31 @@ def start_new_alerts(
     What was shown is the output itself: a refresh is compared with what earlier ones wrote
     for the days of its own alerts, so nothing is held in state and nothing forgotten. Per
     refresh the folder also gets its number of records and of new alerts. A refresh that is
-    run again replaces what it wrote. ``read_shown`` and ``read_counts`` read the two.
+    run again replaces what it wrote. ``read_shown`` and ``read_counts`` read the two; see
+    ``SeenStore`` for how folders stay few.
     """
-    spark = alerts.sparkSession
     columns = [c for c in alerts.columns if c != _DAY]
+    layout = T.StructType([alerts.schema[name] for name in columns])
+    store = SeenStore(alerts.sparkSession, path, layout)
 
     def show(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            dated = batch.select(*columns).withColumn(_DAY, F.to_date("window_end"))
-            earlier = _written(spark, f"{path}/shown", _SHOWN).filter(F.col("batch_id") < batch_id)
-            # Days are partitions, and their list only keeps others from being read.
-            days = [row[0] for row in dated.select(_DAY).distinct().limit(_MOST_DAYS + 1).collect()]
-            if len(days) <= _MOST_DAYS:
-                known = F.col(_DAY).isin([d for d in days if d is not None])
-                earlier = earlier.filter(known | F.col(_DAY).isNull() if None in days else known)
-            first = dated.dropDuplicates(list(schemas.RESULT_KEY))
-            shown = f"{path}/shown/batch_id={batch_id}"
-            views.new_alerts(first, earlier).write.mode("overwrite").partitionBy(_DAY).parquet(shown)
-            written = _written(spark, f"{path}/shown", _SHOWN).filter(F.col("batch_id") == batch_id)
-            counts = views.record_count(batch).crossJoin(
-                written.agg(F.count(F.lit(1)).alias("new_alerts"))
-            )
-            counts.write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
+            store.show(batch.select(*columns), batch_id)
         finally:
             batch.unpersist()
 
-    for part, layout in (("shown", _SHOWN), ("counts", _COUNTS)):
-        # So that the first refresh finds a folder to compare with.
-        spark.createDataFrame([], layout).write.mode("append").parquet(f"{path}/{part}")
     return start_batches(alerts, show, checkpoint, every=every, drain=drain)
 
 
-_COUNTS = T.StructType(
-    [T.StructField("records", T.LongType()), T.StructField("new_alerts", T.LongType())]
-)
-_MOST_DAYS = 366
-
-
-def _written(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    """What batch writers wrote below ``path``, with the batch and, if it has one, the day."""
-    parts = [T.StructField("batch_id", T.LongType())]
-    if layout is not _COUNTS:
-        parts.append(T.StructField(_DAY, T.DateType()))
-    return spark.read.schema(T.StructType([*layout.fields, *parts])).parquet(path)
-
-
 def read_shown(spark: SparkSession, path: str, result: T.StructType = schemas.ALERT) -> DataFrame:
     """The alerts that ``start_new_alerts`` wrote, with the refresh that showed them first."""
-    return _written(spark, f"{path}/shown", result).drop(_DAY)
+    return SeenStore(spark, path, result).shown()
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """One row per refresh of ``start_new_alerts``: batch_id, records, new_alerts."""
-    return _written(spark, f"{path}/counts", _COUNTS)
+    return SeenStore(spark, path, schemas.ALERT).counts()
 
 
 def start_log(
@@ -116,7 +87,7 @@ def start_log(
 
     The log takes the place of state that a display would hold in memory: it outlives the
     display, and each refresh only appends. Repeated deliveries stay in it and are left out
-    when it is read. Every refresh leaves files of its own: ``compact_log`` gathers closed days
+    when it is read. Every refresh leaves files of its own: ``compact_log`` gathers days
     elsewhere, and files older than ``retention`` ("7d") then leave the log.
     """
     dated = results.drop("key").withColumn(_DAY, F.to_date("window_end"))
@@ -124,23 +95,67 @@ def start_log(
     return start_files(dated, path, checkpoint, every, drain, partition_by=[_DAY], extra=extra)
 
 
-def _logged(spark: SparkSession, path: str, result: T.StructType) -> DataFrame:
-    arrival, day = T.StructField("offset", T.LongType()), T.StructField(_DAY, T.DateType())
-    return spark.read.schema(T.StructType([*result.fields, arrival, day])).parquet(path)
+def _layout(result: T.StructType) -> T.StructType:
+    return T.StructType([*result.fields, T.StructField("offset", T.LongType())])
+
+
+def _log_files(spark: SparkSession, path: str, result: T.StructType) -> dict[str, str | None]:
+    """Every file of a log by its name, with the day it is of."""
+    files = spark.read.schema(T.StructType([*_layout(result).fields, T.StructField(_DAY, T.DateType())])).parquet(path).inputFiles()
+    days = {name: name.rsplit("/", 2)[1].removeprefix(f"{_DAY}=") for name in files}
+    return {name: None if day == manifest.NO_DAY else day for name, day in days.items()}
+
+
+def _in_days(day: str | None, first: date | None, until: date | None) -> bool:
+    """Whether a day is in a range; none is where there is no range."""
+    if day is None:
+        return first is None and until is None
+    return (first is None or day >= str(first)) and (until is None or day < str(until))
+
+
+def _archived(archive: str) -> str:
+    return f"{archive.rstrip('/')}-manifest"
 
 
 def compact_log(
     spark: SparkSession, path: str, archive: str, result: T.StructType, first: date, until: date
 ) -> None:
-    """Write the days from ``first`` on and before ``until`` of a log to an archive, once per
-    symbol and window end, in few files. Running it again for the same days replaces them, so
-    deliveries that came late get in."""
-    days = _logged(spark, path, result).filter(
-        (F.col(_DAY) >= F.lit(first)) & (F.col(_DAY) < F.lit(until))
+    """Gather the days from ``first`` on and before ``until`` of a log in an archive, once per
+    symbol and window end, in few files.
+
+    A manifest beside the archive says which of its folders count and which files of the log are
+    in them. Running it again takes in what the log got since, and nothing that was archived is
+    lost when files leave the log. Days without new files are left alone.
+    """
+    layout = _layout(result)
+    version, entries = manifest.load(spark, _archived(archive))
+    files = _log_files(spark, path, result)
+    known = {e.item for e in entries if e.kind == "file"}
+    fresh = {name: day for name, day in files.items() if name not in known and day is not None and _in_days(day, first, until)}
+    if not fresh:
+        return
+    days = set(fresh.values())
+    earlier = [e for e in entries if e.kind == "day" and e.day in days]
+    rows = manifest.read_folders(spark, fresh, layout).unionByName(
+        manifest.read_folders(spark, (f"{archive}/{e.item}" for e in earlier), layout)
     )
-    kept = views.keep_last(days, "offset").repartition(_DAY, F.pmod(F.xxhash64("symbol"), F.lit(4)))
+    version += 1
+    kept = views.keep_last(rows, "offset").withColumn(_DAY, F.to_date("window_end")).withColumn("version", F.lit(version))
+    kept = kept.repartition(_DAY, F.pmod(F.xxhash64("symbol"), F.lit(4)))
     writer = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(_DAY).parquet(archive)
+    writer.partitionBy("version", _DAY).parquet(archive)
+    for entry in entries:
+        if entry.kind == "gone":
+            manifest.remove(spark, f"{archive}/{entry.item}")
+    folders = {day: f"version={version}/{_DAY}={day}" for day in days}
+    # Files that have left the log need not be remembered.
+    manifest.save(spark, _archived(archive), version, [
+        *(e for e in entries if e.kind == "day" and e.day not in days),
+        *(e for e in entries if e.kind == "file" and e.item in files),
+        *(Entry("day", day, item) for day, item in sorted(folders.items()) if manifest.exists(spark, f"{archive}/{item}")),
+        *(Entry("file", day, name) for name, day in sorted(fresh.items())),
+        *(Entry("gone", e.day, e.item) for e in earlier),
+    ])
 
 
 def read_log(
@@ -152,18 +167,26 @@ def read_log(
 ) -> DataFrame:
     """The log with the last delivery per symbol and window end, as the views take it.
 
-    With an ``archive``, its rows count too: a delivery that is in both is the same row.
+    With an ``archive``, what it holds is read from there and only the files that came since from
+    the log, so no row is read twice.
 
     ``since`` leaves out older days before any file is opened, so a display of recent
     windows costs the same however long the log is. Rows without a window end have no day
     and are only part of the whole log.
     """
-    log = _logged(spark, path, result)
-    if archive is not None:
-        log = log.unionByName(_logged(spark, archive, result)).distinct()
-    if since is not None:
-        log = log.filter(F.col(_DAY) >= F.lit(since))
-    return views.keep_last(log.drop(_DAY), "offset").select(*result.fieldNames())
+    if archive is None:
+        dated = T.StructType([*_layout(result).fields, T.StructField(_DAY, T.DateType())])
+        log = spark.read.schema(dated).parquet(path)
+        if since is not None:
+            log = log.filter(F.col(_DAY) >= F.lit(since))
+        log = log.drop(_DAY)
+    else:
+        _, entries = manifest.load(spark, _archived(archive))
+        known = {e.item for e in entries if e.kind == "file"}
+        chosen = [name for name, day in _log_files(spark, path, result).items() if name not in known and _in_days(day, since, None)]
+        chosen += [f"{archive}/{e.item}" for e in entries if e.kind == "day" and _in_days(e.day, since, None)]
+        log = manifest.read_folders(spark, chosen, _layout(result))
+    return views.keep_last(log, "offset").select(*result.fieldNames())
 
 
 def display(
