@@ -150,3 +150,18 @@ def test_window_norms():
     for size in (1, 3, 17, 39):
         exact = [sum((n * weight[codes == c][0]) ** 2 for c, n in Counter(codes[k : k + size].tolist()).items()) for k in range(41 - size)]
         assert np.allclose(_window_squares(codes, weight, size), exact)
+
+
+def test_a_header_above_code_makes_no_licence_file(spark):
+    header = "\n".join(f"# {line}" for line in (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file',
+        "except in compliance with the License.",
+    ))
+    code = "\n".join(f"value_{k} = compute_{k}(first, second)" for k in range(6))
+    rows = [
+        ("a/main.py", f"{header}\n{code}"), ("a/other.py", "print(1)"),
+        ("b/NOTICE", "Copyright 2020 Someone\nReleased under the MIT License."), ("b/x.py", "print(2)"),
+    ]
+    found = {r.path: (r.licence, r.origin) for r in license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found["a/main.py"] == ("Apache-2.0", "own") and found["a/other.py"] == (None, "none")
+    assert found["b/NOTICE"] == ("MIT", "own") and found["b/x.py"] == ("MIT", "inherited")

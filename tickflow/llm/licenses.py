@@ -32,6 +32,8 @@ from tickflow.llm import words
 from tickflow.llm.tables import settle
 
 THRESHOLD, FILE_THRESHOLD = 0.75, 0.6
+HOLDER_WORDS, HOLDER_REST = 1.25, 8
+"""A licence file has at most so many times the words of the notice it is, and a few more."""
 COMMON_WORDS = 20_000
 """Most frequent words whose weights every task knows."""
 WHOLE = -1
@@ -140,7 +142,7 @@ def _counted(unit: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _line_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many lines have each word; under word 0, how many lines have any."""
     for batch in batches:
-        for part in words.slices(batch["text"], words.ALPHANUMERIC, size=1 << 22):
+        for part in words.slices(batch["text"], words.ALPHANUMERIC):
             line, hashes = _lines(part), part.hashes(part.running())
             _, word, _ = _counted(line, hashes)
             codes, keys = pd.factorize(word)
@@ -149,7 +151,7 @@ def _line_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["word", "n"])
 
 
-_UNITS = "row_id long, path string, unit long, word long, n long"
+_UNITS = "row_id long, path string, unit long, word long, n long, weight double"
 
 
 class _Templates:
@@ -270,17 +272,20 @@ def _near_units(weights: dict[int, float], in_notices: set[int], least: float, m
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in words.slices(batch["text"], words.ALPHANUMERIC, size=1 << 22):
+            for part in words.slices(batch["text"], words.ALPHANUMERIC):
                 paths = batch["path"].slice(part.first, len(part))
                 rows = next_row + np.arange(len(part))
                 next_row += len(part)
                 empty = pa.nulls(len(part), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(rows), paths, empty, empty, empty], _names)
+                unknown = pa.nulls(len(part), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(rows), paths, empty, empty, empty, unknown], _names)
 
                 def found(text, number, word, count):
+                    place, met = look(word)
                     columns = (number.astype(np.int64), word.view(np.int64), count.astype(np.int64))
+                    value = pa.array(count * weight[place], mask=~met)
                     return pa.RecordBatch.from_arrays(
-                        [pa.array(rows[text]), paths.take(pa.array(text)), *map(pa.array, columns)], _names
+                        [pa.array(rows[text]), paths.take(pa.array(text)), *map(pa.array, columns), value], _names
                     )
 
                 owners, hashes, line = part.owners(), part.hashes(part.running()), _lines(part)
@@ -303,7 +308,7 @@ def _near_units(weights: dict[int, float], in_notices: set[int], least: float, m
     return search
 
 
-_names = ["row_id", "path", "unit", "word", "n"]
+_names = ["row_id", "path", "unit", "word", "n", "weight"]
 
 
 def licensed_units(
@@ -313,7 +318,7 @@ def licensed_units(
 ) -> tuple[DataFrame, DataFrame]:
     """(files, matches) of settled tables: row_id and path of every row, and for every unit near
     a template row_id, path, unit, level (0: near a full text), licence (of the nearest of that
-    level, the first by name among equals) and score."""
+    level, the first by name among equals), score, and whether the unit is hardly more than that."""
     spark = files.sparkSession
     source = files.select("path", "text")
     counts = source.mapInArrow(_line_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -348,28 +353,38 @@ def licensed_units(
     most = 1 + math.log((1 + lines) / 2) if lines else 1.0
     search = _near_units(idf | weights, in_notices, least, max(least, most), _Templates(collected, full))
     found = settle(source.mapInArrow(search, _UNITS), "near")
-    units = settle(weighed(found.filter("unit IS NOT NULL")), "weighed")
-    norms = units.groupBy("row_id", "path", "unit").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    sizes = vectors.groupBy("number").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"))
+    # Common words and those of templates were weighed where they were found; no word is hot among the rest.
+    counted = found.filter("unit IS NOT NULL")
+    rare = weighed(counted.filter("weight IS NULL").drop("weight")).select(*_names)
+    units = settle(counted.filter("weight IS NOT NULL").unionByName(rare), "weighed")
+    norms = units.groupBy("row_id", "path", "unit").agg(
+        F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"), F.sum("n").alias("n_words")
+    )
+    sizes = vectors.groupBy("number").agg(
+        F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"), F.sum("n").alias("template_words")
+    )
     sides = vectors.join(sizes, "number").select(
-        "number", "full", "licence", F.col("word").alias("w"), (F.col("weight") / F.col("size")).alias("share")
+        "number", "full", "licence", "template_words", F.col("word").alias("w"),
+        (F.col("weight") / F.col("size")).alias("share"),
     )
     # A line is compared with notices, a whole file with all, a window with the template it is cut for.
     window_of = (F.lit(WHOLE - 1) - F.col("unit")) % len(full)
     meant = F.when(F.col("unit") < WHOLE, F.col("number") == window_of).otherwise((F.col("unit") == WHOLE) | ~F.col("full"))
     dots = units.join(F.broadcast(sides), (F.col("word") == F.col("w")) & meant).groupBy(
-        "row_id", "unit", "number", "full", "licence"
+        "row_id", "unit", "number", "full", "licence", "template_words"
     ).agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     cosine = F.least(F.lit(1.0), F.round(F.col("dot") / F.col("norm"), 9))
     scored = dots.join(norms, ["row_id", "unit"]).withColumn("score", cosine)
     reached = F.when(F.col("unit") == WHOLE, FILE_THRESHOLD).otherwise(THRESHOLD)
     level = F.when(F.col("full"), 0).otherwise(1).alias("level")
+    # A header above code is near its notice as a whole file, but is not most of the file.
+    whole = F.col("full") | (F.col("n_words") <= HOLDER_WORDS * F.col("template_words") + HOLDER_REST)
     near = scored.filter(F.col("score") >= reached).groupBy("row_id", "path", "unit").agg(
-        F.min(F.struct(level, (-F.col("score")).alias("minus"), "licence")).alias("best")
+        F.min(F.struct(level, (-F.col("score")).alias("minus"), "licence", (~whole).alias("header"))).alias("best")
     )
     matches = near.select(
         "row_id", "path", "unit", F.col("best.level").alias("level"), F.col("best.licence").alias("licence"),
-        (-F.col("best.minus")).alias("score"),
+        (-F.col("best.minus")).alias("score"), (~F.col("best.header")).alias("whole"),
     )
     return found.filter("unit IS NULL").select("row_id", "path"), settle(matches, "matches")
 
@@ -402,7 +417,7 @@ def license_scan(
     rows, matches = licensed_units(files, templates, full_texts)
     order = F.struct("level", (-F.col("score")).alias("minus"), "licence", "unit")
     own = matches.groupBy("row_id").agg(F.min(order).alias("own"))
-    holders = matches.filter((F.col("unit") == WHOLE) & F.col("path").isNotNull())
+    holders = matches.filter((F.col("unit") == WHOLE) & F.col("whole") & F.col("path").isNotNull())
     nearest = F.min(F.struct("level", (-F.col("score")).alias("minus"), "licence", F.col("path").alias("licence_path")))
     held = settle(holders.groupBy(F.expr(_directory("path")).alias("directory")).agg(nearest.alias("held")), "held")
 
