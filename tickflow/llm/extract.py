@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.html_blocks import Block, blocks
+from tickflow.llm.html_blocks import Around, Block, blocks
 from tickflow.llm.page_samples import labelled_pages
 
 FEATURES = 1 << 13
@@ -31,19 +31,31 @@ def _number(feature: str) -> int:
     return zlib.crc32(feature.encode()) % FEATURES
 
 
+def _own(block: Block) -> list[int]:
+    """The numbers of the features of a block's text and innermost tag."""
+    words = block.text.count(" ") + 1
+    names = ["any", f"tag {block.around.tag}", f"words {min(words.bit_length(), 7)}"]
+    names.append(f"linked {round(block.linked * 4)}")
+    names.append(f"ends {block.text.endswith(_END_MARKS)}")
+    names += ["copyright"] * ("©" in block.text)
+    return [_number(name) for name in names]
+
+
+def _added(element: Around) -> list[int]:
+    """The numbers of the features that an element adds to those of the elements around it."""
+    names = [f"in {element.tag}"] * element.new_tag + [f"named {name}" for name in element.names]
+    return [_number(name) for name in names]
+
+
 def features(found: Sequence[Block]) -> list[list[int]]:
     """The numbers of each block's features."""
     described = []
     for block in found:
-        words = block.text.count(" ") + 1
-        last = block.tags[-1] if block.tags else ""
-        names = ["any", f"tag {last}", f"words {min(words.bit_length(), 7)}"]
-        names += [f"in {tag}" for tag in set(block.tags)]
-        names += [f"named {name}" for name in block.names]
-        names.append(f"linked {round(block.linked * 4)}")
-        names.append(f"ends {block.text.endswith(_END_MARKS)}")
-        names += ["copyright"] * ("©" in block.text)
-        described.append([_number(name) for name in names])
+        numbers, element = _own(block), block.around
+        while element.parent is not None:
+            numbers += _added(element)
+            element = element.parent
+        described.append(numbers)
     return described
 
 
@@ -54,11 +66,30 @@ class Chain:
     weights: np.ndarray
     moves: np.ndarray
 
+    def scores(self, found: Sequence[Block]) -> list[float]:
+        """What speaks for main text in each block; every element around blocks is weighed once."""
+        weighed: dict[int, float] = {}
+
+        def weight(numbers: list[int]) -> float:
+            return float(self.weights[numbers].sum()) if numbers else 0.0
+
+        def around(element: Around) -> float:
+            path = []
+            while element.parent is not None and id(element) not in weighed:
+                path.append(element)
+                element = element.parent
+            total = weighed.get(id(element), 0.0)
+            for inner in reversed(path):
+                total = weighed[id(inner)] = total + weight(_added(inner))
+            return total
+
+        return [weight(_own(block)) + around(block.around) for block in found]
+
     def decode(self, found: Sequence[Block]) -> list[bool]:
         """The likeliest states of a page's blocks, all at once."""
         if not found:
             return []
-        scores = [float(self.weights[numbers].sum()) for numbers in features(found)]
+        scores = self.scores(found)
         (rest_rest, rest_main), (main_rest, main_main) = self.moves.tolist()
         rest, main, back = 0.0, scores[0], []
         for score in scores[1:]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 # Fixed values of HTML: elements that only style text, elements without an end, elements whose
@@ -13,7 +14,7 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style".split())
+DROPPED = frozenset("script style template textarea".split())
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",),
     "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -38,27 +39,60 @@ _LABEL = re.compile(r"""\bdata-main(="no")?""", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
+class Around:
+    """An open element: its tag, the class, id and role words it adds to those around it, whether
+    its tag is new among those around it, whether it is marked as main text, and its parent."""
+
+    parent: Around | None
+    tag: str
+    names: tuple[str, ...]
+    new_tag: bool
+    marked: bool
+
+
+@dataclass(slots=True)
 class Block:
-    """A run of text, the tags and the class, id and role words around it from the outside in,
-    how much of it is inside links, and whether its page marks it as main text."""
+    """A run of text, the element it stands in, and how much of it is inside links."""
 
     text: str
-    tags: tuple[str, ...]
-    names: frozenset[str]
+    around: Around
     linked: float
-    marked: bool
+
+    @property
+    def marked(self) -> bool:
+        return self.around.marked
+
+    def _path(self) -> list[Around]:
+        found, at = [], self.around
+        while at.parent is not None:
+            found.append(at)
+            at = at.parent
+        return found[::-1]
+
+    @property
+    def tags(self) -> tuple[str, ...]:
+        """The tags around it from the outside in."""
+        return tuple(element.tag for element in self._path())
+
+    @property
+    def names(self) -> frozenset[str]:
+        """The class, id and role words around it."""
+        return frozenset(name for element in self._path() for name in element.names)
 
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, white space collapsed, character references decoded.
 
-    Scripts, styles, comments and markup are dropped; a ``br`` is white space. Missing end tags
-    are supplied, stray ones ignored, and a tag that the page's end cuts off is dropped. Elements
-    marked ``data-main`` are main text, for labelled pages, up to ones marked ``data-main="no"``.
+    Scripts, styles, templates, text fields, comments and markup are dropped; a ``br`` is white space.
+    Missing end tags are supplied, stray ones ignored, and a tag that the page's end cuts off is
+    dropped. Elements marked ``data-main`` are main text, for labelled pages, up to ones marked
+    ``data-main="no"``. Time and memory grow with the page's length, however deep it is.
     """
     found: list[Block] = []
-    stack: list[tuple[str, frozenset[str], bool]] = [("", frozenset(), False)]
+    stack: list[Around] = [Around(None, "", (), False, False)]
+    depths: dict[str, list[int]] = {}
+    open_names: dict[str, int] = {}
     held: list[str] = []
     links = linked = 0
 
@@ -67,19 +101,33 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(held)).split())
         if text:
             total = sum(len(part) for part in held)
-            tags = tuple(tag for tag, _, _ in stack[1:])
-            found.append(Block(text, tags, stack[-1][1], linked / total, stack[-1][2]))
+            found.append(Block(text, stack[-1], linked / total))
         held.clear()
         linked = links = 0
 
-    def close(names: tuple[str, ...] | frozenset[str], until: frozenset[str] = frozenset()) -> None:
+    def innermost(names: Iterable[str]) -> int:
+        return max((depths[name][-1] for name in names if depths.get(name)), default=0)
+
+    def close(names: Iterable[str], until: Iterable[str] = ()) -> None:
         """End the innermost element of one of these names, and all inside it."""
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in names:
-                del stack[depth:]
-                return
-            if stack[depth][0] in until:
-                return
+        depth = innermost(names)
+        if depth <= innermost(until):
+            return
+        for element in stack[depth:]:
+            depths[element.tag].pop()
+            for name in element.names:
+                del open_names[name]
+        del stack[depth:]
+
+    def begin(tag: str, rest: str) -> None:
+        own = {word.lower() for values in _NAMES.findall(rest) for value in values for word in _WORD.findall(value)}
+        label = _LABEL.search(rest)
+        marked = label[1] is None if label else stack[-1].marked
+        new = tuple(sorted(name for name in own if name not in open_names))
+        open_names.update(dict.fromkeys(new, 1))
+        opened = depths.setdefault(tag, [])
+        stack.append(Around(stack[-1], tag, new, not opened, marked))
+        opened.append(len(stack) - 1)
 
     position = 0
     while position < len(page):
@@ -116,9 +164,6 @@ def blocks(page: str) -> list[Block]:
             if name in ENDS:
                 close(ENDS[name], frozenset(("ul", "ol", "dl", "table", "select")))
             if name not in VOID:
-                _, names, marked = stack[-1]
-                own = [word.lower() for values in _NAMES.findall(rest) for value in values for word in _WORD.findall(value)]
-                label = _LABEL.search(rest)
-                stack.append((name, names.union(own) if own else names, label[1] is None if label else marked))
+                begin(name, rest)
     flush()
     return found
