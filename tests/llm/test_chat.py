@@ -87,3 +87,15 @@ def test_plan_is_native(spark):
     rows = spark.createDataFrame([(1, 0, "user", "x")], LAYOUT)
     plan = chat.chat_digest(chat.format_chats(rows))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    import time
+
+    text = "é日😀\n" * 1_000_000
+    rows = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    start = time.time()
+    found = chat.chat_digest(chat.format_chats(rows)).head()
+    assert time.time() - start < 30
+    assert found.loss_chars == 4_000_000
+    assert found.loss_sha256 == digest(text)

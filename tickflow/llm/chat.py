@@ -59,14 +59,12 @@ def message_events(conversations: DataFrame, delta_chars: int = DELTA_CHARS) ->
     opened = F.struct(
         F.lit(0).alias("seq"), F.lit(OPEN).alias("event"), F.col("role").alias("role"), F.lit("").alias("text")
     )
-    starts = F.expr(f"sequence(1, greatest(char_length(text), 1), {int(delta_chars)})")
+    # One pass over the text, however long it is.
+    cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{int(delta_chars)}}}"), F.lit(0))
     deltas = F.transform(
-        starts,
-        lambda at, number: F.struct(
-            (number + 1).alias("seq"),
-            F.lit(DELTA).alias("event"),
-            F.col("role").alias("role"),
-            F.substring(F.col("text"), at, F.lit(delta_chars)).alias("text"),
+        cut,
+        lambda text, number: F.struct(
+            (number + 1).alias("seq"), F.lit(DELTA).alias("event"), F.col("role").alias("role"), text.alias("text")
         ),
     )
     return turns.select("conv_id", "message", F.inline(F.concat(F.array(opened), deltas)))
