@@ -92,3 +92,53 @@ def test_mixture_frequencies_are_of_all_documents(spark, corpus, monkeypatch):
     full = tox.learn(docs, labels)
     monkeypatch.setattr(tox, "UNLABELLED", 20)
     assert tox.learn(docs, labels).features.tolist() == full.features.tolist()
+
+
+def test_training_follows_the_risk_estimator(monkeypatch):
+    """Against a plain reading of the non-negative risk: its two parts, and steps along slopes
+    that are found by differences."""
+    import numpy as np
+
+    from tickflow.llm import toxicity as t
+
+    rng = np.random.default_rng(5)
+    size, prior = 3, 0.4
+
+    def side(count, shift):
+        table = np.maximum(rng.normal(shift, 1, (count, size)), 0)
+        text, feature = np.nonzero(table)
+        return table, (text, feature, table[text, feature], count)
+
+    (p_table, positive), (u_table, unlabelled) = side(6, 1.0), side(9, 0.2)
+    draws = np.random.default_rng(11)
+    p_share, u_share = draws.exponential(size=6), draws.exponential(size=9)
+    p_share, u_share = p_share / p_share.sum(), u_share / u_share.sum()
+
+    def parts(theta):
+        p, u = p_table @ theta[:-1] + theta[-1], u_table @ theta[:-1] + theta[-1]
+        soft = lambda x: sum(np.log1p(np.exp(-abs(v))) + max(v, 0) for v in [x])
+        plus = prior * sum(w * soft(-v) for w, v in zip(p_share, p))
+        minus = sum(w * soft(v) for w, v in zip(u_share, u)) - prior * sum(w * soft(v) for w, v in zip(p_share, p))
+        return plus, minus
+
+    def slope(of, theta):
+        found = []
+        for at in range(size + 1):
+            step = np.zeros(size + 1)
+            step[at] = 1e-6
+            found.append((of(theta + step) - of(theta - step)) / 2e-6)
+        return np.array(found)
+
+    theta, first, second, turned = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1), 0
+    steps = 120
+    for step in range(1, steps + 1):
+        _, minus = parts(theta)
+        turned += minus < 0
+        g = slope(lambda x: sum(parts(x)), theta) if minus >= 0 else slope(lambda x: -parts(x)[1], theta)
+        g[:-1] += t.DECAY * theta[:-1]
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g**2
+        theta = theta - t.RATE * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    monkeypatch.setattr(t, "STEPS", steps)
+    weights, bias = t.train(positive, unlabelled, size, prior, seed=11)
+    assert np.allclose([*weights, bias], theta, atol=1e-3)
+    assert turned, "the correction was never needed"

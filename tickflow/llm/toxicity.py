@@ -28,7 +28,7 @@ from tickflow.llm import words
 from tickflow.llm.tables import least_hashed, settle
 
 POSITIVES, UNLABELLED = 4_000, 8_000
-"""Documents that classifiers are trained on at most; those of least hashed doc_id are taken."""
+"""Documents that classifiers are trained on at most, unless the caller says otherwise."""
 CLASSIFIERS, STEPS, RATE, DECAY = 3, 200, 0.05, 1e-4
 FEATURE_BITS, PREFIXES = 20, (4, 5)
 MIN_DOCUMENTS, MIN_DEVIATIONS = 4, 5.0
@@ -167,17 +167,28 @@ def train(positive: Side, unlabelled: Side, size: int, prior: float, seed: int)
     return weights[:-1], float(weights[-1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    prior: float | None = None,
+    positives: int = POSITIVES,
+    unlabelled: int = UNLABELLED,
+) -> Model:
     """Train on the rows that are not held out.
 
+    The gradient steps see at most ``positives`` toxic documents and ``unlabelled`` others, those of
+    least hashed doc_id. A feature gets a weight if at least MIN_DOCUMENTS of the toxic ones have it
+    and their share is more than MIN_DEVIATIONS above that of all documents not held out; fewer
+    documents could not pass the second test with any confidence.
+
     ``prior`` is the share of toxic documents; by default the share among those rows' labels
     less one standard error, as too large a prior makes the risk call clean texts toxic.
     """
     known = labels.select(F.col("doc_id").cast("long"), "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.filter(~held_out())
-    toxic = least_hashed(known.filter("toxic = 1").select("doc_id").distinct(), POSITIVES)
+    toxic = least_hashed(known.filter("toxic = 1").select("doc_id").distinct(), positives)
     numbers = docs.select(F.col("doc_id").cast("long")).filter("doc_id IS NOT NULL").filter(~held_out())
-    mixture = least_hashed(numbers.distinct(), UNLABELLED)
+    mixture = least_hashed(numbers.distinct(), unlabelled)
     if prior is None:
         share, size = known.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count("*")).head()
         prior = max(share - (share * (1 - share) / size) ** 0.5, share / 2) if size else 0.0
@@ -237,7 +248,13 @@ def _scorer(model: Model):
     return score
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> DataFrame:
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    prior: float | None = None,
+    positives: int = POSITIVES,
+    unlabelled: int = UNLABELLED,
+) -> DataFrame:
     """Score every whole text for toxicity.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic; other columns are never looked
@@ -247,9 +264,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None) ->
     Null and empty texts get the score of a text without telling words. Repeated rows are scored
     alike. Rows without doc_id are scored but not learned from, and labels without doc_id or
     toxic teach nothing; a document with conflicting labels counts as toxic. Without toxic
-    labels, every score is 0. No documents give no rows.
+    labels, every score is 0. No documents give no rows. ``prior``, ``positives`` and
+    ``unlabelled`` are as in ``learn``.
     """
-    model = learn(docs, labels, prior)
+    model = learn(docs, labels, prior, positives, unlabelled)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     scored = rows.mapInArrow(_scorer(model), "doc_id long, score double")
     return scored.select(
