@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm import words
-from tickflow.llm.tables import BROADCAST_ROWS, settle, small
+from tickflow.llm.tables import BROADCAST_ROWS, free_names, settle, small
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
+FILTER_BITS = 25
+"""The filter of known shingles has 2**FILTER_BITS bits, 4 MB, whatever the benchmark's size."""
 
 # Fixed by the contract: words after A-Z have become a-z.
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,26 +60,49 @@ def _shingle_hashes(texts: list[str], size: int) -> np.ndarray:
     return np.concatenate([words.runs(row, size) for row in hashes])
 
 
+def _probes(hashes: np.ndarray) -> list[np.ndarray]:
+    """The two bits of each hash in the filter."""
+    low = np.uint64((1 << FILTER_BITS) - 1)
+    return [(hashes & low).astype(np.int64), ((hashes >> np.uint64(FILTER_BITS)) & low).astype(np.int64)]
+
+
+def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, bits): what the shingles set in the filter's 64-bit words."""
+    for batch in batches:
+        sizes = batch["n"].to_numpy()
+        for size in np.unique(sizes).tolist():
+            texts = batch["shingle"].filter(pa.array(sizes == size)).to_pylist()
+            at = np.unique(np.concatenate(_probes(_shingle_hashes(texts, size))))
+            bits = np.uint64(1) << (at & 63).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+
 class _Known:
-    """A set of hashes that tells most others apart by one look into a small table."""
+    """A Bloom filter of shingles: it has every known one, and few others.
+
+    What passes by chance meets no window's shingle in the join, so the filter decides only how
+    much is written.
+    """
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.unique(hashes)
-        self.table = np.zeros(1 << 20, dtype=bool)
-        self.table[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+    def __init__(self, words_of_bits: list[tuple[int, int]]):
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+        for word, bits in words_of_bits:
+            self.bits[word] = np.uint64(bits % 2**64)
 
     def among(self, hashes: np.ndarray) -> np.ndarray:
-        """Positions of the hashes that are in the set."""
-        likely = np.flatnonzero(self.table[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.hashes, hashes[likely]), len(self.hashes) - 1)
-        return likely[self.hashes[place] == hashes[likely]]
+        """Positions of the hashes that may be known."""
+        likely = np.arange(len(hashes))
+        for probe in _probes(hashes):
+            at = probe[likely]
+            likely = likely[(self.bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1]
+        return likely
 
 
 _PLACES = "row_id long, doc_id long, n_words long, at long, lead int, shingle string, around string"
 
 
 def _places(known, sizes: list[int]):
-    """Finds every place of a known shingle, of any shingle if ``known`` is None.
+    """Finds every place of a shingle that passes the filter.
 
     Every document also gives one row without a shingle. ``around`` holds the words that a
     window over the place can cover, ``lead`` of them before it. Row numbers are unique in the
@@ -96,7 +121,7 @@ def _places(known, sizes: list[int]):
                 hashes, owners = part.hashes(part.running()), part.owners()
                 for size in sizes:
                     runs = words.runs(hashes, size)
-                    at = np.arange(len(runs)) if known is None else known.value.among(runs)
+                    at = known.value.among(runs)
                     at = at[owners[at] == owners[at + size - 1]] if len(at) else at
                     if not len(at):
                         continue
@@ -146,11 +171,9 @@ def contaminated_spans(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, Da
         shingles.select("shingle", F.least("size", F.lit(SHINGLE_WORDS)).alias("n")).distinct(), "tokens"
     )
     sizes = sorted(row["n"] for row in tokens.select("n").distinct().collect())
-    known = None
-    if tokens.count() <= BROADCAST_ROWS:
-        listed = tokens.collect()
-        hashes = [_shingle_hashes([r["shingle"] for r in listed if r["n"] == n], n) for n in sizes]
-        known = spark.sparkContext.broadcast(_Known(np.concatenate([np.zeros(1, np.uint64), *hashes])))
+    bits = tokens.mapInArrow(_filter_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # At most 2**FILTER_BITS / 64 rows.
+    known = spark.sparkContext.broadcast(_Known(bits.collect()))
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
     found = settle(source.mapInArrow(_places(known, sizes), _PLACES), "places")
@@ -234,7 +257,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     Each row is judged by its own text, whatever its doc_id: the search runs under a 64-bit hash of
     the text, which is the same wherever the row is read again, and equal texts have one verdict.
     """
+    (name,) = free_names(docs, "lost")
     named = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    lost = decontaminate(named, items).filter("contaminated").select(F.col("doc_id").alias("lost")).distinct()
+    lost = decontaminate(named, items).filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
     lost = small(settle(lost, "lost"))
-    return docs.join(lost, F.xxhash64("text") == F.col("lost"), "left_anti").select(*docs.columns)
+    return docs.join(lost, F.xxhash64("text") == F.col(name), "left_anti").select(*docs.columns)

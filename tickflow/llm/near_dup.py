@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tickflow.llm import words
 from tickflow.llm.components import components
-from tickflow.llm.tables import settle, small
+from tickflow.llm.tables import free_names, settle, small
 
 SHINGLE_WORDS = 5
 CHUNKS, CHUNK, ERRORS, BITS = 16, 5, 1, 16
@@ -244,13 +244,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     lost = settle(near_duplicates(docs).filter("NOT kept").select("doc_id").distinct(), "lost")
     kept = docs.join(small(lost), "doc_id", "left_anti").select(*docs.columns)
-    named = kept.select(F.col("doc_id").alias("copied_id"), F.xxhash64("text").alias("copied_text"))
-    counted = named.groupBy("copied_id", "copied_text").agg(F.count("*").alias("n"))
+    copied_id, copied_text = free_names(docs, "copied_id", "copied_text")
+    named = kept.select(F.col("doc_id").alias(copied_id), F.xxhash64("text").alias(copied_text))
+    counted = named.groupBy(copied_id, copied_text).agg(F.count("*").alias("n"))
     copied = settle(counted.filter("n > 1").drop("n"), "copied")
     if copied.isEmpty():
         return kept
     # Only rows that have copies are dealt out with their texts.
-    same = F.col("doc_id").eqNullSafe(F.col("copied_id")) & (F.xxhash64("text") == F.col("copied_text"))
+    same = F.col("doc_id").eqNullSafe(F.col(copied_id)) & (F.xxhash64("text") == F.col(copied_text))
     copies = kept.join(small(copied), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(small(copied), same, "left_anti").unionByName(copies)
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm import words
-from tickflow.llm.tables import least_hashed, settle, small
+from tickflow.llm.tables import free_names, least_hashed, settle, small
 
 SAMPLE_ROWS = 20_000
 """Labelled rows that rules are learned from at most; the rows of least hash are taken."""
@@ -292,9 +292,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     Judged row by row, without a join; only labelled documents are counted twice, all of them, as
     the sample is drawn after the base's rejects are known.
     """
-    known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("known"))
+    (name,) = free_names(docs, "known")
+    known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias(name))
     known = small(settle(known.distinct(), "known"))
-    taught = docs.join(known, F.col("doc_id").cast("long") == F.col("known"), "left_semi")
+    taught = docs.join(known, F.col("doc_id").cast("long") == F.col(name), "left_semi")
     measured = settle(statistics(taught, F.col("doc_id").cast("long")), "statistics")
     rules = learned_rules(measured, labels, sample_rows)
     judged = statistics(docs, F.struct(*(F.col(name) for name in docs.columns)).alias("row"), whole_rows=True)

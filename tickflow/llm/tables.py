@@ -35,6 +35,17 @@ def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the frame has such a column."""
+    taken, found = {column.lower() for column in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def least_hashed(rows: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     """At most ``limit`` rows, those whose hashed key is least: a repeatable sample.
 
