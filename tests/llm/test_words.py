@@ -46,9 +46,9 @@ def test_long_texts_do_not_overflow(monkeypatch):
 
 
 def test_distinct_compares_bytes(monkeypatch):
-    part = first_slice(["abcab", "abc"], is_word=None)
-    starts, ends = np.array([0, 2, 3, 5, 7]), np.array([2, 3, 5, 7, 8])
-    expected = ([0, 1, 0, 0, 1], [0, 1])
+    part = first_slice(["abcabcabc-abcabcabd", "abcabcabc" + "x" * 100 + "y" * 100], is_word=None)
+    starts, ends = np.array([0, 9, 10, 19, 28, 128]), np.array([9, 10, 19, 28, 128, 228])
+    expected = ([0, 1, 2, 0, 3, 4], [0, 1, 2, 4, 5])
     assert tuple(x.tolist() for x in words.distinct(part, starts, ends)) == expected
     monkeypatch.setattr(words, "mix", lambda x: x * np.uint64(0))  # every hash meets every other
     assert tuple(x.tolist() for x in words.distinct(part, starts, ends)) == expected

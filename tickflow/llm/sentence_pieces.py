@@ -240,24 +240,24 @@ def encode_units(units: DataFrame, model: str) -> DataFrame:
 
 
 class _Listed:
-    """Different units, found by hash; bytes are compared."""
+    """Different units, found by their keys; bytes are compared."""
 
     def __init__(self, units: pa.Array):
         # One slice of all, however long.
         self.part = next(words.slices(units, None, words.SAME, 1 << 62), None)
         if self.part is not None:
             self.starts, self.ends = self.part.offsets[:-1], self.part.offsets[1:]
-            hashes = self.part.hashes(self.part.running(), self.starts, self.ends)
-            self.order = np.argsort(hashes)
-            self.hashes = hashes[self.order]
+            keys = words.unit_keys(self.part, self.starts, self.ends)
+            self.order = np.argsort(keys)
+            self.keys = keys[self.order]
 
     def places(self, part: words.Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the byte ranges of a slice are listed."""
         if not len(starts):
             return np.zeros(0, dtype=np.int64)
         if self.part is not None:
-            wanted = part.hashes(part.running(), starts, ends)
-            place = self.order[np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)]
+            wanted = words.unit_keys(part, starts, ends)
+            place = self.order[np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)]
             sizes = ends - starts
             if (sizes == self.ends[place] - self.starts[place]).all():
                 shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())

@@ -162,21 +162,54 @@ def slices(
         row = end
 
 
+_FIRST_BYTES = np.array([(1 << 8 * size) - 1 for size in range(9)], dtype=np.uint64)
+_HASHED = np.uint64(0xFF << 56)
+_SHORT = 64
+
+
+def unit_keys(part: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each byte range: up to seven bytes are told by it, longer ones are hashed.
+
+    Ranges of up to ``_SHORT`` bytes are taken eight bytes at a time.
+    """
+    sizes = ends - starts
+    padded = np.concatenate([part.data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(part.data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    found = eight[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]
+    found |= sizes.astype(np.uint64) << np.uint64(56)
+    long = np.flatnonzero(sizes > 7)
+    if len(long):
+        size, at = sizes[long], starts[long]
+        hashed = size.astype(np.uint64)
+        for done in range(0, min(int(size.max()), _SHORT), 8):
+            left = np.clip(size - done, 0, 8)
+            open_ones = np.flatnonzero(left)
+            taken = eight[at[open_ones] + done] & _FIRST_BYTES[left[open_ones]]
+            hashed[open_ones] = mix(hashed[open_ones] * np.uint64(0x9E3779B97F4A7C15) + taken)
+        huge = np.flatnonzero(size > _SHORT)
+        if len(huge):
+            hashed[huge] = part.hashes(part.running(), at[huge], at[huge] + size[huge])
+        found[long] = hashed | _HASHED
+    return found
+
+
 def distinct(part: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(which of the different byte ranges each one is, where each of those comes first).
 
-    Ranges follow each other without gaps. They are told apart by hash, and bytes are compared.
+    Ranges are told apart by ``unit_keys``; where those are hashes, bytes are compared.
     """
-    codes, keys = pd.factorize(part.hashes(part.running(), starts, ends))
+    codes, keys = pd.factorize(unit_keys(part, starts, ends))
     first = np.full(len(keys), len(codes))
     first[codes[::-1]] = np.arange(len(codes))[::-1]
     if not len(codes):
         return codes, first
-    sizes, lead = ends - starts, starts[first[codes]]
-    equal = (sizes == sizes[first[codes]]).all()
+    lead = first[codes]
+    hashed = np.flatnonzero((keys[codes] >= _HASHED) & (lead != np.arange(len(codes))))
+    sizes = (ends - starts)[hashed]
+    equal = (sizes == (ends - starts)[lead[hashed]]).all()
     if equal:
-        own = np.arange(starts[0], ends[-1])
-        equal = (part.data[own] == part.data[own + np.repeat(lead - starts, sizes)]).all()
+        own = np.repeat(starts[hashed] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        equal = (part.data[own] == part.data[own + np.repeat(starts[lead[hashed]] - starts[hashed], sizes)]).all()
     if equal:
         return codes, first
     places: dict[bytes, int] = {}
