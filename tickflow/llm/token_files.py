@@ -22,9 +22,9 @@ from tickflow.llm import simple8b, words
 END_ID = 0
 BLOCK_IDS = 1 << 16
 """A block ends with the document that reaches this many ids."""
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 1_500_000
 """Encoded units of text that a Python worker remembers, before it starts anew."""
-_SLICE_BYTES = 1 << 22
+_SLICE_BYTES = 1 << 23
 
 _BLOCKS = "shard int, block int, first long, n_ids long, n_docs long, payload binary"
 _workers: dict[str, _Encoder] = {}
