@@ -21,47 +21,71 @@ _HEADER = struct.Struct("<4sIQII")
 _MAGIC = b"S8B1"
 
 
+def _runs_of(flags: np.ndarray, count: int) -> np.ndarray:
+    """Where ``count`` neighbouring flags are all set, by the place of the first."""
+    width = 1
+    while 2 * width <= count:
+        flags, width = flags[:-width] & flags[width:], 2 * width
+    return flags[: len(flags) - (count - width)] & flags[count - width :] if width < count else flags
+
+
 def _selectors(ids: np.ndarray) -> np.ndarray:
     """For every position the packing that takes most ids from there on."""
-    size = len(ids)
+    size, top = len(ids), int(ids.max(initial=0))
     chosen = np.where(ids < np.uint64(1 << 60), 15, 0).astype(np.int8)
-    open_at = np.flatnonzero(chosen)
     # What fits more ids of fewer bits also fits fewer of more bits, so candidates only shrink.
     for selector in range(14, 0, -1):
         count, bits = PACKINGS[selector]
-        open_at = open_at[open_at + count <= size]
-        if not len(open_at):
+        if count > size:
+            break
+        if top >> bits == 0:
+            chosen[: size - count + 1] = selector
+            continue
+        fits = _runs_of(ids < np.uint64(1 << bits), count)
+        if not fits.any():
             break
-        if len(open_at) * count < size:
-            fits = (ids[open_at[:, None] + np.arange(count)] < np.uint64(1 << bits)).all(axis=1)
-        else:
-            wide = np.zeros(size + 1, dtype=np.int32)
-            np.cumsum(ids >= np.uint64(1 << bits), out=wide[1:])
-            fits = wide[open_at + count] == wide[open_at]
-        open_at = open_at[fits]
-        chosen[open_at] = selector
+        chosen[: len(fits)][fits] = selector
     return chosen
 
 
+_DOUBLINGS = 6
+
+
+def _heads(jump: np.ndarray) -> np.ndarray:
+    """The places met when jumping from 0 on, ``jump`` being where each place leads.
+
+    Jumps of 2, 4, 8 and more steps are taken for all places at once; only the longest are walked
+    one by one, and what they pass over is filled in by the shorter ones.
+    """
+    size = len(jump)
+    steps = [np.append(np.minimum(jump, size), size)]
+    for _ in range(_DOUBLINGS):
+        steps.append(steps[-1][steps[-1]])
+    longest, walked, at = steps.pop(), [], 0
+    while at < size:
+        walked.append(at)
+        at = int(longest[at])
+    heads = np.array(walked, dtype=np.int64)
+    for step in reversed(steps):
+        heads = np.stack([heads, step[heads]], axis=1).ravel()
+    return heads[heads < size]
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, escapes) of unsigned 64-bit ids."""
     ids = ids.astype(np.uint64)
     chosen = _selectors(ids)
-    jump = (np.arange(len(ids)) + _COUNTS[chosen]).tolist()
-    heads, at, size = [], 0, len(jump)
-    take = heads.append
-    while at < size:
-        take(at)
-        at = jump[at]
-    heads = np.array(heads, dtype=np.int64)
+    heads = _heads(np.arange(len(ids)) + _COUNTS[chosen])
     selectors = chosen[heads].astype(np.uint64)
     words = selectors << np.uint64(60)
     for selector in np.unique(selectors).tolist():
         count, bits = PACKINGS[selector]
         if bits:
             own = np.flatnonzero(selectors == selector)
+            firsts, packed = heads[own], words[own]
             for place in range(count):
-                words[own] |= ids[heads[own] + place] << np.uint64(place * bits)
+                packed |= ids[firsts + place] << np.uint64(place * bits)
+            words[own] = packed
     return words, ids[heads[selectors == 0]]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -112,9 +113,11 @@ class _Encoder:
         codes, first = words.distinct(part, starts, ends)
         raw = part.data.tobytes()
         listed = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        new = [unit for unit in listed if unit not in self.place]
-        self._learn(new)
-        places = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[codes]
+        places = np.fromiter(map(self.place.get, listed, repeat(-1)), np.int64, len(listed))
+        fresh, known = np.flatnonzero(places < 0), len(self.offsets) - 1
+        self._learn([listed[at] for at in fresh.tolist()])
+        places[fresh] = known + np.arange(len(fresh))
+        places = places[codes]
         sizes = self.offsets[places + 1] - self.offsets[places]
         ends_out = np.cumsum(sizes)
         shift = np.repeat(self.offsets[places] - (ends_out - sizes), sizes)
