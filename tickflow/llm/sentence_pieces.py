@@ -31,6 +31,11 @@ BUCKET_BYTES = 1 << 25
 """Text that is put together in one task at the end, or the longest text if that is more."""
 UNITS_PER_TASK = 50_000
 _SLICE_BYTES = 1 << 20
+_PARTITION_BITS = 24
+_LISTED_PARTITIONS = 12
+"""Of so many bits' worth of input partitions the buckets of a unit are listed together."""
+_ANSWERS = 1 << 18
+"""Answers that are put together by bucket before they are sent."""
 
 
 def _normal(text: str) -> Column:
@@ -41,7 +46,7 @@ def _normal(text: str) -> Column:
 
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, words.Slice]]:
     """Slices of the texts with the bucket they belong to: neighbours of one input partition."""
-    bucket, held = TaskContext.get().partitionId() << 24, 0
+    bucket, held = TaskContext.get().partitionId() << _PARTITION_BITS, 0
     for batch in batches:
         for part in words.slices(batch["text"], None, words.SAME, _SLICE_BYTES):
             if held and held + len(part.data) > BUCKET_BYTES:
@@ -92,7 +97,10 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_LATTICE = "unit string, size int, lattice array<struct<start:int,stop:int,number:int,before:array<int>,ids:array<int>>>"
+_LATTICE = (
+    "unit string, buckets array<long>, size int, "
+    "lattice array<struct<start:int,stop:int,number:int,before:array<int>,ids:array<int>>>"
+)
 
 
 def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -125,6 +133,7 @@ def _link_edges(model: str):
             column = edges["unit"].combine_chunks()
             heads = column.is_valid().to_numpy(zero_copy_only=False)
             units = column.drop_null()
+            buckets = edges["buckets"].combine_chunks().filter(pa.array(heads))
             unit = np.cumsum(heads) - 1
             start, length, number = (edges[name].to_numpy().astype(np.int64) for name in ("start", "length", "id"))
             end = start + length
@@ -187,10 +196,11 @@ def _link_edges(model: str):
             yield pa.RecordBatch.from_arrays(
                 [
                     units,
+                    buckets,
                     pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(firsts), lattice),
                 ],
-                ["unit", "size", "lattice"],
+                ["unit", "buckets", "size", "lattice"],
             )
 
     return link
@@ -215,11 +225,11 @@ _VITERBI = """
 
 
 def encode_units(units: DataFrame, model: str) -> DataFrame:
-    """(unit, ids) of distinct, non-empty units of text."""
+    """(unit, buckets, ids) of non-empty units of text and the buckets they are in."""
     spark, known = units.sparkSession, pieces.load(model)
     listed = pd.DataFrame([(text, known.ids[text]) for text in known.halves], columns=["piece", "id"])
     table = F.broadcast(spark.createDataFrame(listed, "piece string, id int"))
-    sized = units.select("unit", F.char_length("unit").alias("size"))
+    sized = units.select("unit", "buckets", F.char_length("unit").alias("size"))
     # Of the lengths a substring may have, only those that pieces of such a beginning have.
     lengths = f"from_json('{json.dumps(known.lengths())}', 'array<array<int>>')"
     begun = f"cast(crc32(substring(unit, start + 1, {pieces.BEGINNING})) % {pieces.BEGINNINGS} AS int)"
@@ -229,24 +239,83 @@ def encode_units(units: DataFrame, model: str) -> DataFrame:
             length -> named_struct('start', start, 'length', length, 'piece', substring(unit, start + 1, length))
         )))
     """)
-    exploded = sized.select("unit", F.inline(substrings))
+    exploded = sized.select("unit", "buckets", F.inline(substrings))
     edges = exploded.join(table, "piece", "left").filter("id IS NOT NULL OR length = 1")
-    # Named at its first edge only, so that the name is not sent with each.
-    name = F.when((F.col("start") == 0) & (F.col("length") == 1), F.col("unit")).alias("unit")
-    rows = edges.select(name, "start", "length", F.coalesce("id", F.lit(-1)).alias("id"))
+    # Named at its first edge only, so that name and buckets are not sent with each.
+    named = [F.when((F.col("start") == 0) & (F.col("length") == 1), F.col(c)).alias(c) for c in ("unit", "buckets")]
+    rows = edges.select(*named, "start", "length", F.coalesce("id", F.lit(-1)).alias("id"))
     lattices = rows.mapInArrow(_link_edges(model), _LATTICE)
     kind = "smallint" if len(known.texts) < 1 << 15 else "int"
-    return lattices.select("unit", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
+    return lattices.select("unit", "buckets", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of units, those of many units of one bucket as one compressed value.
+
+    Pieces spell the unit they make, so its text is not sent along.
+    """
+    codec, held, n_held = pa.Codec("zstd"), [], 0
+
+    def packed() -> pa.RecordBatch:
+        found = pa.Table.from_batches(held)
+        buckets, ids = (found[name].combine_chunks() for name in ("buckets", "ids"))
+        flat, firsts = ids.flatten().to_numpy().astype("<i4"), ids.offsets.to_numpy().astype(np.int64)
+        firsts -= firsts[0]
+        owner = np.repeat(np.arange(len(found)), np.diff(buckets.offsets.to_numpy()))
+        bucket = buckets.flatten().to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        bucket, owner = bucket[order], owner[order]
+        sizes = np.diff(firsts)[owner]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(firsts[owner] - (ends - sizes), sizes)
+        flat, bounds = flat[shift + np.arange(len(shift))], np.append(0, ends)
+        heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        stops = np.append(heads[1:], len(bucket))
+        n_ids = bounds[stops] - bounds[heads]
+        small = sizes.astype("<i4")
+        payloads = [
+            codec.compress(small[a:b].tobytes() + flat[bounds[a] : bounds[b]].tobytes(), asbytes=True)
+            for a, b in zip(heads.tolist(), stops.tolist())
+        ]
+        columns = [pa.array(bucket[heads]), pa.array(stops - heads), pa.array(n_ids), pa.array(payloads, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "n_units", "n_ids", "payload"])
+
+    for batch in batches:
+        # Smaller parts of a batch whose units are in very many buckets.
+        while len(batch):
+            ends = np.cumsum(pc.list_value_length(batch["buckets"]).to_numpy())
+            taken = max(1, int(np.searchsorted(ends, _ANSWERS - n_held, side="right")))
+            held.append(batch.slice(0, taken))
+            n_held += int(ends[min(taken, len(batch)) - 1])
+            batch = batch.slice(taken)
+            if n_held >= _ANSWERS or len(batch):
+                yield packed()
+                held, n_held = [], 0
+    if held:
+        yield packed()
+
+
+def _answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, where each unit's begin and end) of the rows of a bucket."""
+    codec, sizes, ids = pa.Codec("zstd"), [], []
+    for row in table.to_batches():
+        for n_units, n_ids, payload in zip(row["n_units"].to_pylist(), row["n_ids"].to_pylist(), row["payload"]):
+            raw = np.frombuffer(codec.decompress(payload.as_buffer(), 4 * (n_units + n_ids)), dtype="<i4")
+            sizes.append(raw[:n_units])
+            ids.append(raw[n_units:])
+    flat = np.concatenate([np.zeros(0, np.int32), *ids])
+    return flat, np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int32), *sizes]), dtype=np.int64))
 
 
 class _Listed:
     """Different units, found by their keys; bytes are compared."""
 
-    def __init__(self, units: pa.Array):
-        # One slice of all, however long.
-        self.part = next(words.slices(units, None, words.SAME, 1 << 62), None)
-        if self.part is not None:
-            self.starts, self.ends = self.part.offsets[:-1], self.part.offsets[1:]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.part = None
+        if len(offsets) > 1:
+            none = np.zeros(0, dtype=np.int64)
+            self.part = words.Slice(0, data, offsets, none, none, np.zeros_like(offsets))
+            self.starts, self.ends = offsets[:-1], offsets[1:]
             keys = words.unit_keys(self.part, self.starts, self.ends)
             self.order = np.argsort(keys)
             self.keys = keys[self.order]
@@ -274,12 +343,11 @@ class _Listed:
 
 
 def _put_together(model: str, decoded: bool):
-    def join(texts: pa.Table, units: pa.Table) -> pa.Table:
+    def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
         cuts, texts_of = pieces.load(model).cuts(), _texts_of(model)
-        found = _Listed(units["unit"].combine_chunks())
-        lists = units["ids"].combine_chunks()
-        flat, offsets = lists.flatten().to_numpy().astype(np.int32), lists.offsets.to_numpy()
-        offsets = offsets - offsets[0]
+        flat, offsets = _answers(answers)
+        spelled, ends = _spelling(model)(flat)
+        found = _Listed(spelled, ends[offsets])
         doc_ids, results, read_back = [], [], []
         for payload in texts["payload"]:
             batch = pa.ipc.open_stream(payload.as_buffer()).read_all().combine_chunks().to_batches()
@@ -323,18 +391,20 @@ def encode(docs: DataFrame, model: str, scanned: bool = False, decoded: bool = F
         rows = settle(rows, "texts")
     texts = rows.select("doc_id", _normal("text").alias("text"))
     wanted = texts.mapInArrow(_distinct_units(model), "unit string, bucket long")
-    units = settle(wanted.groupBy("unit").agg(F.collect_list("bucket").alias("buckets")), "units")
-    dealt = units.select("unit").repartition(1 + units.count() // UNITS_PER_TASK)
-    encoded = settle(encode_units(dealt, model), "encoded")
-    answers = encoded.join(units, "unit").select(F.explode("buckets").alias("bucket"), "unit", "ids")
+    # A unit that is everywhere is listed, and encoded, once for so many buckets.
+    listed = wanted.groupBy("unit", F.shiftright("bucket", _PARTITION_BITS + _LISTED_PARTITIONS).alias("chunk"))
+    units = settle(listed.agg(F.collect_list("bucket").alias("buckets")).drop("chunk"), "units")
+    dealt = units.repartition(1 + units.count() // UNITS_PER_TASK)
+    encoded = settle(encode_units(dealt, model).select("buckets", "ids"), "encoded")
+    answers = encoded.mapInArrow(_by_bucket, "bucket long, n_units long, n_ids long, payload binary")
     packed = texts.mapInArrow(_pack_texts, "bucket long, payload binary")
     together = packed.groupBy("bucket").cogroup(answers.groupBy("bucket"))
     layout = "doc_id long, ids array<int>" + ", decoded string" * decoded
     return together.applyInArrow(_put_together(model, decoded), layout)
 
 
-def _texts_of(model: str):
-    """A function from the ids of some texts and where each begins and ends to the texts."""
+def _spelling(model: str):
+    """A function from ids to the bytes they spell and where each id's bytes end, after a 0."""
     known = pieces.load(model)
     texts = [text.encode() if text in known.ids else b"" for text in known.texts]
     for byte, number in enumerate(known.byte_ids):
@@ -344,14 +414,24 @@ def _texts_of(model: str):
     begins = np.cumsum(sizes) - sizes
     flat = np.frombuffer(b"".join(texts), dtype=np.uint8)
 
-    def join(ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+    def spell(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(ids) and not 0 <= ids.min() <= ids.max() < len(texts):
             raise ValueError("an id is out of the model's range")
         own = sizes[ids]
         ends = np.append(0, np.cumsum(own))
         shift = np.repeat(begins[ids] - ends[:-1], own)
-        whole = flat[shift + np.arange(len(shift))].tobytes()
-        cuts = ends[bounds].tolist()
+        return flat[shift + np.arange(len(shift))], ends
+
+    return spell
+
+
+def _texts_of(model: str):
+    """A function from the ids of some texts and where each begins and ends to the texts."""
+    spell = _spelling(model)
+
+    def join(ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        spelled, ends = spell(ids)
+        whole, cuts = spelled.tobytes(), ends[bounds].tolist()
         return [whole[a:b].decode(errors="replace").removeprefix(" ") for a, b in zip(cuts, cuts[1:])]
 
     return join
