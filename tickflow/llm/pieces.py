@@ -39,7 +39,7 @@ class Pieces:
             parts, last = self._merged(text)
             if len(parts) == 1:
                 self.halves[text] = last
-        self._compatible: dict[int, bool] = {}
+        self._number_merges()
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """A short text's tokens and the last merge, by the definition of BPE."""
@@ -102,15 +102,50 @@ class Pieces:
             else:
                 took_y, y = rank_y, self.halves[y][0]
 
-    def all_compatible(self, codes: list[int]) -> list[bool]:
-        """``compatible`` for pairs given as left * number of pieces + right, remembered."""
-        if len(self._compatible) > 100_000:
-            self._compatible.clear()
-        known, size = self._compatible, len(self.texts)
-        for code in codes:
-            if code not in known:
-                known[code] = self.compatible(*divmod(code, size))
-        return [known[code] for code in codes]
+    def _number_merges(self) -> None:
+        """Tables of the merges by number, which ``all_compatible`` walks along.
+
+        The pieces come first, then characters that are halves of pieces and none themselves.
+        """
+        numbers = dict(zip(reversed(self.texts), reversed(range(len(self.texts))))) | self.ids
+        for half in (half for pair in self.halves.values() if pair for half in pair):
+            numbers.setdefault(half, len(numbers) + len(self.texts))
+        self._size = max(len(self.texts), 1 + max(numbers.values()))
+        self._left, self._right = np.zeros((2, self._size), dtype=np.int64)
+        self._rank = np.full(self._size, -1.0)
+        for text, pair in self.halves.items():
+            if pair:
+                number = numbers[text]
+                self._left[number], self._right[number] = numbers[pair[0]], numbers[pair[1]]
+                self._rank[number] = self.ranks[text]
+        merges = {}
+        for text, rank in self.ranks.items():
+            for at in range(1, len(text)):
+                if text[:at] in numbers and text[at:] in numbers:
+                    merges[numbers[text[:at]] * self._size + numbers[text[at:]]] = rank
+        self._merge_keys = np.array(sorted(merges), dtype=np.int64)
+        self._merge_ranks = np.array([merges[key] for key in self._merge_keys.tolist()])
+
+    def all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``compatible`` of pairs of pieces, step by step for all that are still undecided."""
+        good, open_ones = np.ones(len(left), dtype=bool), np.arange(len(left))
+        took_left, took_right = np.full((2, len(left)), np.inf)
+        while len(open_ones) and len(self._merge_keys):
+            keys = left * self._size + right
+            place = np.minimum(np.searchsorted(self._merge_keys, keys), len(self._merge_keys) - 1)
+            rank = np.where(self._merge_keys[place] == keys, self._merge_ranks[place], np.inf)
+            merged = (rank < took_left) & (rank <= took_right)
+            good[open_ones[merged]] = False
+            rank_left, rank_right = self._rank[left], self._rank[right]
+            go_left = rank_left > rank_right
+            took_left = np.where(go_left, rank_left, took_left)
+            took_right = np.where(go_left, took_right, rank_right)
+            left = np.where(go_left, self._right[left], left)
+            right = np.where(go_left, right, self._left[right])
+            going = ~merged & ((rank_left >= 0) | (rank_right >= 0))
+            open_ones, left, right = open_ones[going], left[going], right[going]
+            took_left, took_right = took_left[going], took_right[going]
+        return good
 
 
 @lru_cache(maxsize=4)

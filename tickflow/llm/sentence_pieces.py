@@ -85,7 +85,7 @@ def _distinct_units(model: str):
 
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each slice as one compressed value."""
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
     for bucket, batch, part in _bucketed(batches):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
@@ -157,7 +157,7 @@ def _link_edges(model: str):
             free = (left < 0) | (right < 0)
             codes, keys = pd.factorize(np.where(free, -1, left * vocabulary + right), use_na_sentinel=False)
             good = np.ones(len(keys), dtype=bool)
-            good[keys >= 0] = known.all_compatible(keys[keys >= 0].tolist())
+            good[keys >= 0] = known.all_compatible(*np.divmod(keys[keys >= 0], vocabulary))
             fits = good[codes] if len(codes) else np.zeros(0, dtype=bool)
             before, after = before[fits], after[fits]
             # Edges that no chain of compatible ones takes to the end of their unit are on no path.
@@ -233,13 +233,10 @@ def encode_units(units: DataFrame, model: str) -> DataFrame:
     # Of the lengths a substring may have, only those that pieces of such a beginning have.
     lengths = f"from_json('{json.dumps(known.lengths())}', 'array<array<int>>')"
     begun = f"cast(crc32(substring(unit, start + 1, {pieces.BEGINNING})) % {pieces.BEGINNINGS} AS int)"
-    substrings = F.expr(f"""
-        flatten(transform(sequence(0, size - 1), start -> transform(
-            filter({lengths}[{begun}], length -> length <= size - start),
-            length -> named_struct('start', start, 'length', length, 'piece', substring(unit, start + 1, length))
-        )))
-    """)
-    exploded = sized.select("unit", "buckets", F.inline(substrings))
+    begins = sized.select("unit", "buckets", "size", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("start"))
+    ranges = begins.select("unit", "buckets", "size", "start", F.explode(F.expr(f"{lengths}[{begun}]")).alias("length"))
+    substring = F.expr("substring(unit, start + 1, length)").alias("piece")
+    exploded = ranges.filter("length <= size - start").select("unit", "buckets", "start", "length", substring)
     edges = exploded.join(table, "piece", "left").filter("id IS NOT NULL OR length = 1")
     # Named at its first edge only, so that name and buckets are not sent with each.
     named = [F.when((F.col("start") == 0) & (F.col("length") == 1), F.col(c)).alias(c) for c in ("unit", "buckets")]
