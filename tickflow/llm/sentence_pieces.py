@@ -31,6 +31,7 @@ BUCKET_BYTES = 1 << 25
 """Text that is put together in one task at the end, or the longest text if that is more."""
 UNITS_PER_TASK = 50_000
 _SLICE_BYTES = 1 << 20
+_EDGES = 100_000
 _PARTITION_BITS = 24
 _LISTED_PARTITIONS = 12
 """Of so many bits' worth of input partitions the buckets of a unit are listed together."""
@@ -74,8 +75,8 @@ def _distinct_units(model: str):
             starts, ends, _, first = _units(part, cuts)
             raw = part.data.tobytes()
             listed = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-            texts = [unit.decode() for unit in listed if unit not in seen]
-            seen.update(listed)
+            texts = [unit for unit in listed if unit not in seen]
+            seen.update(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()), pa.array(np.full(len(texts), bucket))], ["unit", "bucket"]
             )
@@ -104,17 +105,20 @@ _LATTICE = (
 
 
 def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Edges in batches that hold all edges of their units."""
+    """Edges in tables of some ``_EDGES`` rows that hold all edges of their units."""
     held: list[pa.RecordBatch] = []
+    n_held = 0
     for batch in batches:
-        if not len(batch):
-            continue
-        heads = np.flatnonzero(batch["unit"].is_valid().to_numpy(zero_copy_only=False))
-        last = int(heads[-1]) if len(heads) else 0
-        if len(heads) and (held or last):
-            yield pa.Table.from_batches([*held, batch.slice(0, last)])
-            held = []
-        held.append(batch.slice(last))
+        last = 0
+        if n_held + len(batch) >= _EDGES:
+            heads = np.flatnonzero(batch["unit"].is_valid().to_numpy(zero_copy_only=False))
+            last = int(heads[-1]) if len(heads) else 0
+            if len(heads) and (held or last):
+                yield pa.Table.from_batches([*held, batch.slice(0, last)])
+                held, n_held = [], 0
+        if last < len(batch):
+            held.append(batch.slice(last))
+            n_held += len(batch) - last
     if held:
         yield pa.Table.from_batches(held)
 
