@@ -31,7 +31,7 @@ BUCKET_BYTES = 1 << 25
 """Text that is put together in one task at the end, or the longest text if that is more."""
 UNITS_PER_TASK = 50_000
 _SLICE_BYTES = 1 << 20
-_EDGES = 100_000
+_SPELLED_IDS = 1 << 16
 _PARTITION_BITS = 24
 _LISTED_PARTITIONS = 12
 """Of so many bits' worth of input partitions the buckets of a unit are listed together."""
@@ -75,8 +75,8 @@ def _distinct_units(model: str):
             starts, ends, _, first = _units(part, cuts)
             raw = part.data.tobytes()
             listed = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-            texts = [unit for unit in listed if unit not in seen]
-            seen.update(texts)
+            texts = [unit.decode() for unit in listed if unit not in seen]
+            seen.update(listed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()), pa.array(np.full(len(texts), bucket))], ["unit", "bucket"]
             )
@@ -105,20 +105,17 @@ _LATTICE = (
 
 
 def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Edges in tables of some ``_EDGES`` rows that hold all edges of their units."""
+    """Edges in batches that hold all edges of their units."""
     held: list[pa.RecordBatch] = []
-    n_held = 0
     for batch in batches:
-        last = 0
-        if n_held + len(batch) >= _EDGES:
-            heads = np.flatnonzero(batch["unit"].is_valid().to_numpy(zero_copy_only=False))
-            last = int(heads[-1]) if len(heads) else 0
-            if len(heads) and (held or last):
-                yield pa.Table.from_batches([*held, batch.slice(0, last)])
-                held, n_held = [], 0
-        if last < len(batch):
-            held.append(batch.slice(last))
-            n_held += len(batch) - last
+        if not len(batch):
+            continue
+        heads = np.flatnonzero(batch["unit"].is_valid().to_numpy(zero_copy_only=False))
+        last = int(heads[-1]) if len(heads) else 0
+        if len(heads) and (held or last):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
     if held:
         yield pa.Table.from_batches(held)
 
@@ -347,7 +344,7 @@ def _put_together(model: str, decoded: bool):
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
         cuts, texts_of = pieces.load(model).cuts(), _texts_of(model)
         flat, offsets = _answers(answers)
-        spelled, ends = _spelling(model)(flat)
+        spelled, ends = _spelled(_spelling(model), flat)
         found = _Listed(spelled, ends[offsets])
         doc_ids, results, read_back = [], [], []
         for payload in texts["payload"]:
@@ -426,6 +423,17 @@ def _spelling(model: str):
     return spell
 
 
+def _spelled(spell, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``spell`` gives for many ids, some at a time to bound its working arrays."""
+    found, ends, done = [np.zeros(0, dtype=np.uint8)], [np.zeros(1, dtype=np.int64)], 0
+    for at in range(0, len(ids), _SPELLED_IDS):
+        data, stops = spell(ids[at : at + _SPELLED_IDS])
+        found.append(data)
+        ends.append(stops[1:] + done)
+        done += len(data)
+    return np.concatenate(found), np.concatenate(ends)
+
+
 def _texts_of(model: str):
     """A function from the ids of some texts and where each begins and ends to the texts."""
     spell = _spelling(model)
