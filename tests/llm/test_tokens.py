@@ -106,3 +106,17 @@ def test_compatible_pairs_are_what_merging_leaves():
         left, right = rng.choice(listed), rng.choice(listed)
         merged = known._merged(left + right)[0] == [left, right]
         assert known.compatible(known.ids[left], known.ids[right]) == merged, (left, right)
+
+
+def test_remembered_pairs_stay_right_where_many_share_a_place(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED_BITS", 4)
+    known = pieces.Pieces(tokenizer_path("piece_bpe_32k.model"))
+    numbers = np.array(sorted(known.ids[text] for text in known.halves))
+    rng = np.random.default_rng(7)
+    asked = numbers[rng.integers(0, len(numbers), size=(2, 400))]
+    for _ in range(3):
+        left, right = asked[:, rng.integers(0, 400, size=1_000)]
+        right_answers = [known.compatible(a, b) for a, b in zip(left.tolist(), right.tolist())]
+        assert known.beside(left, right).tolist() == right_answers
+    assert known.beside(left[:0], right[:0]).tolist() == []
+    assert len(known._answered) == 16

@@ -9,10 +9,14 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 
 WORD_MARK = "▁"
 BEGINNING, BEGINNINGS = 3, 1 << 16
 """Characters of a text, and buckets of their hash, by which ``lengths`` tells beginnings apart."""
+REMEMBERED_BITS = 20
+"""Of so many bits' worth of pairs of pieces a worker remembers whether they are compatible."""
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
@@ -125,6 +129,8 @@ class Pieces:
                     merges[numbers[text[:at]] * self._size + numbers[text[at:]]] = rank
         self._merge_keys = np.array(sorted(merges), dtype=np.int64)
         self._merge_ranks = np.array([merges[key] for key in self._merge_keys.tolist()])
+        # A pair and its answer share one number, at the place of the pair's hash.
+        self._answered = np.full(1 << REMEMBERED_BITS, -1, dtype=np.int64)
 
     def all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """``compatible`` of pairs of pieces, step by step for all that are still undecided."""
@@ -147,6 +153,22 @@ class Pieces:
             took_left, took_right = took_left[going], took_right[going]
         return good
 
+    def beside(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``all_compatible``, worked out only for pairs that are not remembered."""
+        keys = left * self._size + right
+        held = self._answered[_places(keys)]
+        good, new = (held & 1).astype(bool), np.flatnonzero(held >> 1 != keys)
+        if len(new):
+            codes, asked = pd.factorize(keys[new])
+            answers = self.all_compatible(*np.divmod(asked, self._size))
+            good[new] = answers[codes]
+            self._answered[_places(asked)] = asked * 2 + answers
+        return good
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64) * _SPREAD >> np.uint64(64 - REMEMBERED_BITS)).astype(np.int64)
+
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Pieces:

@@ -129,7 +129,6 @@ def _link_edges(model: str):
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces.load(model)
-        vocabulary = len(known.texts)
         for edges in _whole_units(batches):
             column = edges["unit"].combine_chunks()
             heads = column.is_valid().to_numpy(zero_copy_only=False)
@@ -155,11 +154,9 @@ def _link_edges(model: str):
             after = np.repeat(np.arange(len(unit)), count)
             left, right = number[before], number[after]
             # A character that is no piece merges with nothing.
-            free = (left < 0) | (right < 0)
-            codes, keys = pd.factorize(np.where(free, -1, left * vocabulary + right), use_na_sentinel=False)
-            good = np.ones(len(keys), dtype=bool)
-            good[keys >= 0] = known.all_compatible(*np.divmod(keys[keys >= 0], vocabulary))
-            fits = good[codes] if len(codes) else np.zeros(0, dtype=bool)
+            fits = (left < 0) | (right < 0)
+            both = np.flatnonzero(~fits)
+            fits[both] = known.beside(left[both], right[both])
             before, after = before[fits], after[fits]
             # Edges that no chain of compatible ones takes to the end of their unit are on no path.
             alive, found = np.zeros(len(unit), dtype=bool), end == sizes[unit]
