@@ -207,7 +207,7 @@ def learn(
     often = settle(often.filter(F.col("n") >= MIN_DOCUMENTS), "often", 1)
     # The mixture's frequencies are of all documents that are not held out, sampled or not.
     wanted = np.zeros(1 << FEATURE_BITS, dtype=bool)
-    wanted[[row[0] for row in often.select("feature").collect()]] = True
+    wanted[often.select("feature").toArrow()["feature"].to_numpy()] = True
     every = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL").filter(~held_out()).select("text")
     counts = every.mapInArrow(_document_counts(wanted), "feature int, df long").groupBy("feature").agg(F.sum("df").alias("df"))
     frequency = settle(counts, "frequency", 1)
@@ -216,20 +216,24 @@ def learn(
     spread = F.sqrt((rate_u * (1 - rate_u) + 1 / total) * (1 / sizes[0] + 1 / total))
     telling = often.join(frequency, "feature", "left").filter((rate_p - rate_u) / spread > MIN_DEVIATIONS).select("feature")
     # At most 2**FEATURE_BITS rows.
-    chosen = np.array(sorted(row[0] for row in telling.collect()), dtype=np.int64)
+    chosen = np.sort(telling.toArrow()["feature"].to_numpy().astype(np.int64))
     kept = F.broadcast(telling.unionByName(sample.sparkSession.sql("SELECT -1 AS feature")))
-    found = sample.join(kept, "feature").toPandas().sort_values(["text_no", "feature"])
+    sides = [F.col(name).isNotNull().alias(name) for name in ("positive", "unlabelled")]
+    # As Arrow, for rows of Python objects take the driver some twenty times the memory.
+    found = sample.join(kept, "feature").select("text_no", "feature", "n", *sides).toArrow()
+    found = found.sort_by([("text_no", "ascending"), ("feature", "ascending")])
 
     def side(name: str) -> Side:
-        rows = found[found[name].notna()]
+        rows = found.filter(found[name])
         numbers, text = np.unique(rows["text_no"].to_numpy(), return_inverse=True)
-        real = (rows["feature"] >= 0).to_numpy()
-        feature = np.searchsorted(chosen, rows["feature"].to_numpy()[real])
-        return text[real], feature, np.log2(1 + rows["n"].to_numpy()[real]), len(numbers)
+        feature, count = rows["feature"].to_numpy(), rows["n"].to_numpy()
+        real = feature >= 0
+        return text[real], np.searchsorted(chosen, feature[real]), np.log2(1 + count[real]), len(numbers)
 
     if not len(chosen):
         return NOTHING
-    trained = [train(side("positive"), side("unlabelled"), len(chosen), prior, seed) for seed in range(CLASSIFIERS)]
+    toxic_side, mixed_side = side("positive"), side("unlabelled")
+    trained = [train(toxic_side, mixed_side, len(chosen), prior, seed) for seed in range(CLASSIFIERS)]
     return Model(chosen, np.stack([w for w, _ in trained], axis=1), np.array([b for _, b in trained]))
 
 
