@@ -33,6 +33,7 @@ CLASSIFIERS, STEPS, RATE, DECAY = 3, 200, 0.05, 1e-4
 FEATURE_BITS, PREFIXES = 20, (4, 5)
 MIN_DOCUMENTS, MIN_DEVIATIONS = 4, 5.0
 HELD_OUT_FOLDS = 5
+_ROWS_BACK = 1_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -96,8 +97,8 @@ def _document_counts(wanted: np.ndarray):
         totals, texts = np.zeros(len(wanted), dtype=np.int64), 0
         for batch in batches:
             for part in words.slices(batch["text"], words.ALPHANUMERIC):
-                _, feature, _ = _features(part, wanted)
-                totals += np.bincount(feature, minlength=len(totals))
+                feature, found = np.unique(_features(part, wanted)[1], return_counts=True)
+                totals[feature] += found
                 texts += len(part)
         met = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays(
@@ -293,11 +294,14 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, prior: float | None = None) -
         # The scorer gives one batch for each it takes, and takes no more before.
         score = _scorer(model)
         for batch in batches:
-            text = pc.struct_field(batch["row"], "text")
-            named = pa.RecordBatch.from_arrays([text, text], ["doc_id", "text"])
-            for scored in score(iter([named])):
-                clean = pa.array(scored["score"].to_numpy() < 0.5)
-                yield pa.RecordBatch.from_arrays([batch["row"].filter(clean)], ["row"])
+            # Some rows at a time, so that what goes back is not held twice as a whole.
+            for first in range(0, len(batch), _ROWS_BACK):
+                row = batch["row"].slice(first, _ROWS_BACK)
+                text = pc.struct_field(row, "text")
+                named = pa.RecordBatch.from_arrays([text, text], ["doc_id", "text"])
+                for scored in score(iter([named])):
+                    clean = pa.array(scored["score"].to_numpy() < 0.5)
+                    yield pa.RecordBatch.from_arrays([row.filter(clean)], ["row"])
 
     rows = docs.select(F.struct(*(F.col(name) for name in docs.columns)).alias("row"))
     return rows.mapInArrow(judge, rows.schema).select("row.*")
