@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Primes and the bases of their polynomials.
 _FIELDS = ((2_147_483_647, 1_540_483_477), (2_147_483_629, 1_831_565_813))
@@ -54,7 +54,7 @@ def _power_tables(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers of each field's base and of its inverse."""
     global _powers
     if not _powers or len(_powers[0][0]) < size:
-        size = max(size, SLICE_BYTES + 1)
+        size = max(size + size // 8, SLICE_BYTES + 1)
         _powers = [
             (_power_table(base, prime, size), _power_table(pow(base, -1, prime), prime, size)) for prime, base in _FIELDS
         ]
