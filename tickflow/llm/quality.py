@@ -27,6 +27,7 @@ SAMPLE_ROWS = 20_000
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WORDS = 10, 20, 5
 MIN_PRECISION, MIN_COVERED, MAX_RULES, MAX_CONDITIONS = 0.9, 8, 16, 4
 MIN_RATIO = 1e-9
+_ROWS_BACK = 1_000
 
 _COUNTS = (
     "n_words",
@@ -124,13 +125,15 @@ def _statistics(part: words.Slice) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first column, and the counts of the text in the second or, without one, in the first."""
-    for batch in batches:
-        text = batch[1] if batch.num_columns > 1 else pc.struct_field(batch[0], "text")
-        found = [_statistics(part) for part in words.slices(text, fold=words.SAME)]
-        table = np.concatenate(found) if found else np.zeros((0, len(_COUNTS)), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch[0], *(pa.array(column) for column in table.T)], [batch.schema.names[0], *_COUNTS]
-        )
+    for whole in batches:
+        # Some rows at a time, so that what goes back is not held twice as a whole.
+        for first in range(0, len(whole), _ROWS_BACK):
+            batch = whole.slice(first, _ROWS_BACK)
+            text = batch[1] if batch.num_columns > 1 else pc.struct_field(batch[0], "text")
+            table = np.concatenate([_statistics(part) for part in words.slices(text, fold=words.SAME)])
+            yield pa.RecordBatch.from_arrays(
+                [batch[0], *(pa.array(column) for column in table.T)], [batch.schema.names[0], *_COUNTS]
+            )
 
 
 def statistics(docs: DataFrame, carried: Column, whole_rows: bool = False) -> DataFrame:
