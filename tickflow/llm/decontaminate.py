@@ -18,13 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm import words
-from tickflow.llm.tables import BROADCAST_ROWS, free_names, settle, small
+from tickflow.llm.tables import BROADCAST_ROWS, free_names, parts, settle, small
+from tickflow.llm.workers import lean
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 FILTER_BITS = 25
 """The filter of known shingles has 2**FILTER_BITS bits, 4 MB, whatever the benchmark's size."""
 
+_WINDOWS_PER_PART = 20_000
+
 # Fixed by the contract: words after A-Z have become a-z.
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,6 +69,7 @@ def _probes(hashes: np.ndarray) -> list[np.ndarray]:
     return [(hashes & low).astype(np.int64), ((hashes >> np.uint64(FILTER_BITS)) & low).astype(np.int64)]
 
 
+@lean
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, bits): what the shingles set in the filter's 64-bit words."""
     for batch in batches:
@@ -109,6 +113,7 @@ def _places(known, sizes: list[int]):
     table that the rows are written to.
     """
 
+    @lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -166,9 +171,12 @@ def contaminated_spans(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, Da
     spark = docs.sparkSession
     item_windows = settle(windows(items), "windows")
     distinct = item_windows.select("window", "size").distinct()
-    shingles = settle(_window_shingles(distinct), "window-shingles")
+    partitions = parts(item_windows.count(), _WINDOWS_PER_PART)
+    shingles = settle(_window_shingles(distinct), "window-shingles", partitions)
     tokens = settle(
-        shingles.select("shingle", F.least("size", F.lit(SHINGLE_WORDS)).alias("n")).distinct(), "tokens"
+        shingles.select("shingle", F.least("size", F.lit(SHINGLE_WORDS)).alias("n")).distinct(),
+        "tokens",
+        partitions,
     )
     sizes = sorted(row["n"] for row in tokens.select("n").distinct().collect())
     bits = tokens.mapInArrow(_filter_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))

@@ -28,11 +28,16 @@ from pyspark.sql import functions as F
 
 from tickflow.llm import words
 from tickflow.llm.components import components
-from tickflow.llm.tables import free_names, settle, small
+from tickflow.llm.tables import free_names, parts, settle, small
+from tickflow.llm.workers import lean
 
 SHINGLE_WORDS = 5
 CHUNKS, CHUNK, ERRORS, BITS = 16, 5, 1, 16
 SYMBOLS = CHUNKS * CHUNK
+_KEYS_PER_PART = 250_000
+_CLASSES_PER_PART = 20_000
+_SETS_PER_PART, _PREFIXES_PER_PART = 2_000, 500
+"""Rows of tables between the steps that one task writes at least, if there are as many."""
 
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _KEPT = [list(kept) for kept in combinations(range(CHUNK), CHUNK - ERRORS)]
@@ -46,6 +51,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least & np.uint64((1 << BITS) - 1)).astype(np.uint16)
 
 
+@lean
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, digests, signatures = [], [], []
@@ -72,6 +78,7 @@ def _symbols(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), SYMBOLS)
 
 
+@lean
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per allowed set of chunk errors: what is left of the chunk, hashed."""
     for batch in batches:
@@ -86,6 +93,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch["rep"]], ["key", "rep"])
 
 
+@lean
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
@@ -98,6 +106,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@lean
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs that share a key and reach the similarity on their full sets."""
     for batch in batches:
@@ -115,6 +124,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
 
+@lean
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(len(batch)):
@@ -155,7 +165,11 @@ def _prefix_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     placed = placed.withColumn("after", F.col("among") - F.col("rank")).filter(
         "size - after - 1 <= size - ceil(0.75 * size)"
     )
-    prefix = settle(placed.select("shingle", "rep", "size", "after").join(labels, "rep"), "prefix")
+    prefix = settle(
+        placed.select("shingle", "rep", "size", "after").join(labels, "rep"),
+        "prefix",
+        parts(labels.count(), _PREFIXES_PER_PART),
+    )
     # In most postings one component prevails; only the others' rows look for partners.
     per_label = prefix.groupBy("shingle", "label").agg(F.count("*").alias("n"))
     main = per_label.groupBy("shingle").agg(
@@ -198,27 +212,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
         "classes",
+        parts(signed.count(), _CLASSES_PER_PART),
     )
+    n_classes = classes.count()
     keys = settle(classes.mapInArrow(_keys, "key long, rep long"), "keys")
     buckets = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
-    shared = settle(keys.join(buckets.filter("leader < last").drop("last"), "key"), "shared")
+    met_keys = keys.join(buckets.filter("leader < last").drop("last"), "key")
+    shared = settle(met_keys, "shared", parts(CHUNKS * len(_KEPT) * n_classes, _KEYS_PER_PART))
 
-    members = settle(shared.select("rep").distinct(), "members")
+    members = settle(shared.select("rep").distinct(), "members", parts(n_classes, _CLASSES_PER_PART))
+    n_members = members.count()
     chosen = classes.join(small(members), "rep")
     picked = source.withColumnRenamed("doc_id", "rep").join(small(members), "rep")
     texts = picked.groupBy("rep").agg(F.min("text").alias("text")) if _repeats(signed) else picked
     sets = settle(texts.join(chosen.select("rep", "signature"), "rep").mapInArrow(
-        _sets, "rep long, signature binary, shingles binary"), "sets")
+        _sets, "rep long, signature binary, shingles binary"), "sets", parts(n_members, _SETS_PER_PART))
 
     met = shared.filter("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("n"))
     first = met.groupBy("rep").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("a"))
-    links = settle(_confirmed(first.select("a", F.col("rep").alias("b")), sets), "links")
+    stars = first.select("a", F.col("rep").alias("b"))
+    links = settle(_confirmed(stars, sets), "links", parts(n_members, _SETS_PER_PART))
 
     labels = components(links)
-    labelled = settle(_with_labels(shared.select("key", "rep"), labels), "labelled")
+    labelled = settle(
+        _with_labels(shared.select("key", "rep"), labels), "labelled", parts(shared.count(), _KEYS_PER_PART)
+    )
     spans = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_reps = settle(
-        labelled.join(spans.filter("low < high").select("key"), "key").select("rep", "label").distinct(), "open"
+        labelled.join(spans.filter("low < high").select("key"), "key").select("rep", "label").distinct(),
+        "open",
+        parts(n_members, _CLASSES_PER_PART),
     )
     remaining = sets.join(open_reps.select("rep"), "rep")
     more = settle(_confirmed(_prefix_pairs(remaining, open_reps), sets), "links")

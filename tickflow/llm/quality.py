@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm import words
-from tickflow.llm.tables import free_names, least_hashed, settle, small
+from tickflow.llm.tables import free_names, least_hashed, parts, settle, small
+from tickflow.llm.workers import lean
 
 SAMPLE_ROWS = 20_000
 """Labelled rows that rules are learned from at most; the rows of least hash are taken."""
@@ -28,6 +29,7 @@ MIN_WORDS, REPEAT_PERCENT, REPEAT_WORDS = 10, 20, 5
 MIN_PRECISION, MIN_COVERED, MAX_RULES, MAX_CONDITIONS = 0.9, 8, 16, 4
 MIN_RATIO = 1e-9
 _ROWS_BACK = 1_000
+_LABELS_PER_PART = 250_000
 
 _COUNTS = (
     "n_words",
@@ -123,6 +125,7 @@ def _statistics(part: words.Slice) -> np.ndarray:
     ).astype(np.int64)
 
 
+@lean
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first column, and the counts of the text in the second or, without one, in the first."""
     for whole in batches:
@@ -297,7 +300,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     """
     (name,) = free_names(docs, "known")
     known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias(name))
-    known = small(settle(known.distinct(), "known"))
+    known = small(settle(known.distinct(), "known", parts(labels.count(), _LABELS_PER_PART)))
     taught = docs.join(known, F.col("doc_id").cast("long") == F.col(name), "left_semi")
     measured = settle(statistics(taught, F.col("doc_id").cast("long")), "statistics")
     rules = learned_rules(measured, labels, sample_rows)

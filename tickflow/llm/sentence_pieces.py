@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tickflow.llm import pieces, words
 from tickflow.llm.tables import settle
+from tickflow.llm.workers import give_back, lean
 
 BUCKET_BYTES = 1 << 25
 """Text that is put together in one task at the end, or the longest text if that is more."""
@@ -67,6 +68,7 @@ def _units(part: words.Slice, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _distinct_units(model: str):
+    @lean
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts, seen, current = pieces.load(model).cuts(), set(), None
         for bucket, _, part in _bucketed(batches):
@@ -84,6 +86,7 @@ def _distinct_units(model: str):
     return collect
 
 
+@lean
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each slice as one compressed value."""
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
@@ -127,6 +130,7 @@ def _link_edges(model: str):
     first one names it; a unit without an edge for each of its characters is an error.
     """
 
+    @lean
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces.load(model)
         for edges in _whole_units(batches):
@@ -244,6 +248,7 @@ def encode_units(units: DataFrame, model: str) -> DataFrame:
     return lattices.select("unit", "buckets", F.expr(_VITERBI).cast(f"array<{kind}>").alias("ids"))
 
 
+@lean
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of units, those of many units of one bucket as one compressed value.
 
@@ -339,6 +344,7 @@ class _Listed:
 
 def _put_together(model: str, decoded: bool):
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()  # the bucket before
         cuts, texts_of = pieces.load(model).cuts(), _texts_of(model)
         flat, offsets = _answers(answers)
         spelled, ends = _spelled(_spelling(model), flat)

@@ -15,11 +15,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def parts(rows: int, per_part: int) -> int:
+    """Partitions for at most so many rows, by how many rows one may hold."""
+    return 1 + rows // per_part
+
+
 def settle(frame: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """The rows as a table in the shared folder.
 
     Later steps read the files, so a lost executor costs no more than the task it ran, and
-    nothing is computed twice. ``partitions`` gathers many small results into fewer files.
+    nothing is computed twice. ``partitions`` gathers many small results into fewer files: every
+    file costs its executor several calls to the file system, for some of which the local one
+    starts a process that counts with the executor's memory.
     """
     path = scratch_path(frame.sparkSession, name)
     (frame if partitions is None else frame.coalesce(partitions)).write.parquet(path)
