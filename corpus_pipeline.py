@@ -15,25 +15,31 @@ from tickflow.llm.quality import keep_good
 from tickflow.llm.queries import sentence_pieces
 from tickflow.llm.tables import read, settle
 from tickflow.llm.toxicity import drop_toxic
+from tickflow.llm.workers import small_batches
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return sentence_pieces(spark, docs)
 
 

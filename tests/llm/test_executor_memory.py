@@ -1,6 +1,7 @@
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tickflow.llm import components, decontaminate, near_dup, quality, workers
 
 
@@ -47,6 +48,14 @@ def test_near_duplicates_write_few_files(spark, many_partitions, written):
         assert written[name] == [1], name
 
 
+def test_keys_are_made_a_bounded_number_at_a_time(spark, written, monkeypatch):
+    monkeypatch.setattr(near_dup, "_CLASSES_PER_PART", 10, raising=False)
+    rows = [(k, " ".join(f"w{k}x{at}" for at in range(8))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert near_dup.near_duplicates(docs).filter("kept").count() == 40
+    assert written["classes"] == [5] and written["keys"][0] > 1
+
+
 def test_windows_and_labels_write_few_files(spark, many_partitions, written):
     item = " ".join(f"i{k}" for k in range(40))
     docs = spark.createDataFrame([(k, f"a b {item} c{k}" if k % 2 else f"clean {k}") for k in range(20)], "doc_id long, text string")
@@ -80,3 +89,21 @@ def test_lean_functions_fail_as_before():
 
     with pytest.raises(ValueError, match="broken"):
         list(broken(iter([pa.RecordBatch.from_pydict({"x": [1]})])))
+
+
+def test_stages_send_texts_some_megabytes_at_a_time(spark):
+    """Ten thousand texts of 2 KB came as one batch before."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    docs = spark.range(5000).selectExpr("id AS doc_id", "repeat(cast(id AS string), 700) AS text").coalesce(1)
+    try:
+        corpus_pipeline.near_dedup(spark, docs.limit(3), "")
+        found = [row.n for row in docs.mapInArrow(sizes, "n long").collect()]
+        assert len(found) > 2 and max(found) < 2 * workers.BATCH_BYTES
+    finally:
+        spark.conf.set(name, before)

@@ -35,9 +35,12 @@ SHINGLE_WORDS = 5
 CHUNKS, CHUNK, ERRORS, BITS = 16, 5, 1, 16
 SYMBOLS = CHUNKS * CHUNK
 _KEYS_PER_PART = 250_000
-_CLASSES_PER_PART = 20_000
+_REPS_PER_PART = 20_000
 _SETS_PER_PART, _PREFIXES_PER_PART = 2_000, 500
 """Rows of tables between the steps that one task writes at least, if there are as many."""
+_CLASSES_PER_PART = 5_000
+"""Classes whose keys one task makes: nearly all keys differ, so adding them up in that task takes
+memory for each."""
 
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _KEPT = [list(kept) for kept in combinations(range(CHUNK), CHUNK - ERRORS)]
@@ -210,9 +213,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = settle(
         signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
+        .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
+        .repartition(parts(signed.count(), _CLASSES_PER_PART)),
         "classes",
-        parts(signed.count(), _CLASSES_PER_PART),
     )
     n_classes = classes.count()
     keys = settle(classes.mapInArrow(_keys, "key long, rep long"), "keys")
@@ -220,7 +223,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met_keys = keys.join(buckets.filter("leader < last").drop("last"), "key")
     shared = settle(met_keys, "shared", parts(CHUNKS * len(_KEPT) * n_classes, _KEYS_PER_PART))
 
-    members = settle(shared.select("rep").distinct(), "members", parts(n_classes, _CLASSES_PER_PART))
+    members = settle(shared.select("rep").distinct(), "members", parts(n_classes, _REPS_PER_PART))
     n_members = members.count()
     chosen = classes.join(small(members), "rep")
     picked = source.withColumnRenamed("doc_id", "rep").join(small(members), "rep")
@@ -241,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_reps = settle(
         labelled.join(spans.filter("low < high").select("key"), "key").select("rep", "label").distinct(),
         "open",
-        parts(n_members, _CLASSES_PER_PART),
+        parts(n_members, _REPS_PER_PART),
     )
     remaining = sets.join(open_reps.select("rep"), "rep")
     more = settle(_confirmed(_prefix_pairs(remaining, open_reps), sets), "links")
